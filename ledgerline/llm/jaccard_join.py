@@ -67,20 +67,29 @@ def _ordered(tokens: np.ndarray, hot: np.ndarray, times: np.ndarray) -> np.ndarr
 
 def document_sets(docs: DataFrame, n: int, percent: int) -> DataFrame:
     """(doc_id, n_shingles, k1, k2, prefix array<long>, bits array<long>) of each document; k1 and
-    k2 identify the set."""
+    k2 identify the set. Of copies in one batch, only the one of least id has its prefix."""
     spread = docs.sparkSession.sparkContext.broadcast(_frequent(docs, n))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hot, times = spread.value
         for batch in batches:
             sizes, one, two, prefixes, bits = [], [], [], [], []
+            least: dict[tuple, int] = {}  # the first copy of each set in the batch has its tokens
+            names = batch.column(0).to_pylist()
             for found in shingle_lists(*column_bytes(batch.column(1)), n):
                 found = np.unique(found)
                 m = len(found)
                 sizes.append(m)
                 one.append(int(found.sum(dtype=np.uint64)))
                 two.append(int(mix(found + np.uint64(0x51ED270B)).sum(dtype=np.uint64)))
-                prefixes.append(_ordered(found, hot, times)[: m - -(-percent * m // 100) + 1 if m else 0].view(np.int64))
+                name, key = names[len(sizes) - 1], (one[-1], two[-1], m)
+                best = least.get(key)
+                fresh = bool(m) and name is not None and (best is None or name < names[best])
+                if fresh:
+                    if best is not None:
+                        prefixes[best] = prefixes[best][:0]
+                    least[key] = len(sizes) - 1
+                prefixes.append(_ordered(found, hot, times)[: m - -(-percent * m // 100) + 1 if fresh else 0].view(np.int64))
                 odd = (np.bincount((mix(found) >> np.uint64(54)).astype(np.int64), minlength=BITS) & 1).astype(np.uint8)
                 bits.append(np.packbits(odd).view(np.int64))
             lists = [pa.ListArray.from_arrays(np.cumsum([0, *map(len, x)], dtype=np.int32), pa.array(np.concatenate(x) if x else np.empty(0, np.int64))) for x in (prefixes, bits)]
@@ -108,6 +117,36 @@ def _full_sets(docs: DataFrame, n: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(scan, "id long, tokens array<long>")
 
 
+def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Over rows sorted by (token, set, id): one row for each token and set, if the token has
+    several sets, with the token's first id. Holds one row between batches."""
+    before = waiting = None
+    for batch in batches:
+        now = np.stack([batch.column(i).to_numpy() for i in range(5)])
+        if not now.shape[1]:
+            continue
+        last = np.concatenate([now[:, :1] if before is None else before, now[:, :-1]], axis=1)
+        new_t = now[0] != last[0]
+        if before is None:
+            new_t[0] = True
+            first_id = now[2, 0]
+        new_c = new_t | (now[1] != last[1])
+        group = np.cumsum(new_t)
+        several = np.bincount(group[new_c & ~new_t], minlength=group[-1] + 1) > 0
+        firsts = np.concatenate([[first_id], now[2, new_t]])
+        out = new_c & several[group]
+        rows = np.concatenate([now[[0, 2, 3, 4]][:, out], firsts[group[out]][None]])
+        if several[0] and waiting is not None:
+            rows = np.concatenate([waiting, rows], axis=1)
+            waiting = None
+        if group[-1] > 0:
+            begin = np.flatnonzero(new_t)[-1]
+            first_id = now[2, begin]
+            waiting = None if several[-1] else np.array([[now[0, begin]], [now[2, begin]], [now[3, begin]], [now[4, begin]], [first_id]])
+        before = now[:, -1:]
+        yield pa.RecordBatch.from_arrays([pa.array(r) for r in rows], ["token", "id", "n", "pos", "first"])
+
+
 def _apart(left: str, right: str) -> F.Column:
     """Least symmetric difference that two bitmaps allow."""
     return sum((F.bit_count(F.col(left)[i].bitwiseXOR(F.col(right)[i])) for i in range(BITS // 64)), F.lit(0))
@@ -128,15 +167,20 @@ def jaccard_links(docs: DataFrame, n: int = 4, percent: int = 85) -> tuple[DataF
     base = staged(document_sets(docs, n, percent), "sets")
     full = base.where("n_shingles > 0 and doc_id is not null")
     classes = full.groupBy("k1", "k2", "n_shingles").agg(F.min("doc_id").alias("id"))
-    shape = full.select("doc_id", "k1", "k2", "n_shingles", "prefix", "bits").withColumnRenamed("doc_id", "id")
-    reps = shape.join(classes, ["k1", "k2", "n_shingles", "id"], "left_semi").dropDuplicates(["id"]).select("id", F.col("n_shingles").alias("n"), "prefix", "bits")
-    # Positions in the order, for classes that share a prefix token with another class at all.
-    entries = reps.select("id", "n", F.posexplode("prefix").alias("pos", "token"))
-    shared = entries.groupBy("token").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo <> hi").select("token", F.col("lo").alias("first"))
-    entries = staged(entries.join(shared, "token"), "matrix")
+    # Positions in the order, for tokens that several sets share. A set's first document stands
+    # for it; two copies from different batches meet under each token and leave one row.
+    places = full.select(F.posexplode("prefix").alias("pos", "token"), F.xxhash64("k1", "k2", "n_shingles").alias("set"), "doc_id", "n_shingles").select("token", "set", "doc_id", "n_shingles", F.col("pos").cast("long"))
+    places = places.repartition("token").sortWithinPartitions("token", "set", "doc_id")
+    entries = staged(places.mapInArrow(_met, "token long, id long, n long, pos long, first long"), "matrix")
     involved = entries.select("id").distinct()
-    kept = staged(reps.join(involved, "id", "left_semi").select("id", "n", "bits"), "classes")
-    sets = staged(_full_sets(docs.select(F.col("doc_id").cast("long"), "text").join(kept.select(F.col("id").alias("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id"]), n), "tokens")
+    kept = staged(full.select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "bits").join(involved, "id", "left_semi").dropDuplicates(["id"]), "classes")
+    texts = docs.select(F.col("doc_id").cast("long"), "text")
+
+    def sets_of(pairs: DataFrame) -> DataFrame:
+        """The whole sets of the classes in some pairs. Their ids are a written table, so a small
+        one is broadcast and the texts stay where they are."""
+        ids = staged(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), "ids")
+        return staged(_full_sets(texts.join(ids, "doc_id", "left_semi"), n).dropDuplicates(["id"]), "tokens")
 
     def reach(x, y):
         """The overlap that two sizes need, in whole numbers."""
@@ -153,7 +197,8 @@ def jaccard_links(docs: DataFrame, n: int = 4, percent: int = 85) -> tuple[DataF
 
     # Groups: classes are tied to the first class that has one of their three leading tokens.
     stars = entries.where("pos < 3 and id <> first").select(F.col("id").alias("a"), F.col("first").alias("b"))
-    links = staged(_verified(near(stars), sets, percent), "links")
+    stars = staged(near(stars), "near")
+    links = staged(_verified(stars, sets_of(stars), percent), "links")
 
     def grouped(links: DataFrame) -> DataFrame:
         label = components(links, "a", "b")
@@ -172,6 +217,7 @@ def jaccard_links(docs: DataFrame, n: int = 4, percent: int = 85) -> tuple[DataF
     opened = cand.select("a", "na", "la", "token", "grp").join(member.select(F.col("id").alias("b"), F.col("n").alias("nb"), (F.col("n") - F.col("pos")).alias("lb"), "token", "grp"), ["token", "grp"])
     opened = opened.where((100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")) & (F.least("la", "lb") >= reach(F.col("na"), F.col("nb"))))
     pairs = staged(near(opened), "opened")
+    sets = sets_of(pairs)
     # The most alike member of each opened group first: for most groups that settles it.
     tagged = pairs.join(groups.select(F.col("id").alias("b"), "grp"), "b")
     best = tagged.groupBy("a", "grp").agg(F.min(F.struct("apart", "b")).alias("m")).select("a", F.col("m.b").alias("b"))
