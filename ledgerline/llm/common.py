@@ -43,3 +43,10 @@ def crc_fold(doc_id, folds: int):
 
 def crc_fold_py(doc_id, folds: int) -> int:
     return zlib.crc32(b"" if doc_id is None else str(doc_id).encode()) % folds
+
+
+def vocabulary(name: str) -> str:
+    """The path of an installed public vocabulary file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
