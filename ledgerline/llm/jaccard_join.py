@@ -193,11 +193,21 @@ def jaccard_links(docs: DataFrame, n: int = 4, percent: int = 85) -> tuple[DataF
         out = out.join(kept.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("bits").alias("x")), "a")
         out = out.join(kept.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("y")), "b")
         out = out.where((100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")))
-        return out.withColumn("apart", _apart("x", "y")).where(F.col("apart") <= F.col("na") + F.col("nb") - 2 * reach(F.col("na"), F.col("nb"))).select("a", "b", "apart")
+        return out.withColumn("apart", _apart("x", "y")).where(F.col("apart") <= F.col("na") + F.col("nb") - 2 * reach(F.col("na"), F.col("nb"))).select("a", "b", "na", "nb", "apart")
+
+    def narrowed(pairs: DataFrame) -> DataFrame:
+        """Pairs whose prefixes share enough tokens. A common token that isn't in both prefixes
+        lies beyond the prefix that ends first, so the overlap is at most the common prefix tokens
+        and the rest of one set."""
+        ids = staged(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), "ids")
+        own = staged(full.where(F.size("prefix") > 0).select("doc_id", "prefix").join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "prefixes")
+        out = pairs.join(own.select(F.col("doc_id").alias("a"), F.col("prefix").alias("x")), "a").join(own.select(F.col("doc_id").alias("b"), F.col("prefix").alias("y")), "b")
+        rest = F.greatest(F.col("na") - F.size("x"), F.col("nb") - F.size("y"))
+        return out.where(F.size(F.array_intersect("x", "y")) + rest >= reach(F.col("na"), F.col("nb"))).select("a", "b", "apart")
 
     # Groups: classes are tied to the first class that has one of their three leading tokens.
     stars = entries.where("pos < 3 and id <> first").select(F.col("id").alias("a"), F.col("first").alias("b"))
-    stars = staged(near(stars), "near")
+    stars = staged(narrowed(staged(near(stars), "near")), "near")
     links = staged(_verified(stars, sets_of(stars), percent), "links")
 
     def grouped(links: DataFrame) -> DataFrame:
@@ -216,7 +226,7 @@ def jaccard_links(docs: DataFrame, n: int = 4, percent: int = 85) -> tuple[DataF
     cand = asking.join(cells, "token").where((F.col("grp") > F.col("own")) & (100 * F.col("na") >= percent * F.col("least")) & (100 * F.col("most") >= percent * F.col("na")) & (bound >= reach(F.col("na"), F.col("least"))))
     opened = cand.select("a", "na", "la", "token", "grp").join(member.select(F.col("id").alias("b"), F.col("n").alias("nb"), (F.col("n") - F.col("pos")).alias("lb"), "token", "grp"), ["token", "grp"])
     opened = opened.where((100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")) & (F.least("la", "lb") >= reach(F.col("na"), F.col("nb"))))
-    pairs = staged(near(opened), "opened")
+    pairs = staged(narrowed(staged(near(opened), "opened")), "opened")
     sets = sets_of(pairs)
     # The most alike member of each opened group first: for most groups that settles it.
     tagged = pairs.join(groups.select(F.col("id").alias("b"), "grp"), "b")
