@@ -57,7 +57,7 @@ class _Encoder:
         known = self.known
         new = [w for w in set(words) if w not in known]
         if new:
-            if len(known) > 1_000_000:
+            if len(known) > 600_000:
                 known.clear()
                 new = list(set(words))
             for w, e in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False), strict=True):

@@ -9,6 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import table, vocabulary
 
 
+def op1_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .multi_index import nearest_neighbours
+
+    return nearest_neighbours(table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+
 def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .jaccard_join import jaccard_components
 
@@ -21,6 +27,19 @@ def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup_report(table(spark, sf_dir, "documents", "doc_id", "text"), 100)
 
 
+def op3_pivot_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .pivot_index import top_products
+
+    return top_products(table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .pii import fit, pii_report
+
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return pii_report(docs, fit(docs))
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .packing import pack
 
@@ -33,6 +52,12 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_languages(table(spark, sf_dir, "documents", "doc_id", "text", "lang"))
 
 
+def op8_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .pieces import piece_report
+
+    return piece_report(table(spark, sf_dir, "documents", "doc_id", "text"), vocabulary("piece_bpe_32k.model"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .toxicity import toxicity_report
 
