@@ -1,5 +1,60 @@
-STAGES, ORACLE_SQL = [], None
+"""The corpus pipeline: from raw documents to packed training sequences.
 
+STAGES lists (name, function); each function takes (spark, docs, sf_dir) and works on all that the
+stage before kept. ``run`` writes each stage's result to the shared folder and reads it again.
+"""
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ledgerline.llm.common import staged, table, vocabulary
+from ledgerline.llm.jaccard_join import jaccard_components
+from ledgerline.llm.packing import pack
+from ledgerline.llm.pii import fit as fit_tagger
+from ledgerline.llm.pii import redact
+from ledgerline.llm.suffix_dedup import suffix_dedup
+from ledgerline.llm.toxicity import drop_toxic
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents whose toxicity score is 0.7 or more."""
+    return drop_toxic(docs, table(spark, sf_dir, "labels", "doc_id", "toxic"), 0.7)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the document of least id of each group linked by a similarity of 0.8 over five-word
+    shingles. Documents without words, or without an id, are in no group and stay. Of rows that
+    repeat a doc_id with equal columns, one stays."""
+    groups = jaccard_components(docs, 5, 80)
+    gone = groups.where("doc_id <> component_id").select("doc_id").distinct()
+    return docs.join(staged(gone, "gone"), "doc_id", "left_anti").select(docs.columns)
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Cuts passages of 100 bytes or more that an earlier document, or place, already has."""
+    return suffix_dedup(docs, 100)
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Replaces personal data by its kind in brackets."""
+    return redact(docs, fit_tagger(docs))
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Packs the remaining documents into sequences of 2048 tokens."""
+    return pack(docs, vocabulary("byte_bpe_50k.json"))
+
+
+STAGES = [("toxicity", toxicity), ("near duplicates", near_duplicates), ("repeated passages", repeated_passages), ("personal data", personal_data), ("packing", packing)]
+
+#: Learned models, links of unbounded length and tokenizers can't be said in SQL.
+ORACLE_SQL = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = staged(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    return STAGES[-1][1](spark, docs, sf_dir)
