@@ -34,8 +34,16 @@ def _encoder(path: str):
 
 class _Encoder:
     """Ids of whole texts as little-endian bytes. A byte-level vocabulary splits a text into words
-    first and encodes each on its own, so words are encoded once and looked up after that; a text
-    that holds an added token is encoded by the tokenizer as a whole."""
+    first and encodes each on its own, so words are encoded once and looked up after that.
+
+    A single space or line break between other characters begins a new word, so a text without
+    double white space falls into chunks at those places, which are looked up as a whole. Any other
+    text is split by the vocabulary's expression; one that holds an added token is encoded by the
+    tokenizer as a whole.
+    """
+
+    #: Entries of the two tables of known chunks and words, which are emptied beyond that.
+    CHUNKS, WORDS = 900_000, 500_000
 
     def __init__(self, path: str):
         import json
@@ -44,25 +52,69 @@ class _Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.batch = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        pre = json.load(open(path)).get("pre_tokenizer") or {}  # a file of the installed library
-        plain = pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space") and pre.get("use_regex", True) and not json.load(open(path)).get("normalizer")
+        with open(path) as f:  # a file of the installed library
+            config = json.load(f)
+        pre = config.get("pre_tokenizer") or {}
+        plain = pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space") and pre.get("use_regex", True) and not config.get("normalizer")
         self.words = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+") if plain else None
         self.known: dict[str, bytes] = {}
+        self.chunks: dict[str, bytes | None] = {}
 
-    def __call__(self, text: str) -> bytes:
-        if self.words is None or any(t in text for t in self.added):
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        words = self.words.findall(text)
+    def _whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _by_words(self, texts: list[str]) -> list[bytes]:
+        split = [self.words.findall(t) for t in texts]
         known = self.known
-        new = [w for w in set(words) if w not in known]
+        new = {w for words in split for w in words if w not in known}
         if new:
-            if len(known) > 600_000:
+            if len(known) + len(new) > self.WORDS:
                 known.clear()
-                new = list(set(words))
-            for w, e in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False), strict=True):
+                new = {w for words in split for w in words}
+            new = list(new)
+            for w, e in zip(new, self.batch(new, add_special_tokens=False), strict=True):
                 known[w] = np.array(e.ids, "<u4").tobytes()
-        return b"".join(map(known.__getitem__, words))
+        return [b"".join(map(known.__getitem__, words)) for words in split]
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        if self.words is None:
+            return [self._whole(t) for t in texts]
+        chunks = self.chunks
+        out: list[bytes | None] = [None] * len(texts)
+        fast: list[tuple[int, list[str]]] = []
+        slow: list[int] = []
+        for i, text in enumerate(texts):
+            if any(t in text for t in self.added) or "\0" in text:
+                out[i] = self._whole(text)
+            elif not text or text[0].isspace() or text[-1].isspace() or "  " in text or "\n\n" in text or "\n " in text or " \n" in text:
+                slow.append(i)
+            else:
+                # a chunk that began a line keeps its line break and the others lost their space
+                parts = text.replace("\n", " \n").split(" ")
+                parts[0] = "\0" + parts[0]
+                fast.append((i, parts))
+        new = list({p for _, parts in fast for p in parts if p not in chunks})
+        if len(chunks) + len(new) > self.CHUNKS:
+            chunks.clear()
+            new = list({p for _, parts in fast for p in parts})
+        # another white space at an edge would join with the space outside: not on its own
+        edges = [p.lstrip("\n\0") if p[0] in "\n\0" else p for p in new]
+        safe = [p for p, e in zip(new, edges, strict=True) if not (e[:1].isspace() or e[-1:].isspace() or not e)]
+        chunks.update(dict.fromkeys(set(new) - set(safe)))
+        chunks.update(zip(safe, self._by_words([p[1:] if p[0] == "\0" else p if p[0] == "\n" else " " + p for p in safe]), strict=True))
+        for i, parts in fast:
+            try:
+                out[i] = b"".join(map(chunks.__getitem__, parts))
+            except TypeError:  # an unsafe chunk
+                slow.append(i)
+        for i, raw in zip(slow, self._by_words([texts[i] for i in slow]), strict=True):
+            out[i] = raw
+        return out
+
+    def __call__(self, text: str) -> bytes:
+        return self.encode_all([text])[0]
 
 
 def pieces(docs: DataFrame, path: str, size: int = SIZE) -> DataFrame:
@@ -74,12 +126,15 @@ def pieces(docs: DataFrame, path: str, size: int = SIZE) -> DataFrame:
         end = np.array([END], "<u4").tobytes()
         for batch in batches:
             out: list[tuple] = []
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids = encode(text.as_py() or "") + end
-                total = len(ids) // 4
-                for start in range(0, total, size):
-                    part = ids[4 * start : 4 * (start + size)]
-                    out.append((doc, start, len(part) // 4, zlib.crc32(part), total))
+            step = max(1, min(500, int(4e6 / max(1.0, batch.column(1).nbytes / max(1, batch.num_rows)))))
+            for at in range(0, batch.num_rows, step):
+                texts = [x or "" for x in batch.column(1).slice(at, step).to_pylist()]
+                for doc, ids in zip(batch.column(0).slice(at, step).to_pylist(), encode.encode_all(texts), strict=True):
+                    ids += end
+                    total = len(ids) // 4
+                    for start in range(0, total, size):
+                        part = ids[4 * start : 4 * (start + size)]
+                        out.append((doc, start, len(part) // 4, zlib.crc32(part), total))
             columns = list(zip(*out, strict=True)) if out else [[]] * 5
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
 
