@@ -10,9 +10,27 @@ from pyspark.sql import functions as F
 MARKER = "transport_id string, feed string, cob_date date, files array<struct<path:string,bytes:bigint,sha256:string>>, completed_at timestamp"
 
 
-def markers(spark: SparkSession, root: str) -> DataFrame:
-    """A stream of completion markers (``_COMPLETE.json``, written last by the producer)."""
-    return spark.readStream.schema(MARKER).option("recursiveFileLookup", True).option("pathGlobFilter", "_COMPLETE.json").option("multiLine", True).json(root)
+def markers(spark: SparkSession, root: str, name: str = "COMPLETE.json") -> DataFrame:
+    """A stream of completion markers, written last by the producer. Spark's file source hides
+    names that begin with an underscore; such markers are found by ``listed_markers``."""
+    return spark.readStream.schema(MARKER).option("recursiveFileLookup", True).option("pathGlobFilter", name).option("multiLine", True).json(root)
+
+
+def listed_markers(spark: SparkSession, roots: list[str], name: str = "_COMPLETE.json") -> DataFrame:
+    """The markers below some folders (say, those of recent dates), whatever their name: the
+    driver lists the folders and reads the small files through Hadoop's file system."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    texts = []
+    for root in roots:
+        fs = hadoop(root).getFileSystem(spark._jsc.hadoopConfiguration())
+        walk = fs.listFiles(hadoop(root), True)
+        while walk.hasNext():
+            path = walk.next().getPath()
+            if path.getName() == name:
+                stream = fs.open(path)
+                texts.append((spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"),))
+                stream.close()
+    return spark.createDataFrame(texts, "body string").select(F.from_json("body", MARKER).alias("m")).select("m.*")
 
 
 def unique_markers(stream: DataFrame, delay: str = "7 days") -> DataFrame:
