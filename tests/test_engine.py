@@ -279,3 +279,36 @@ def test_value_functions(spark):
     got = row.select(C.clean_string("a"), C.clean_string("b"), C.clean_string("c"), C.parse_date("d"), C.parse_date("e"), C.grade_band("f"), C.grade_band("g"), C.rating_rank("f"), C.change_pct(F.lit(5), F.lit(0)), C.yes_no_flag("b")).first()
     assert list(got) == [None, "null", "\tx", None, date(2026, 1, 5), "SUB_INVESTMENT_GRADE", None, None, None, None]
     assert C.ident("a b") == "`a b`" and C.ident("f(x)") == "f(x)"
+
+
+def test_models_and_objects(spark, tmp_path):
+    import json
+
+    from ledgerline.plans import models
+    from ledgerline.sources import objects
+
+    feed = Feed("f", r"F_(?P<cob_date>\d{8})\.csv", ("k",), {"k": "k", "x": "x"})
+    for bad in (["k"], ["z"]):
+        with pytest.raises(ContractError):
+            models.dimension(feed, bad)
+    raw = raw_rows(spark, STEPS[0])
+    full = models.dimension(feed, ["x"])(raw)
+    assert models.dimension(feed, ["x"])(raw, full).count() == full.count()
+    assert models.prepared(feed)(raw.withColumns({"_received_at": F.lit(None).cast("timestamp"), "_ingest_ts": F.lit("2026-01-01").cast("timestamp")}), knowledge="2026-01-01").count() == 7
+    ran = []
+    graph = {"b": (["a"], lambda: ran.append("b")), "a": (["raw.x"], lambda: ran.append("a")), "c": (["raw.y"], lambda: ran.append("c"))}
+    assert models.run_in_order(graph, {"raw.x"}) == ["a", "b"] == ran
+    assert len(models.business_dates(raw)) == 2
+    store = objects.Objects(spark, str(tmp_path / "o"))
+    assert store.put("a/b", b"1") and not store.put("a/b", b"1") and store.get("a/b") == b"1"
+    with pytest.raises(objects.Immutable):
+        store.put("a/b", b"2")
+    assert json.loads(store.get(store.manifest("d", [{"path": "p"}], {}))) == {"delivery_id": "d", "parts": [{"path": "p"}], "contract": {}}
+    assert store.quarantine("x.csv", b"?", "ragged")["bytes"] == 1
+    assert objects.route(["F_20260101.csv", "G"], [feed]) == {"F_20260101.csv": "f", "G": None}
+    assert objects.stable([{"a": 1}, {"a": 2, "b": 1}, {"a": 2, "b": 2}]) == ["a"]
+    place = tmp_path / "legacy" / "f" / "2026-01-01"
+    place.mkdir(parents=True)
+    (place / "r.json").write_text(json.dumps({"reference": "r1", "rows": [{"k": 1}, {"k": 2}], "aggregates": {}}))
+    legacy = objects.LegacyResults(spark, str(tmp_path / "legacy"))
+    assert legacy.fetch("f", "2026-01-01").count() == 2 and legacy.evidence("f", "2026-01-01").first().reference == "r1"
