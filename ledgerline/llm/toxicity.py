@@ -25,12 +25,14 @@ from .common import crc_fold
 
 WORD = re.compile(r"[^\W\d_]+")
 BUCKETS = 1 << 16
-KINDS = 4
-STEMS = (4, 6)
+KINDS = 5
+STEMS = (4, 5, 6)
+#: A word or stem marks toxic texts if it is so many times (as a logarithm) likelier there.
+RATIO = 3.0
 
 
 def features(word: str) -> tuple[int, ...]:
-    """Feature buckets of a lower-cased word: itself, two prefixes and its suffix."""
+    """Feature buckets of a lower-cased word: itself, three prefixes and its suffix."""
     parts = [f"w{word}", *(f"{n}{word[:n]}" for n in STEMS), f"s{word[-3:]}"]
     return tuple(zlib.crc32(p.encode("utf-8", "surrogatepass")) & (BUCKETS - 1) for p in parts)
 
@@ -100,14 +102,16 @@ def _train_step(potentials, lengths, transition, left):
     return odds / (1 + odds), (joint / joint.sum(axis=(0, 1))).sum(axis=2)
 
 
-def _tags(docs: list[list[str]], toxic: np.ndarray) -> list[np.ndarray]:
-    """Weak token tags: words and stems that mark toxic documents."""
+def _tags(docs: list[np.ndarray], toxic: np.ndarray, words: list[str]) -> np.ndarray:
+    """Weak tags of all tokens: those of toxic documents whose word or stem marks toxic ones."""
+    keys = [(f"w{w}", *(f"{n}{w[:n]}" for n in STEMS if len(w) > n)) for w in words]
     inside, outside = Counter(), Counter()
-    for words, y in zip(docs, toxic, strict=True):
-        (inside if y else outside).update({k for w in set(words) for k in (f"w{w}", *(f"{n}{w[:n]}" for n in STEMS if len(w) > n))})
+    for ids, y in zip(docs, toxic, strict=True):
+        (inside if y else outside).update({k for i in set(ids.tolist()) for k in keys[i]})
     n1, n0 = toxic.sum() + 1.0, (1 - toxic).sum() + 1.0
-    strong = {k for k, c in inside.items() if c >= 4 and np.log((c + 0.5) / n1) - np.log((outside[k] + 0.5) / n0) > 3.0}
-    return [np.array([y and any(k in strong for k in (f"w{w}", *(f"{n}{w[:n]}" for n in STEMS if len(w) > n))) for w in words], float) for words, y in zip(docs, toxic, strict=True)]
+    strong = {k for k, c in inside.items() if c >= max(4, 0.02 * n1) and np.log((c + 0.5) / n1) - np.log((outside[k] + 0.5) / n0) > RATIO}
+    marks = np.array([any(k in strong for k in own) for own in keys], float)
+    return np.concatenate([marks[ids] * y for ids, y in zip(docs, toxic, strict=True)])
 
 
 def _document_features(p: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -125,16 +129,33 @@ def _document_features(p: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.stack([np.ones(len(lengths)), np.log1p(total), top, (count >= 2).astype(float), 10 * np.minimum(0.1, total / np.maximum(lengths, 1))], axis=1)
 
 
+def _unlike(docs: list[np.ndarray], least: int = 24) -> list[int]:
+    """Documents that share less than half of a sketch (the words of least hash) with each one
+    before: copies of one toxic text would make its every word a mark."""
+    seen: dict[int, list[int]] = {}
+    kept = []
+    for n, ids in enumerate(docs):
+        hashed = np.unique(ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))[:least].tolist()
+        met = Counter(m for h in hashed for m in seen.get(h, ()))
+        if not met or max(met.values()) < max(2, len(hashed) / 2):
+            kept.append(n)
+            for h in hashed:
+                seen.setdefault(h, []).append(n)
+    return kept
+
+
 def train(texts: list[str], toxic: list[int], rounds: int = 20) -> Field:
     """Fits the field and the document layer."""
-    docs = [WORD.findall((t or "").lower()) for t in texts]
-    y = np.array(toxic, float)
-    tags = _tags(docs, y)
-    vocabulary = {w: i for i, w in enumerate(sorted({w for d in docs for w in d}))}
+    vocabulary: dict[str, int] = {}
+    docs = []  # as word numbers: the words themselves would fill the driver
+    for t in texts:
+        docs.append(np.array([vocabulary.setdefault(w, len(vocabulary)) for w in WORD.findall((t or "").lower())], np.int32))
+    kept = _unlike(docs)
+    docs, y = [docs[n] for n in kept], np.array(toxic, float)[kept]
     table = np.array([features(w) for w in vocabulary] or np.zeros((0, KINDS)), np.int64).reshape(-1, KINDS)
     lengths = np.array([len(d) for d in docs], np.int64)
-    tokens = np.array([vocabulary[w] for d in docs for w in d], np.int64)
-    gold = np.concatenate(tags) if len(tags) else np.empty(0)
+    tokens = np.concatenate(docs) if docs else np.empty(0, np.int32)
+    gold = _tags(docs, y, list(vocabulary)) if docs else np.empty(0)
     field = Field(np.zeros(BUCKETS), -4.0, np.array([[0.0, -0.5], [0.0, 0.5]]), np.array([-3.0, 2.0, 2.0, 1.0, 0.0]))
     if len(tokens):
         weight = np.where(gold > 0, min(50.0, max(1.0, (gold == 0).sum() / max(1.0, gold.sum()) / 20)), 1.0)
@@ -198,7 +219,7 @@ def score_texts(field: Field, texts: list[str | None], spans: bool = False):
     return scores, marks
 
 
-def fit(docs: DataFrame, labels: DataFrame, most: int = 2000, held_out: int | None = 1, folds: int = 3) -> Field:
+def fit(docs: DataFrame, labels: DataFrame, most: int = 1200, held_out: int | None = 1, folds: int = 3) -> Field:
     """Learns from at most ``most`` toxic and ``most`` other labelled documents, those of least
     hash, outside fold ``held_out``. Documents with a null label or text aren't learned from; of
     several labels of one document the largest counts."""
