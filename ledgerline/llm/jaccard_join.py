@@ -205,38 +205,60 @@ def jaccard_links(docs: DataFrame, n: int = 4, percent: int = 85) -> tuple[DataF
         rest = F.greatest(F.col("na") - F.size("x"), F.col("nb") - F.size("y"))
         return out.where(F.size(F.array_intersect("x", "y")) + rest >= reach(F.col("na"), F.col("nb"))).select("a", "b", "apart")
 
-    # Groups: classes are tied to the first class that has one of their three leading tokens.
-    stars = entries.where("pos < 3 and id <> first").select(F.col("id").alias("a"), F.col("first").alias("b"))
+    def shared_least(x, y):
+        """How many common prefix tokens two sizes need: a common token that isn't in both prefixes
+        lies beyond the prefix that ends first."""
+        most = F.greatest(x, y)
+        beyond = (percent * most + 99 - (percent * most + 99) % 100) / 100 - 1
+        return reach(x, y) - beyond.cast("long")
+
+    # Groups: classes are tied to the first class that has one of their two leading tokens.
+    stars = entries.where("pos < 2 and id <> first").select(F.col("id").alias("a"), F.col("first").alias("b"))
     stars = staged(narrowed(staged(near(stars), "near")), "near")
     links = staged(_verified(stars, sets_of(stars), percent), "links")
-
-    def grouped(links: DataFrame) -> DataFrame:
-        label = components(links, "a", "b")
-        return kept.select("id").join(label.withColumnRenamed("node", "id"), "id", "left").select("id", F.coalesce("component", "id").alias("grp"))
-
-    groups = staged(grouped(links), "groups")
-    member = entries.select("id", "n", "pos", "token").join(groups, "id")
+    label = components(links, "a", "b")
+    groups = staged(kept.select("id").join(label.withColumnRenamed("node", "id"), "id", "left").select("id", F.coalesce("component", "id").alias("grp")), "groups")
+
+    def regrouped(groups: DataFrame, more: DataFrame) -> DataFrame:
+        """Groups after further links: only the groups that these join are looked at."""
+        ends = more.join(groups.select(F.col("id").alias("a"), F.col("grp").alias("ga")), "a").join(groups.select(F.col("id").alias("b"), F.col("grp").alias("gb")), "b")
+        label = components(ends, "ga", "gb")
+        return staged(groups.join(label.withColumnRenamed("node", "grp"), "grp", "left").select("id", F.coalesce("component", "grp").alias("grp")), "groups")
+
+    # h: how many tokens of its prefix a class shares with any other class; it has no more in
+    # common with any single one.
+    h = entries.groupBy("id").agg(F.count("*").alias("h"))
+    member = entries.select("id", "n", "pos", "token").join(groups.join(h, "id"), "id")
     # The matrix: one cell for each token and group; a token of one group only can't help.
-    matrix = member.groupBy("token", "grp").agg(F.min(F.col("n")).alias("least"), F.max("n").alias("most"), F.max(F.col("n") - F.col("pos")).alias("left"))
+    matrix = member.groupBy("token", "grp").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.max(F.col("n") - F.col("pos")).alias("left"), F.max("h").alias("top"))
     several = matrix.groupBy("token").agg(F.min("grp").alias("lo"), F.max("grp").alias("hi")).where("lo <> hi").select("token")
     cells = staged(matrix.join(several, "token", "left_semi"), "cells")
-    asking = member.join(several, "token", "left_semi").select(F.col("id").alias("a"), F.col("n").alias("na"), (F.col("n") - F.col("pos")).alias("la"), "token", F.col("grp").alias("own"))
-    # A query finds groups of larger name; the other direction is found by their members.
-    bound = F.least("la", "left")
-    cand = asking.join(cells, "token").where((F.col("grp") > F.col("own")) & (100 * F.col("na") >= percent * F.col("least")) & (100 * F.col("most") >= percent * F.col("na")) & (bound >= reach(F.col("na"), F.col("least"))))
-    opened = cand.select("a", "na", "la", "token", "grp").join(member.select(F.col("id").alias("b"), F.col("n").alias("nb"), (F.col("n") - F.col("pos")).alias("lb"), "token", "grp"), ["token", "grp"])
-    opened = opened.where((100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")) & (F.least("la", "lb") >= reach(F.col("na"), F.col("nb"))))
+    asking = member.join(several, "token", "left_semi").select(F.col("id").alias("a"), F.col("n").alias("na"), (F.col("n") - F.col("pos")).alias("la"), F.col("h").alias("ha"), "token", F.col("grp").alias("own"))
+    # A query finds groups of larger name; the other direction is found by their members. Of the
+    # sizes that a group's members may have, the most unequal ones need the fewest common tokens
+    # (give or take one for rounding).
+    na, least, most = F.col("na"), F.col("least"), F.col("most")
+    low = F.greatest(least, ((percent * na + 99) / 100).cast("long"))
+    high = F.least(most, (100 * na / percent).cast("long"))
+    fewest = F.least(shared_least(na, F.least(low, high)), shared_least(na, F.greatest(low, high)))
+    cand = asking.join(cells, "token").where(
+        (F.col("grp") > F.col("own")) & (100 * na >= percent * least) & (100 * most >= percent * na) & (F.least("la", "left") >= reach(na, least)) & (F.least("ha", "top") >= fewest - 1)
+    )
+    inside = member.select(F.col("id").alias("b"), F.col("n").alias("nb"), (F.col("n") - F.col("pos")).alias("lb"), F.col("h").alias("hb"), "token", "grp")
+    opened = cand.select("a", "na", "la", "ha", "token", "grp").join(inside, ["token", "grp"])
+    opened = opened.where((100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")) & (F.least("la", "lb") >= reach(F.col("na"), F.col("nb"))) & (F.least("ha", "hb") >= shared_least(F.col("na"), F.col("nb"))))
     pairs = staged(narrowed(staged(near(opened), "opened")), "opened")
     sets = sets_of(pairs)
     # The most alike member of each opened group first: for most groups that settles it.
     tagged = pairs.join(groups.select(F.col("id").alias("b"), "grp"), "b")
     best = tagged.groupBy("a", "grp").agg(F.min(F.struct("apart", "b")).alias("m")).select("a", F.col("m.b").alias("b"))
-    links = staged(links.union(_verified(best, sets, percent)), "links")
-    groups = staged(grouped(links), "groups")
+    found = staged(_verified(best, sets, percent), "links")
+    groups = regrouped(groups, found)
     open_yet = pairs.join(groups.select(F.col("id").alias("a"), F.col("grp").alias("ga")), "a").join(groups.select(F.col("id").alias("b"), F.col("grp").alias("gb")), "b").where("ga <> gb")
-    links = staged(links.union(_verified(open_yet, sets, percent)), "links")
+    last = staged(_verified(open_yet, sets, percent), "links")
+    groups = regrouped(groups, last)
     named = base.join(classes.withColumnRenamed("id", "class_id"), ["k1", "k2", "n_shingles"], "left")
-    return named.select("doc_id", "n_shingles", "class_id"), links, components(links, "a", "b")
+    return named.select("doc_id", "n_shingles", "class_id"), links.union(found).union(last), groups.select(F.col("id").alias("node"), F.col("grp").alias("component"))
 
 
 def jaccard_components(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:

@@ -312,10 +312,10 @@ def _merged_spans(ats: list[int], length: int, size: int) -> list[tuple[int, int
 
 
 def with_spans(docs: DataFrame, length: int = 100) -> DataFrame:
-    """``docs`` (doc_id first, then any columns with ``text``) with one more column ``_ats``: the
+    """``docs`` (doc_id first, then any columns with ``text``) with one more column ``__repeat_runs``: the
     packed runs of each document, null where there are none. Left as they are otherwise."""
-    found = repeated_runs(docs, length).groupBy(F.col("doc_id").alias("_doc")).agg(F.collect_list("at").alias("_ats"))
-    return docs.join(found, docs["doc_id"].cast("long") == F.col("_doc"), "left").drop("_doc")
+    found = repeated_runs(docs, length).groupBy(F.col("doc_id").alias("__repeat_doc")).agg(F.collect_list("at").alias("__repeat_runs"))
+    return docs.join(found, docs["doc_id"].cast("long") == F.col("__repeat_doc"), "left").drop("__repeat_doc")
 
 
 def suffix_dedup_report(docs: DataFrame, length: int = 100) -> DataFrame:
@@ -344,7 +344,7 @@ def suffix_dedup_report(docs: DataFrame, length: int = 100) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0)] + [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.int64(), pa.string()), strict=True)], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
     rows = with_spans(docs.select(F.col("doc_id").cast("long"), "text"), length)
-    return rows.select("doc_id", "text", "_ats").mapInArrow(scan, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return rows.select("doc_id", "text", "__repeat_runs").mapInArrow(scan, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
 def suffix_dedup(docs: DataFrame, length: int = 100) -> DataFrame:
