@@ -60,7 +60,7 @@ class _Encoder:
         plain = pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space") and pre.get("use_regex", True) and not config.get("normalizer")
         self.words = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+") if plain else None
         self.known: dict[str, bytes] = {}
-        self.chunks: dict[str, bytes | None] = {}
+        self.chunks: dict[str, bytes | bool] = {}
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -78,12 +78,24 @@ class _Encoder:
                 known[w] = np.array(e.ids, "<u4").tobytes()
         return [b"".join(map(known.__getitem__, words)) for words in split]
 
+    def _joined(self, parts: list[str]) -> list[bytes]:
+        """Ids of parts that each begin with one space or line break and then none at an edge: as
+        one text they are encoded at once, and the tokens' places tell whose they are."""
+        if not parts:
+            return []
+        found = self.tokenizer.encode("a" + "".join(parts), add_special_tokens=False)
+        raw = np.array(found.ids, "<u4").tobytes()
+        begins = np.cumsum([1, *map(len, parts)])
+        at = np.fromiter((o[0] for o in found.offsets), np.int64, len(found.ids))
+        cuts = (4 * np.searchsorted(at, begins)).tolist()
+        return [raw[b:e] for b, e in zip(cuts, cuts[1:], strict=False)]
+
     def encode_all(self, texts: list[str]) -> list[bytes]:
         if self.words is None:
             return [self._whole(t) for t in texts]
         chunks = self.chunks
         out: list[bytes | None] = [None] * len(texts)
-        fast: list[tuple[int, list[str]]] = []
+        fast: list[tuple[int, list[bytes], list[tuple[int, str]]]] = []
         slow: list[int] = []
         for i, text in enumerate(texts):
             if any(t in text for t in self.added) or "\0" in text:
@@ -94,21 +106,27 @@ class _Encoder:
                 # a chunk that began a line keeps its line break and the others lost their space
                 parts = text.replace("\n", " \n").split(" ")
                 parts[0] = "\0" + parts[0]
-                fast.append((i, parts))
-        new = list({p for _, parts in fast for p in parts if p not in chunks})
+                found = list(map(chunks.get, parts))
+                fast.append((i, found, [(n, parts[n]) for n, v in enumerate(found) if v is None] if None in found else []))
+        new = list({p for _, _, missing in fast for _, p in missing})
         if len(chunks) + len(new) > self.CHUNKS:
             chunks.clear()
-            new = list({p for _, parts in fast for p in parts})
         # another white space at an edge would join with the space outside: not on its own
         edges = [p.lstrip("\n\0") if p[0] in "\n\0" else p for p in new]
         safe = [p for p, e in zip(new, edges, strict=True) if not (e[:1].isspace() or e[-1:].isspace() or not e)]
-        chunks.update(dict.fromkeys(set(new) - set(safe)))
-        chunks.update(zip(safe, self._by_words([p[1:] if p[0] == "\0" else p if p[0] == "\n" else " " + p for p in safe]), strict=True))
-        for i, parts in fast:
-            try:
-                out[i] = b"".join(map(chunks.__getitem__, parts))
-            except TypeError:  # an unsafe chunk
+        learnt: dict[str, bytes | bool] = dict.fromkeys(new, False)
+        heads = [p for p in safe if p[0] == "\0"]
+        learnt.update(zip(heads, self._by_words([p[1:] for p in heads]), strict=True))
+        rest = [p for p in safe if p[0] != "\0"]
+        learnt.update(zip(rest, self._joined([p if p[0] == "\n" else " " + p for p in rest]), strict=True))
+        chunks.update((p, learnt[p]) for p in new if p[0] != "\0")
+        for i, found, missing in fast:
+            for n, p in missing:
+                found[n] = learnt[p]
+            if False in found:
                 slow.append(i)
+            else:
+                out[i] = b"".join(found)
         for i, raw in zip(slow, self._by_words([texts[i] for i in slow]), strict=True):
             out[i] = raw
         return out
