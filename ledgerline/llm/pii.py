@@ -371,9 +371,12 @@ def all_spans(model: Tagger | None, texts: list[str]) -> list[tuple[list, list]]
 
 
 def fit(docs: DataFrame, most: int = 600) -> Tagger | None:
-    """Learns from at most ``most`` texts that hold a digit or an @, those of least hash."""
-    rows = docs.select("text").where(F.col("text").rlike("[0-9@]")).orderBy(F.xxhash64("text"), "text").limit(most)
-    return train([r.text for r in rows.collect()])
+    """Learns from at most about ``most`` texts that hold a digit or an @: of those with an id, the
+    least id of each of so many hash buckets. Ids alone are compared; the texts follow by a join."""
+    marked = docs.where(F.col("text").rlike("[0-9@]") & F.col("doc_id").isNotNull())
+    ids = marked.groupBy(F.pmod(F.xxhash64("doc_id"), F.lit(most)).alias("bucket")).agg(F.min("doc_id").alias("doc_id")).select("doc_id")
+    rows = docs.select("doc_id", "text").where(F.col("text").isNotNull()).join(F.broadcast(ids), "doc_id").collect()
+    return train([r.text for r in sorted(rows, key=lambda r: (r.doc_id, r.text))])
 
 
 def _parts(column) -> Iterator[tuple[int, list[str]]]:

@@ -68,9 +68,14 @@ def classes(rows: DataFrame, k: int) -> DataFrame:
 
 
 def sample_matrix(found: DataFrame, most: int) -> np.ndarray:
-    """At most ``most`` of the class vectors, those of least hash."""
-    rows = found.select("v").orderBy(F.xxhash64("v"), "v").limit(most).collect()
-    return np.array([np.frombuffer(bytes(r.v), np.float64) for r in rows])
+    """About ``most`` of the class vectors at most, those of least hash: a share of the hash range
+    is taken, so tasks send what they have of the sample and no more."""
+    n = found.count()
+    rows = found.select("v")
+    if n > most:
+        rows = rows.where(F.pmod(F.xxhash64("v"), F.lit(1 << 40)) < int((1 << 40) * most / n))
+    body = sorted(bytes(r.v) for r in rows.collect())
+    return np.array([np.frombuffer(b, np.float64) for b in body])
 
 
 def sequential_products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
