@@ -43,7 +43,7 @@ class _Encoder:
     """
 
     #: Entries of the two tables of known chunks and words, which are emptied beyond that.
-    CHUNKS, WORDS = 900_000, 500_000
+    CHUNKS, WORDS = 500_000, 200_000
 
     def __init__(self, path: str):
         import json

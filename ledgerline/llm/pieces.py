@@ -128,7 +128,7 @@ class Model:
         """Ids of each text as little-endian 32-bit words."""
         split = [UNIT.findall(MARK + t.replace(" ", MARK)) if t else [] for t in texts]
         new = sorted({u for units in split for u in units if u not in self.units})
-        if len(self.units) + len(new) > 600_000:
+        if len(self.units) + len(new) > 400_000:
             self.units.clear()
             new = sorted({u for units in split for u in units})
         self.learn(new)

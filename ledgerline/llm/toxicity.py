@@ -50,7 +50,7 @@ class Field:
     def evidence(self, words: list[str]) -> np.ndarray:
         """Emission weight of each word, by a table of the words seen so far."""
         cache = self.cache
-        if len(cache) > 2_000_000:
+        if len(cache) > 300_000:
             cache.clear()
         new = [w for w in set(words) if w not in cache]
         if new:
