@@ -130,16 +130,20 @@ def _document_features(p: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 
 
 def _unlike(docs: list[np.ndarray], least: int = 24) -> list[int]:
-    """Documents that share less than half of a sketch (the words of least hash) with each one
-    before: copies of one toxic text would make its every word a mark."""
+    """Documents that share less than a third of a sketch (the four-word shingles of least hash)
+    with each one before: copies of one toxic text would make its every word a mark."""
     seen: dict[int, list[int]] = {}
     kept = []
     for n, ids in enumerate(docs):
-        hashed = np.unique(ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))[:least].tolist()
-        met = Counter(m for h in hashed for m in seen.get(h, ()))
-        if not met or max(met.values()) < max(2, len(hashed) / 2):
+        k = min(4, max(1, len(ids)))
+        hashed = np.zeros(max(0, len(ids) - k + 1), np.uint64)
+        for i in range(k):
+            hashed = (hashed + ids[i : len(ids) - k + 1 + i].astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+        sketch = np.unique(hashed ^ (hashed >> np.uint64(29)))[:least].tolist()
+        met = Counter(m for h in sketch for m in seen.get(h, ()))
+        if not met or max(met.values()) < max(2, len(sketch) / 3):
             kept.append(n)
-            for h in hashed:
+            for h in sketch:
                 seen.setdefault(h, []).append(n)
     return kept
 
