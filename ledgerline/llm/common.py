@@ -50,3 +50,9 @@ def vocabulary(name: str) -> str:
     import public_tokenizers
 
     return public_tokenizers.path(name)
+
+
+def broadcast_if_small(rows: DataFrame, most: int = 1_000_000) -> DataFrame:
+    """A written table of ids, marked for broadcast if it has at most ``most`` rows (about 8 MB of
+    longs); a larger one is left to a shuffled join."""
+    return F.broadcast(rows) if rows.count() <= most else rows

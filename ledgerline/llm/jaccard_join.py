@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bytescan import column_bytes, mix
-from .common import staged
+from .common import broadcast_if_small, staged
 from .components import components
 from .shingles import shingle_lists
 
@@ -180,7 +180,7 @@ def jaccard_links(docs: DataFrame, n: int = 4, percent: int = 85) -> tuple[DataF
         """The whole sets of the classes in some pairs. Their ids are a written table, so a small
         one is broadcast and the texts stay where they are."""
         ids = staged(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), "ids")
-        return staged(_full_sets(texts.join(ids, "doc_id", "left_semi"), n).dropDuplicates(["id"]), "tokens")
+        return staged(_full_sets(texts.join(broadcast_if_small(ids), "doc_id", "left_semi"), n).dropDuplicates(["id"]), "tokens")
 
     def reach(x, y):
         """The overlap that two sizes need, in whole numbers."""
@@ -200,7 +200,7 @@ def jaccard_links(docs: DataFrame, n: int = 4, percent: int = 85) -> tuple[DataF
         lies beyond the prefix that ends first, so the overlap is at most the common prefix tokens
         and the rest of one set."""
         ids = staged(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), "ids")
-        own = staged(full.where(F.size("prefix") > 0).select("doc_id", "prefix").join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "prefixes")
+        own = staged(full.where(F.size("prefix") > 0).select("doc_id", "prefix").join(broadcast_if_small(ids), "doc_id", "left_semi").dropDuplicates(["doc_id"]), "prefixes")
         out = pairs.join(own.select(F.col("doc_id").alias("a"), F.col("prefix").alias("x")), "a").join(own.select(F.col("doc_id").alias("b"), F.col("prefix").alias("y")), "b")
         rest = F.greatest(F.col("na") - F.size("x"), F.col("nb") - F.size("y"))
         return out.where(F.size(F.array_intersect("x", "y")) + rest >= reach(F.col("na"), F.col("nb"))).select("a", "b", "apart")
