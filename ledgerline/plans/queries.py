@@ -506,6 +506,36 @@ def feed_status(spark, d):
     return calendar.feed_status(expected, part(2), part(3), part(5), part(7), "2024-01-15 00:00:00")
 
 
+# The same over all events: a feed is an event type and a bucket of users, so no event is left out.
+
+ALL_FEEDS = "(SELECT DISTINCT event_type || '-' || CAST(user_id % 40 AS VARCHAR) AS feed, CAST(ts AS DATE) AS cob_date FROM events)"
+ALL_EXPECTED = f"x AS (SELECT feed, c.cob_date FROM (SELECT DISTINCT cob_date FROM {ALL_FEEDS}) c JOIN (SELECT feed, min(cob_date) AS lo, max(cob_date) AS hi FROM {ALL_FEEDS} GROUP BY 1) b ON c.cob_date BETWEEN lo AND hi)"
+
+
+def _all_events(spark, d):
+    return t(spark, d, "events").select("event_id", F.concat_ws("-", "event_type", (F.col("user_id") % 40).cast("string")).alias("feed"), F.to_date("ts").alias("cob_date"))
+
+
+@query(f"WITH {ALL_EXPECTED} SELECT feed, CAST(cob_date AS VARCHAR) AS missing FROM x WHERE NOT EXISTS (SELECT 1 FROM {ALL_FEEDS} f WHERE f.feed = x.feed AND f.cob_date = x.cob_date)")
+def gaps_daily_all(spark, d):
+    return calendar.find_gaps(_all_events(spark, d))
+
+
+@query(f"WITH {ALL_EXPECTED}, w AS (SELECT DISTINCT feed, printf('%04d-W%02d', CAST(isoyear(cob_date) AS INTEGER), CAST(weekofyear(cob_date) AS INTEGER)) AS missing FROM x) SELECT feed, missing FROM w WHERE (feed, missing) NOT IN (SELECT feed, printf('%04d-W%02d', CAST(isoyear(cob_date) AS INTEGER), CAST(weekofyear(cob_date) AS INTEGER)) FROM {ALL_FEEDS})")
+def gaps_weekly_all(spark, d):
+    feeds = _all_events(spark, d).select("feed", "cob_date").distinct()
+    return calendar.find_gaps(feeds, weekly=tuple(sorted(r[0] for r in feeds.select("feed").distinct().collect())))
+
+
+@query("""WITH f AS (SELECT event_type || '-' || CAST(user_id % 40 AS VARCHAR) AS feed, CAST(ts AS DATE) AS cob_date, bool_or(event_id % 5 = 0) AS c, bool_or(event_id % 3 = 0) AS dl, bool_or(event_id % 7 = 0) AS fl, bool_or(event_id % 2 = 0) AS r FROM events GROUP BY 1, 2)
+SELECT feed, cob_date, CASE WHEN day(cob_date) % 6 = 0 THEN 'NOT_EXPECTED' WHEN c THEN 'COMPLETE' WHEN dl THEN 'PROCESSING' WHEN fl THEN 'FAILED' WHEN r THEN 'RECEIVED' WHEN TIMESTAMP '2024-01-15 00:00:00' > CAST(cob_date + 1 AS TIMESTAMP) + INTERVAL 6 HOUR THEN 'MISSING' ELSE 'WAITING' END AS status FROM f""")
+def feed_status_all(spark, d):
+    e = _all_events(spark, d)
+    part = lambda n: e.where(F.col("event_id") % n == 0)
+    expected = e.select("feed", "cob_date", (F.dayofmonth("cob_date") % 6 != 0).alias("is_expected")).distinct()
+    return calendar.feed_status(expected, part(2), part(3), part(5), part(7), "2024-01-15 00:00:00")
+
+
 @query("SELECT CAST(o_orderdate AS DATE) AS cob_date, o_orderkey AS delivery_id FROM orders WHERE o_orderkey % 3 <> 0 AND CAST(o_orderdate AS DATE) IN (SELECT cob_date FROM " + KEEP + ")")
 def pending_manifests(spark, d):
     m = t(spark, d, "orders").select(F.to_date("o_orderdate").alias("cob_date"), F.col("o_orderkey").alias("delivery_id"))

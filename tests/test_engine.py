@@ -312,3 +312,22 @@ def test_models_and_objects(spark, tmp_path):
     (place / "r.json").write_text(json.dumps({"reference": "r1", "rows": [{"k": 1}, {"k": 2}], "aggregates": {}}))
     legacy = objects.LegacyResults(spark, str(tmp_path / "legacy"))
     assert legacy.fetch("f", "2026-01-01").count() == 2 and legacy.evidence("f", "2026-01-01").first().reference == "r1"
+
+
+def test_gaps_and_statuses_rest_on_all_events(spark, tmp_path):
+    import duckdb
+
+    from ledgerline.plans.queries import ORACLE, QUERIES
+
+    # user 7 is in no multiple of 40, and only it shows that 2024-01-02 and a week are missing
+    rows = [(1, datetime(2024, 1, 1, 5), 7, "view"), (2, datetime(2024, 1, 16, 5), 7, "view"), (3, datetime(2024, 1, 2, 5), 40, "view"), (4, datetime(2024, 1, 10, 5), 41, "click"), (7, datetime(2024, 1, 11, 5), 7, "view")]
+    spark.createDataFrame(rows, "event_id long, ts timestamp, user_id long, event_type string").coalesce(1).write.parquet(str(tmp_path / "events.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW events AS SELECT event_id, ts::TIMESTAMP AS ts, user_id, event_type FROM read_parquet('{tmp_path}/events.parquet/*.parquet')")
+    for name in ("gaps_daily_all", "gaps_weekly_all", "feed_status_all"):
+        got = sorted(tuple(map(str, r)) for r in QUERIES[name](spark, str(tmp_path)).collect())
+        assert got == sorted(tuple(map(str, r)) for r in con.execute(ORACLE[name]).fetchall()), name
+        if name == "gaps_daily_all":
+            assert got == [("view-7", "2024-01-02"), ("view-7", "2024-01-10")]
+        if name == "feed_status_all":
+            assert len(got) == 5
