@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import staged, table, vocabulary
+from ledgerline.llm.common import broadcast_if_small, staged, table, vocabulary
 from ledgerline.llm.jaccard_join import jaccard_components
 from ledgerline.llm.packing import pack
 from ledgerline.llm.pii import fit as fit_tagger
@@ -26,10 +26,41 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document of least id of each group linked by a similarity of 0.8 over five-word
     shingles. Documents without words, or without an id, are in no group and stay. Of rows that
-    repeat a doc_id with equal columns, one stays."""
-    groups = jaccard_components(docs, 5, 80)
-    gone = groups.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(staged(gone, "gone"), "doc_id", "left_anti").select(docs.columns)
+    repeat a doc_id with equal columns, one stays; other rows of one doc_id are documents of their
+    own, each in the group of its own text, and of those in one group one stays."""
+    several = staged(docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"), "several")
+    if several.isEmpty():
+        groups = jaccard_components(docs, 5, 80)
+        gone = groups.where("doc_id <> component_id").select("doc_id").distinct()
+        return docs.join(staged(gone, "gone"), "doc_id", "left_anti").select(docs.columns)
+    several = broadcast_if_small(several)
+    single = docs.join(several, "doc_id", "left_anti").select(docs.columns)
+    rows = staged(own_ids(docs.join(several, "doc_id", "left_semi").select(docs.columns).distinct(), docs), "rows")
+    named = single.select("doc_id", "text").union(rows.select("__own", "text"))
+    groups = staged(jaccard_components(named, 5, 80).where("doc_id is not null").toDF("id", "n", "component"), "groups")
+    # Own ids have no order. Of a component with any, the row of least doc_id, then own id, stays.
+    owned = rows.select(F.col("__own").alias("id"), "doc_id")
+    mixed = staged(groups.join(broadcast_if_small(owned), "id", "left_semi").select("component").distinct(), "mixed")
+    inside = groups.join(broadcast_if_small(mixed), "component", "left_semi").join(broadcast_if_small(owned), "id", "left")
+    first = staged(inside.groupBy("component").agg(F.min(F.struct(F.coalesce("doc_id", "id").alias("doc_id"), "id")).alias("m")).select("component", F.col("m.id").alias("stays")), "first")
+    gone = groups.join(broadcast_if_small(first), "component", "left").where(F.col("id") != F.coalesce("stays", "component"))
+    gone = staged(gone.select("id"), "gone")
+    kept = rows.join(gone, rows["__own"] == gone["id"], "left_anti").select(docs.columns)
+    return single.join(gone, single["doc_id"] == gone["id"], "left_anti").select(docs.columns).union(kept)
+
+
+def own_ids(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """``rows`` with a column __own of hashes that differ from each other and from all ids of
+    ``docs``: a seed with which any meet is given up for the next."""
+    ids = docs.select("doc_id")
+    rows = staged(rows, "distinct")
+    n = rows.count()
+    for seed in range(100):
+        out = rows.withColumn("__own", F.xxhash64(F.lit(seed), *[F.struct(F.col(c).isNull(), c) for c in rows.columns]))
+        told = out.select("__own")
+        if told.distinct().count() == n and ids.join(told, ids["doc_id"] == told["__own"], "left_semi").isEmpty():
+            return out
+    raise ValueError("no seed keeps own ids apart")
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -138,3 +138,21 @@ def test_pipeline_stages_follow_their_operators(spark, tmp_path):
             assert kept[305].text == "mail me <EMAIL> now"
     assert set(kept) == {r[0] for r in rows if not 200 <= r[0] < 240} - {301, 302}
     assert os.path.isdir(tmp_path)
+
+
+def test_near_duplicates_of_repeated_ids(spark, tmp_path):
+    import corpus_pipeline
+
+    rng = random.Random(9)
+    text = lambda n: " ".join("".join(rng.choice("abcdefg") for _ in range(5)) for _ in range(n))
+    a, b, c, d, e = (text(60) for _ in range(5))
+    rows = [(1, a, "en"), (1, a, "en"), (2, b, "en"), (2, b, "en"), (2, b, "en")]  # equal rows
+    rows += [(5, a, "en"), (5, c, "en"), (9, c, "de"), (3, d, "en"), (4, d + " end", "en"), (4, e, "en")]  # 5 and 4: one near copy, one clean
+    rows += [(6, d, "en"), (6, d, "fr"), (7, e, "en"), (7, a, "en"), (8, "", "en"), (8, "", "en"), (None, a, "en"), (None, a, "en"), (10, None, "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    docs.write.parquet(str(tmp_path / "d"))
+    docs = spark.read.parquet(str(tmp_path / "d"))
+    got = corpus_pipeline.near_duplicates(spark, docs, str(tmp_path))
+    assert got.columns == docs.columns
+    want = [(1, a, "en"), (2, b, "en"), (5, c, "en"), (3, d, "en"), (4, e, "en"), (8, "", "en"), (None, a, "en"), (None, a, "en"), (10, None, "en")]
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str)
