@@ -248,35 +248,61 @@ def viterbi(e: np.ndarray, move: np.ndarray) -> np.ndarray:
     return tags
 
 
-def train(texts: list[str], batches: int = 120, batch: int = 96, seed: int = 0) -> Tagger | None:
-    """Fits a tagger on windows around the digits and @ of ``texts``; None without any."""
-    rng = np.random.default_rng(seed)
+def window_starts(text: str, rng: np.random.Generator) -> np.ndarray:
+    """Where windows to learn from begin: two about each digit or @ that the last two don't reach."""
+    out, last = [], -WINDOW
+    for m in MARK.finditer(text):
+        if m.start() >= last + WINDOW // 2:
+            last = m.start()
+            out += [max(0, last - int(rng.integers(0, WINDOW))) for _ in range(2)]
+    return np.array(out, np.int64)
+
+
+def shares(counts: np.ndarray, most: int) -> np.ndarray:
+    """How many of its windows each text gives, ``most`` in all: texts with few give all, the
+    others the same number each, which is one at least."""
+    level, left = int(counts.max(initial=0)), most
+    ordered = np.sort(counts[counts > 0])
+    for n, count in enumerate(ordered.tolist()):
+        fair = left // (len(ordered) - n)
+        if count > fair:
+            level = max(1, fair)
+            break
+        left -= count
+    return np.minimum(counts, level)
+
+
+def learning_windows(texts: list[str], rng: np.random.Generator, most: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Codes and gold tags of at most ``most`` windows (or one a text) over all of ``texts``. A text
+    that has more windows than its share gives a random choice of them."""
+    starts = [window_starts(t, rng) for t in texts]
+    give = shares(np.array([len(s) for s in starts], np.int64), most)
+    choice = np.random.default_rng(len(texts))
     codes, tags = [], []
-    for text in texts:
-        marks = [m.start() for m in MARK.finditer(text)]
-        if not marks:
+    for text, own, n in zip(texts, starts, give.tolist(), strict=True):
+        if not n:
             continue
         full = encoded(text)
         gold = np.zeros(len(full), np.int64)
         for s, e, k in labelled_spans(text):
             gold[s] = 1 + 2 * k
             gold[s + 1 : e] = 2 + 2 * k
-        last = -WINDOW
-        for m in marks:
-            if m < last + WINDOW // 2:
-                continue
-            last = m
-            for _ in range(2):
-                start = max(0, m - int(rng.integers(0, WINDOW)))
-                body = full[start : start + WINDOW]
-                pad = WINDOW - len(body)
-                codes.append(np.pad(body, (0, pad)))
-                tags.append(np.pad(gold[start : start + WINDOW], (0, pad)))
-                # a window may cut a span: what is left begins without its first character
-                if tags[-1][0] and tags[-1][0] % 2 == 0:
-                    tags[-1][0] -= 1
-        if len(codes) > 6000:
-            break
+        for start in (own if n == len(own) else np.sort(choice.choice(own, n, replace=False))).tolist():
+            body = full[start : start + WINDOW]
+            pad = WINDOW - len(body)
+            codes.append(np.pad(body, (0, pad)))
+            tags.append(np.pad(gold[start : start + WINDOW], (0, pad)))
+            # a window may cut a span: what is left begins without its first character
+            if tags[-1][0] and tags[-1][0] % 2 == 0:
+                tags[-1][0] -= 1
+    return codes, tags
+
+
+def train(texts: list[str], batches: int = 120, batch: int = 96, seed: int = 0, windows: int = 6000) -> Tagger | None:
+    """Fits a tagger on at most ``windows`` windows (or one a text) around the digits and @ of
+    ``texts``, of which every text gets its share; None without any."""
+    rng = np.random.default_rng(seed)
+    codes, tags = learning_windows(texts, rng, windows)
     if not codes:
         return None
     x, y = np.array(codes), np.array(tags)
@@ -370,13 +396,19 @@ def all_spans(model: Tagger | None, texts: list[str]) -> list[tuple[list, list]]
 # ---------------------------------------------------------------- the dataflow
 
 
-def fit(docs: DataFrame, most: int = 600) -> Tagger | None:
-    """Learns from at most about ``most`` texts that hold a digit or an @: of those with an id, the
-    least id of each of so many hash buckets. Ids alone are compared; the texts follow by a join."""
+def sample_ids(docs: DataFrame, most: int) -> DataFrame:
+    """At most ``most`` ids of texts that hold a digit or an @: of each of so many hash buckets the
+    id of least second hash, so that any part of the ids is met."""
     marked = docs.where(F.col("text").rlike("[0-9@]") & F.col("doc_id").isNotNull())
-    ids = marked.groupBy(F.pmod(F.xxhash64("doc_id"), F.lit(most)).alias("bucket")).agg(F.min("doc_id").alias("doc_id")).select("doc_id")
-    rows = docs.select("doc_id", "text").where(F.col("text").isNotNull()).join(F.broadcast(ids), "doc_id").collect()
-    return train([r.text for r in sorted(rows, key=lambda r: (r.doc_id, r.text))])
+    first = F.min(F.struct(F.xxhash64(F.lit(1), "doc_id").alias("h"), "doc_id"))
+    return marked.groupBy(F.pmod(F.xxhash64("doc_id"), F.lit(most)).alias("bucket")).agg(first.alias("m")).select("m.doc_id")
+
+
+def fit(docs: DataFrame, most: int = 600, windows: int = 6000) -> Tagger | None:
+    """Learns from at most about ``most`` texts that hold a digit or an @, those of ``sample_ids``,
+    and ``windows`` windows of them. Ids alone are compared; the texts follow by a join."""
+    rows = docs.select("doc_id", "text").where(F.col("text").isNotNull()).join(F.broadcast(sample_ids(docs, most)), "doc_id").collect()
+    return train([r.text for r in sorted(rows, key=lambda r: (r.doc_id, r.text))], windows=windows)
 
 
 def _parts(column) -> Iterator[tuple[int, list[str]]]:

@@ -156,3 +156,16 @@ def test_near_duplicates_of_repeated_ids(spark, tmp_path):
     assert got.columns == docs.columns
     want = [(1, a, "en"), (2, b, "en"), (5, c, "en"), (3, d, "en"), (4, e, "en"), (8, "", "en"), (None, a, "en"), (None, a, "en"), (10, None, "en")]
     assert sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str)
+
+
+def test_pii_learns_from_all_ids_and_texts(spark):
+    from ledgerline.llm.pii import learning_windows, sample_ids, shares
+
+    docs = spark.range(20000).selectExpr("id AS doc_id", "concat('call ', id) AS text")
+    ids = sorted(r.doc_id for r in sample_ids(docs, 100).collect())
+    assert len(ids) == 100 and sum(i >= 10000 for i in ids) > 25  # the least id of each bucket is below 2,000
+    assert shares(np.array([0, 3, 900, 500, 1]), 104).tolist() == [0, 3, 50, 50, 1] and shares(np.array([4, 5]), 9).tolist() == [4, 5]
+    assert shares(np.array([7, 0, 7]), 1).tolist() == [1, 0, 1]
+    texts = ["12 345 " * 21000, "write to jo.doe@mail.example.com", "server 10.20.30.40 is down"]
+    codes, tags = learning_windows(texts, np.random.default_rng(0), 6000)
+    assert len(codes) <= 6000 and {1, 3} <= {int(t) for w in tags for t in w}
