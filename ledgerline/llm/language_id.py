@@ -88,17 +88,19 @@ def score_bytes(filters: Filters, data: np.ndarray, offsets: np.ndarray) -> np.n
 
 
 def sample(docs: DataFrame, per_language: int, held_out: int, folds: int) -> DataFrame:
-    """At most ``per_language`` texts of each language, of the learning folds: the least document
-    of each of so many hash buckets. Sampling looks at ids only, texts follow by a small join."""
+    """At most ``per_language`` texts of each language, of the learning folds: of each of so many
+    hash buckets the id of least second hash, so that any part of the ids is met. Sampling looks at
+    ids only, texts follow by a small join."""
     ids = docs.where((crc_fold(F.col("doc_id"), folds) != held_out) & F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull())
-    ids = ids.groupBy("lang", (F.xxhash64("doc_id") % per_language).alias("bucket")).agg(F.min("doc_id").alias("doc_id"))
+    first = F.min(F.struct(F.xxhash64(F.lit(1), "doc_id").alias("h"), "doc_id"))
+    ids = ids.groupBy("lang", F.pmod(F.xxhash64("doc_id"), F.lit(per_language)).alias("bucket")).agg(first.alias("m")).select("lang", "m.doc_id")
     return docs.select("doc_id", "text").join(F.broadcast(ids.select("doc_id", "lang")), "doc_id").select("lang", "text")
 
 
 def identify_languages(docs: DataFrame, per_language: int = 200, held_out: int = 2, folds: int = 4) -> DataFrame:
     """(doc_id, held_out, lang_pred, score) for every row of ``docs`` (doc_id, text, lang).
 
-    Learns from at most about 2 * ``per_language`` texts for each language whose crc32 of the id
+    Learns from at most ``per_language`` ids' texts for each language whose crc32 of the id
     modulo ``folds`` isn't ``held_out``. A null text or one without letters is 'und' with score 0.
     Equal shares go to the language that sorts first. A text too short for any n-gram, or with
     none known, gets the first language and score 0. A null doc_id is in the fold of the empty

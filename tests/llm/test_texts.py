@@ -169,6 +169,14 @@ def test_language_id(spark):
     assert identify_languages(docs.where("false")).count() == 0
 
 
+def test_language_sample_meets_all_ids(spark):
+    from ledgerline.llm.language_id import sample
+
+    docs = spark.range(20000).selectExpr("id AS doc_id", "string(id) AS text", "'aa' AS lang")
+    ids = [int(r.text) for r in sample(docs, 100, 2, 4).collect()]
+    assert len(ids) == 100 and sum(i >= 10000 for i in ids) > 25
+
+
 def test_toxicity(spark):
     from ledgerline.llm.toxicity import drop_toxic, fit, marginals, score_texts, toxicity_report
 
