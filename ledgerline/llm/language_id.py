@@ -1,7 +1,8 @@
 """Language identification by bit-sliced Bloom filters of byte n-grams.
 
 One Bloom filter for each language, all of one size and with the same hash functions, is stored
-sliced: slot i holds a mask with bit l set if bit i of language l's filter is set. The AND of an
+sliced: slot i holds a mask with bit l set if bit i of language l's filter is set; beyond 64
+languages it holds several such words, each for the next 64. The AND of an
 n-gram's slots is the set of all languages that (seem to) contain it. A text's n-grams give one
 count for each language, which is corrected by the filter's rate of false positives; the language
 with the largest corrected share wins.
@@ -34,11 +35,12 @@ class Filters:
     false_rate: np.ndarray
     hashes: int
 
-    def masks(self, grams: np.ndarray) -> np.ndarray:
-        width = np.uint64(len(self.slots) - 1)
-        found = self.slots[(grams & width).astype(np.int64)]
+    def masks(self, grams: np.ndarray, word: int) -> np.ndarray:
+        slots = self.slots[word]
+        width = np.uint64(len(slots) - 1)
+        found = slots[(grams & width).astype(np.int64)]
         for k in range(1, self.hashes):
-            found = found & self.slots[((grams >> np.uint64(21 * k)) & width).astype(np.int64)]
+            found = found & slots[((grams >> np.uint64(21 * k)) & width).astype(np.int64)]
         return found
 
 
@@ -49,13 +51,11 @@ def _grams(data: np.ndarray) -> list[np.ndarray]:
 
 def train(texts: list[str], languages: list[str], share: float = 0.02, bits: int = 20, hashes: int = 2) -> Filters:
     """Filters of the n-grams that at least ``share`` of a language's texts contain (and two), so
-    that a passage quoted from another language doesn't enter. Up to 64 languages."""
+    that a passage quoted from another language doesn't enter."""
     names = tuple(sorted(set(languages)))
-    if len(names) > 64:
-        raise ValueError("more than 64 languages")
     kind = np.uint8 if len(names) <= 8 else np.uint16 if len(names) <= 16 else np.uint64
-    slots = np.zeros(1 << bits, kind)
-    width = np.uint64(len(slots) - 1)
+    slots = np.zeros((-(-len(names) // 64), 1 << bits), kind)
+    width = np.uint64(slots.shape[1] - 1)
     for at, name in enumerate(names):
         own = [t for t, l in zip(texts, languages, strict=True) if l == name]
         for n in range(len(SIZES)):
@@ -63,8 +63,8 @@ def train(texts: list[str], languages: list[str], share: float = 0.02, bits: int
             found, times = np.unique(np.concatenate(each) if each else np.empty(0, np.uint64), return_counts=True)
             kept = found[times >= max(min(2, len(own)), share * len(own))]
             for k in range(hashes):
-                slots[((kept >> np.uint64(21 * k)) & width).astype(np.int64)] |= kind(1 << at)
-    fill = np.array([((slots >> kind(at)) & kind(1)).mean() for at in range(len(names))])
+                slots[at // 64, ((kept >> np.uint64(21 * k)) & width).astype(np.int64)] |= kind(1 << at % 64)
+    fill = np.array([((slots[at // 64] >> kind(at % 64)) & kind(1)).mean() for at in range(len(names))])
     return Filters(names, slots, fill**hashes, hashes)
 
 
@@ -75,13 +75,14 @@ def score_bytes(filters: Filters, data: np.ndarray, offsets: np.ndarray) -> np.n
     for grams, n in zip(_grams(data), SIZES, strict=True):
         if not len(grams):
             continue
-        masks = filters.masks(grams)
         first = np.minimum(offsets[:-1], len(grams))
         end = np.maximum(first, np.minimum(offsets[1:] - n + 1, len(grams)))
         count += end - first
         for at in range(len(filters.languages)):
+            if at % 64 == 0:
+                masks = filters.masks(grams, at // 64)
             sums = np.zeros(len(grams) + 1, np.int32)
-            np.cumsum((masks >> masks.dtype.type(at)) & masks.dtype.type(1), dtype=np.int32, out=sums[1:])
+            np.cumsum((masks >> masks.dtype.type(at % 64)) & masks.dtype.type(1), dtype=np.int32, out=sums[1:])
             total[:, at] += sums[end] - sums[first]
     expected = count[:, None] * filters.false_rate
     return np.maximum(0, (total - expected) / (1 - filters.false_rate)) / np.maximum(count, 1)[:, None]

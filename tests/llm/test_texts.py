@@ -177,6 +177,17 @@ def test_language_sample_meets_all_ids(spark):
     assert len(ids) == 100 and sum(i >= 10000 for i in ids) > 25
 
 
+def test_more_than_64_languages():
+    from ledgerline.llm.language_id import predict, train
+
+    rng = random.Random(3)
+    names = [f"l{i:03}" for i in range(130)]
+    stems = {n: ["".join(rng.choice("abcdefghijklmnop") for _ in range(7)) for _ in range(6)] for n in names}
+    text = lambda n: " ".join(rng.choice(stems[n]) for _ in range(20))
+    filters = train([text(n) for n in names for _ in range(4)], [n for n in names for _ in range(4)])
+    assert predict(filters, [text(n) for n in names]) == names
+
+
 def test_toxicity(spark):
     from ledgerline.llm.toxicity import drop_toxic, fit, marginals, score_texts, toxicity_report
 
