@@ -140,10 +140,10 @@ def nearest_neighbours(embeddings: DataFrame, k: int = 20, step: int = 20, centr
         order = np.argsort(cell, kind="stable")
         names, begin = np.unique(cell[order], return_index=True)
         slots = dict(zip(names.tolist(), zip(begin.tolist(), [*begin[1:].tolist(), len(cell)], strict=True), strict=True))
-        return v[order], [ids[i] for i in order], slots
+        return v[order], [ids[i] for i in order], slots, float(np.sqrt((v * v).sum(axis=1)).max(initial=0.0))
 
     def answer(state, queries, q, wants):
-        v, ids, slots = state
+        v, ids, slots, longest = state
         out: list[tuple] = []
         for query, row, want in zip(queries.tolist(), q, wants, strict=True):
             spans = [slots[c] for c in np.frombuffer(want, np.int32).tolist() if c in slots]
@@ -151,8 +151,9 @@ def nearest_neighbours(embeddings: DataFrame, k: int = 20, step: int = 20, centr
                 continue
             pick = np.concatenate([np.arange(b, e) for b, e in spans])
             rough = v[pick] @ row
-            more = min(len(pick), k + 8)
-            pick = pick[np.argpartition(-rough, more - 1)[:more]] if more < len(pick) else pick
+            if len(pick) > k + 1:  # all that may tie with the k+1-th best, as both products round
+                slack = 4 * len(row) * np.finfo(np.float64).eps * longest * float(np.sqrt(row @ row))
+                pick = pick[rough >= np.partition(rough, len(rough) - k - 1)[len(rough) - k - 1] - slack]
             scores = sequential_products(v[pick], np.broadcast_to(row, (len(pick), len(row))))
             out += ((query, vec, score) for vec, score in take_best(query, scores, [ids[i] for i in pick], k))
         columns = list(zip(*out, strict=True)) if out else [[]] * 3

@@ -53,6 +53,21 @@ def test_multi_index_recall(spark):
     assert nearest_neighbours(table.where("vec_id = 20")).count() == 0
 
 
+def test_multi_index_keeps_all_ties(spark, monkeypatch):
+    from ledgerline.llm import multi_index
+
+    monkeypatch.setattr(multi_index, "calibrated_share", lambda *_: 1.0)
+    rng = np.random.default_rng(4)
+    x = np.unique(rng.integers(0, 2, (1200, 10)), axis=0)
+    x = rng.permutation(x[x.sum(axis=1) > 0])
+    vectors = {i: v.astype(np.float64) for i, v in enumerate(x)}
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in vectors.items()], "vec_id long, embedding array<float>")
+    got = {}
+    for r in multi_index.nearest_neighbours(table, centroids=4).collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.vec_id))
+    assert {q: [i for _, i in sorted(rows)] for q, rows in got.items()} == {q: [i for i, _ in rows] for q, rows in truth(vectors, 20, 20).items()}
+
+
 def test_traverse_meets_cells_in_order():
     from ledgerline.llm.multi_index import traverse
 
