@@ -21,31 +21,68 @@ def fixture(spark, more=()):
     return spark.createDataFrame([(i, t, 1, "x") for i, t in rows], SCHEMA)
 
 
-def test_jaccard_components(spark):
-    from ledgerline.llm.jaccard_join import jaccard_components
+def shingles(text, n=4):
+    w = re.findall(rb"[^\x20\x09-\x0d]+", re.sub(rb"[A-Z]", lambda m: m[0].lower(), (text or "").encode()))
+    return {tuple(w[i : i + n]) for i in range(len(w) - n + 1)} or ({tuple(w)} if w else set())
 
-    docs = fixture(spark)
-    rows = docs.select("doc_id", "text").collect()
 
-    def shingles(text):
-        w = re.findall(rb"[^\x20\x09-\x0d]+", re.sub(rb"[A-Z]", lambda m: m[0].lower(), (text or "").encode()))
-        return {tuple(w[i : i + 4]) for i in range(len(w) - 3)} or ({tuple(w)} if w else set())
-
-    sets = {r.doc_id: shingles(r.text) for r in rows if r.doc_id is not None}
+def linked(sets, percent=85):
+    """The least id that each id of ``sets`` reaches, by comparing all pairs."""
     lead = {i: i for i in sets}
     find = lambda x: x if lead[x] == x else find(lead[x])
     for a in sets:
         for b in sets:
-            if a < b and sets[a] and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b]):
+            if a < b and sets[a] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b]):
                 x, y = sorted((find(a), find(b)))
                 lead[y] = x
+    return {i: find(i) for i in sets}
+
+
+def test_jaccard_components(spark):
+    from ledgerline.llm.jaccard_join import jaccard_components
+
+    docs = fixture(spark)
+    rows = docs.select("doc_id", "text").collect()
+    reached = linked({r.doc_id: shingles(r.text) for r in rows if r.doc_id is not None})
     got = [(r.doc_id, r.n_shingles, r.component_id) for r in jaccard_components(docs).collect()]
-    want = [(r.doc_id, len(shingles(r.text)), None if r.doc_id is None else find(r.doc_id)) for r in rows]
+    want = [(r.doc_id, len(shingles(r.text)), None if r.doc_id is None else reached[r.doc_id]) for r in rows]
     assert sorted(got, key=str) == sorted(want, key=str)
-    assert find(23) == 1 and find(12) != 10
+    assert reached[23] == 1 and reached[12] != 10
     assert jaccard_components(docs.where("false")).count() == 0
 
 
+@pytest.mark.parametrize("small", [16, 2])
+def test_jaccard_opens_groups(spark, monkeypatch, small):
+    """Groups around a leader with members that don't link with it but with each other, by edits
+    that several of them share; ``small`` decides which groups have their overlaps counted."""
+    from ledgerline.llm import jaccard_join
+
+    monkeypatch.setattr(jaccard_join, "SMALL", small)
+    opened, differing = [], jaccard_join._differing
+    monkeypatch.setattr(jaccard_join, "_differing", lambda *a: opened.append(differing(*a)) or opened[-1])
+    rng = random.Random(11)
+    words = [f"w{i}" for i in range(400)]
+    rows = []
+    for base in range(3):
+        text = [rng.choice(words) for _ in range(80)]
+        rows += [(len(rows) + k, " ".join(text)) for k in range(2)]
+        cuts = [rng.randrange(80) for _ in range(6)]
+        for _ in range(40):
+            own = list(text)
+            for at in sorted(rng.sample(cuts, rng.randint(1, 4)), reverse=True):
+                del own[at]
+            for _ in range(rng.randint(0, 3)):
+                own[rng.randrange(len(own))] = rng.choice(words)
+            rows.append((len(rows), " ".join(own)))
+    rows += [(len(rows) + k, " ".join(rng.choice(words) for _ in range(60))) for k in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    reached = linked({i: shingles(t) for i, t in rows})
+    got = {r.doc_id: r.component_id for r in jaccard_join.jaccard_components(docs).collect()}
+    assert got == reached
+    assert 10 < len(set(reached.values())) < len(rows) - 40
+    assert opened and opened[0].count() > 0
+
+
 def dedup(rows, length):
     seen, out = {}, {}
     for doc, text in sorted({(i, t) for i, t in rows if i is not None}, key=lambda x: x[0]):
