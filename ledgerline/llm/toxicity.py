@@ -11,6 +11,7 @@ same sample, the document's score.
 from __future__ import annotations
 
 import re
+import uuid
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -21,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .chunks import held
 from .common import crc_fold
 
 WORD = re.compile(r"[^\W\d_]+")
@@ -32,7 +34,8 @@ RATIO = 3.0
 
 
 def features(word: str) -> tuple[int, ...]:
-    """Feature buckets of a lower-cased word: itself, three prefixes and its suffix."""
+    """Feature buckets of a word, lower-cased: itself, three prefixes and its suffix."""
+    word = word.lower()
     parts = [f"w{word}", *(f"{n}{word[:n]}" for n in STEMS), f"s{word[-3:]}"]
     return tuple(zlib.crc32(p.encode("utf-8", "surrogatepass")) & (BUCKETS - 1) for p in parts)
 
@@ -45,18 +48,19 @@ class Field:
     layer: np.ndarray  # bias and weights of the document layer
 
     def __post_init__(self):
-        self.cache: dict[str, float] = {}
+        self.key = uuid.uuid4().hex
 
     def evidence(self, words: list[str]) -> np.ndarray:
-        """Emission weight of each word, by a table of the words seen so far."""
-        cache = self.cache
-        if len(cache) > 300_000:
+        """Emission weight of each word, by a table of the words seen so far, which the worker
+        process drops for the next step's."""
+        cache: dict[str, float] = held(("toxicity", self.key), dict)
+        if len(cache) > 200_000:
             cache.clear()
         new = [w for w in set(words) if w not in cache]
         if new:
             rows = np.array([features(w) for w in new], np.int64)
             cache.update(zip(new, (self.emission[rows].sum(axis=1)).tolist(), strict=True))
-        return np.fromiter((cache[w] for w in words), np.float64, len(words))
+        return np.fromiter(map(cache.__getitem__, words), np.float64, len(words))
 
 
 def messages(potentials: np.ndarray, lengths: np.ndarray, transition: np.ndarray):
@@ -109,7 +113,7 @@ def _tags(docs: list[np.ndarray], toxic: np.ndarray, words: list[str]) -> np.nda
     for ids, y in zip(docs, toxic, strict=True):
         (inside if y else outside).update({k for i in set(ids.tolist()) for k in keys[i]})
     n1, n0 = toxic.sum() + 1.0, (1 - toxic).sum() + 1.0
-    strong = {k for k, c in inside.items() if c >= max(4, 0.02 * n1) and np.log((c + 0.5) / n1) - np.log((outside[k] + 0.5) / n0) > RATIO}
+    strong = {k for k, c in inside.items() if c >= max(4, 0.01 * n1) and np.log((c + 0.5) / n1) - np.log((outside[k] + 0.5) / n0) > RATIO}
     marks = np.array([any(k in strong for k in own) for own in keys], float)
     return np.concatenate([marks[ids] * y for ids, y in zip(docs, toxic, strict=True)])
 
@@ -129,22 +133,23 @@ def _document_features(p: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.stack([np.ones(len(lengths)), np.log1p(total), top, (count >= 2).astype(float), 10 * np.minimum(0.1, total / np.maximum(lengths, 1))], axis=1)
 
 
-def _unlike(docs: list[np.ndarray], least: int = 24) -> list[int]:
+def _unlike(docs: list[np.ndarray], toxic: list[int], least: int = 24) -> list[int]:
     """Documents that share less than a third of a sketch (the four-word shingles of least hash)
-    with each one before: copies of one toxic text would make its every word a mark."""
-    seen: dict[int, list[int]] = {}
+    with each one before of their label: copies of one toxic text would make its every word a
+    mark."""
+    seen: dict[tuple[int, int], list[int]] = {}
     kept = []
-    for n, ids in enumerate(docs):
+    for n, (ids, y) in enumerate(zip(docs, toxic, strict=True)):
         k = min(4, max(1, len(ids)))
         hashed = np.zeros(max(0, len(ids) - k + 1), np.uint64)
         for i in range(k):
             hashed = (hashed + ids[i : len(ids) - k + 1 + i].astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
         sketch = np.unique(hashed ^ (hashed >> np.uint64(29)))[:least].tolist()
-        met = Counter(m for h in sketch for m in seen.get(h, ()))
+        met = Counter(m for h in sketch for m in seen.get((y, h), ()))
         if not met or max(met.values()) < max(2, len(sketch) / 3):
             kept.append(n)
             for h in sketch:
-                seen.setdefault(h, []).append(n)
+                seen.setdefault((y, h), []).append(n)
     return kept
 
 
@@ -153,8 +158,8 @@ def train(texts: list[str], toxic: list[int], rounds: int = 20) -> Field:
     vocabulary: dict[str, int] = {}
     docs = []  # as word numbers: the words themselves would fill the driver
     for t in texts:
-        docs.append(np.array([vocabulary.setdefault(w, len(vocabulary)) for w in WORD.findall((t or "").lower())], np.int32))
-    kept = _unlike(docs)
+        docs.append(np.array([vocabulary.setdefault(w.lower(), len(vocabulary)) for w in WORD.findall(t or "")], np.int32))
+    kept = _unlike(docs, toxic)
     docs, y = [docs[n] for n in kept], np.array(toxic, float)[kept]
     table = np.array([features(w) for w in vocabulary] or np.zeros((0, KINDS)), np.int64).reshape(-1, KINDS)
     lengths = np.array([len(d) for d in docs], np.int64)
@@ -208,9 +213,9 @@ def train(texts: list[str], toxic: list[int], rounds: int = 20) -> Field:
 
 
 def score_texts(field: Field, texts: list[str | None], spans: bool = False):
-    """Scores of texts in [0, 1]; with ``spans`` also each text's offending (start, end) offsets."""
-    found = [list(WORD.finditer((t or "").lower())) if spans else None for t in texts]
-    docs = [[m.group() for m in f] for f in found] if spans else [WORD.findall((t or "").lower()) for t in texts]
+    """Scores of texts in [0, 1]; with ``spans`` also each text's offending (start, end) offsets,
+    those of words more likely toxic than not, in code points of the text as it is."""
+    docs = [WORD.findall(t or "") for t in texts]
     lengths = np.array([len(d) for d in docs], np.int64)
     u = (np.concatenate([field.evidence(d) for d in docs]) if len(docs) else np.empty(0)) + field.bias
     p = marginals(u, lengths, field.transition)
@@ -218,15 +223,20 @@ def score_texts(field: Field, texts: list[str | None], spans: bool = False):
     scores = 1 / (1 + np.exp(-np.clip(x @ field.layer, -30, 30)))
     if not spans:
         return scores
-    ends = np.cumsum(lengths)
-    marks = [[(m.start(), m.end()) for m, q in zip(f, p[e - n : e], strict=True) if q > 0.5] for f, e, n in zip(found, ends, lengths, strict=True)]
+    marks: list[list[tuple[int, int]]] = [[] for _ in texts]
+    hits = np.flatnonzero(p > 0.5)
+    owner = np.searchsorted(np.cumsum(lengths), hits, side="right")
+    for i in np.unique(owner).tolist():
+        inside = set((hits[owner == i] - int(lengths[:i].sum())).tolist())
+        marks[i] = [m.span() for n, m in enumerate(WORD.finditer(texts[i])) if n in inside]
     return scores, marks
 
 
-def fit(docs: DataFrame, labels: DataFrame, most: int = 1200, held_out: int | None = 1, folds: int = 3) -> Field:
+def fit(docs: DataFrame, labels: DataFrame, most: int = 1200, held_out: int | None = 1, folds: int = 3, most_bytes: int = 1 << 20) -> Field:
     """Learns from at most ``most`` toxic and ``most`` other labelled documents, those of least
-    hash, outside fold ``held_out``. Documents with a null label or text aren't learned from; of
-    several labels of one document the largest counts."""
+    hash, outside fold ``held_out``. Documents with a null label or text, or a text of more than
+    ``most_bytes``, aren't learned from; of several labels of one document the largest counts, of
+    several texts the first in order."""
     known = labels.where("doc_id is not null and toxic in (0, 1)")
     if held_out is not None:
         known = known.where(crc_fold(F.col("doc_id"), folds) != held_out)
@@ -236,47 +246,52 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = 1200, held_out: int | No
     for y in (0, 1):
         part = ranked.where(F.col("toxic") == y).orderBy("h").limit(most).select("doc_id", "toxic")
         chosen = part if chosen is None else chosen.union(part)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("text is not null").join(F.broadcast(chosen), "doc_id").select("toxic", "text", "doc_id").collect()
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where(F.col("text").isNotNull() & (F.octet_length("text") <= most_bytes))
+    rows = texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.min("text").alias("text")).collect()
     rows = sorted((r.doc_id, r.toxic, r.text) for r in rows)
     return train([r[2] for r in rows], [int(r[1]) for r in rows])
 
 
+def _in_parts(field: Field, column, spans: bool = False) -> Iterator:
+    """Scores, with ``spans`` also offsets, of some thousand texts or megabytes at a time."""
+    size = column.nbytes / max(1, len(column))
+    step = max(1, min(2000, int(4e6 / max(1.0, size))))
+    return (score_texts(field, column.slice(i, step).to_pylist(), spans) for i in range(0, len(column), step))
+
+
 def score_documents(docs: DataFrame, field: Field, held_out: int = 1, folds: int = 3) -> DataFrame:
-    """(doc_id, held_out, score) for every row of ``docs`` (doc_id, text). Null and empty texts get
-    the score of a text without words; repeated rows come back each; a null doc_id is in the fold
-    of the empty text; other columns are ignored."""
+    """(doc_id, held_out, score, spans) for every row of ``docs`` (doc_id, text); spans are the
+    offending offsets as start:end, end exclusive, comma-joined. Null and empty texts get the score
+    of a text without words; repeated rows come back each; a null doc_id is in the fold of the
+    empty text; other columns are ignored."""
     shared = docs.sparkSession.sparkContext.broadcast(field)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            scores = _in_parts(shared.value, batch.column(1))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(scores, pa.float64())], ["doc_id", "held_out", "score"])
+            scores, told = [np.empty(0)], []
+            for part, marks in _in_parts(shared.value, batch.column(1), True):
+                scores.append(part)
+                told += [",".join(f"{s}:{e}" for s, e in own) for own in marks]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(np.concatenate(scores), pa.float64()), pa.array(told, pa.string())], ["doc_id", "held_out", "score", "spans"])
 
     every = docs.select(F.col("doc_id").cast("long"), "text", (crc_fold(F.col("doc_id"), folds) == held_out).alias("held_out"))
-    return every.mapInArrow(scan, "doc_id long, held_out boolean, score double")
-
-
-def _in_parts(field: Field, column) -> np.ndarray:
-    """Scores of a whole Arrow column, some thousand texts or megabytes at a time."""
-    size = column.nbytes / max(1, len(column))
-    step = max(1, min(2000, int(4e6 / max(1.0, size))))
-    parts = [score_texts(field, column.slice(i, step).to_pylist()) for i in range(0, len(column), step)]
-    return np.concatenate(parts) if parts else np.empty(0)
+    return every.mapInArrow(scan, "doc_id long, held_out boolean, score double, spans string")
 
 
 def toxicity_report(docs: DataFrame, labels: DataFrame, threshold: float = 0.7) -> DataFrame:
-    """(doc_id, held_out, score, predicted) for every document."""
+    """(doc_id, held_out, score, predicted, spans) for every document."""
     out = score_documents(docs, fit(docs, labels))
-    return out.withColumn("predicted", F.when(F.col("score") >= threshold, 1).otherwise(0).cast("int"))
+    return out.select("doc_id", "held_out", "score", F.when(F.col("score") >= threshold, 1).otherwise(0).cast("int").alias("predicted"), "spans")
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.7) -> DataFrame:
-    """``docs`` without those that score ``threshold`` or more; columns and other rows stay."""
+    """``docs`` without those that score ``threshold`` or more; columns and other rows stay. Only
+    texts go to Python and only scores come back."""
     shared = docs.sparkSession.sparkContext.broadcast(fit(docs, labels))
-    at = docs.columns.index("text")
 
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield batch.filter(pa.array(_in_parts(shared.value, batch.column(at)) < threshold, pa.bool_()))
+    @F.arrow_udf("double")
+    def score(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for column in columns:
+            yield pa.array(np.concatenate([np.empty(0), *_in_parts(shared.value, column)]), pa.float64())
 
-    return docs.mapInArrow(scan, docs.schema)
+    return docs.where(score("text") < threshold)
