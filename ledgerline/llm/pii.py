@@ -22,7 +22,6 @@ from pyspark.sql import functions as F
 
 KINDS = ("email", "ip", "card", "phone")
 DOMAIN = re.compile(r"@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
-LOCAL = re.compile(r"[A-Za-z0-9._%+-]+\Z")
 IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
@@ -404,11 +403,13 @@ def sample_ids(docs: DataFrame, most: int) -> DataFrame:
     return marked.groupBy(F.pmod(F.xxhash64("doc_id"), F.lit(most)).alias("bucket")).agg(first.alias("m")).select("m.doc_id")
 
 
-def fit(docs: DataFrame, most: int = 600, windows: int = 6000) -> Tagger | None:
-    """Learns from at most about ``most`` texts that hold a digit or an @, those of ``sample_ids``,
-    and ``windows`` windows of them. Ids alone are compared; the texts follow by a join."""
-    rows = docs.select("doc_id", "text").where(F.col("text").isNotNull()).join(F.broadcast(sample_ids(docs, most)), "doc_id").collect()
-    return train([r.text for r in sorted(rows, key=lambda r: (r.doc_id, r.text))], windows=windows)
+def fit(docs: DataFrame, most: int = 600, windows: int = 6000, most_bytes: int = 1 << 20) -> Tagger | None:
+    """Learns from at most ``most`` texts that hold a digit or an @ and have ``most_bytes`` at most,
+    those of ``sample_ids``, and ``windows`` windows of them, or one a text. Ids alone are compared; the texts
+    follow by a join, of several texts of one id the first in order."""
+    texts = docs.select("doc_id", "text").where(F.col("text").isNotNull() & (F.octet_length("text") <= most_bytes))
+    rows = texts.join(F.broadcast(sample_ids(texts, most)), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text")).collect()
+    return train([r.text for r in sorted(rows, key=lambda r: r.doc_id)], windows=windows)
 
 
 def _parts(column) -> Iterator[tuple[int, list[str]]]:
@@ -440,8 +441,6 @@ def redact(docs: DataFrame, model: Tagger | None) -> DataFrame:
     """``docs`` with every span in ``text`` replaced by its kind in brackets, as <EMAIL>; spans that
     overlap are replaced together under the first one's kind. Rows and columns stay."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    names = docs.columns
-    at = names.index("text")
 
     def clean(text: str, spans: list[tuple[int, int, int]]) -> str:
         parts, done = [], 0
@@ -451,13 +450,14 @@ def redact(docs: DataFrame, model: Tagger | None) -> DataFrame:
             done = max(done, e)
         return "".join(parts) + text[done:]
 
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column(at).to_pylist()
-            for i, some in _parts(batch.column(at)):
+    @F.arrow_udf("string")
+    def redacted(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for column in columns:
+            texts = column.to_pylist()
+            for i, some in _parts(column):
                 for n, (text, (_, spans)) in enumerate(zip(some, all_spans(shared.value, some), strict=True)):
                     if spans:
                         texts[i + n] = clean(text, spans)
-            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()) if k == at else batch.column(k) for k in range(len(names))], names)
+            yield pa.array(texts, pa.string())
 
-    return docs.mapInArrow(scan, docs.schema)
+    return docs.withColumn("text", redacted("text"))
