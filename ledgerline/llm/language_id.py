@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bytescan import RangeHash, blocks, column_bytes, join_texts
-from .common import crc_fold
+from .common import broadcast_if_small, crc_fold
 from .shingles import LOWER
 
 LETTER = re.compile(r"[^\W\d_]")
@@ -44,6 +44,11 @@ class Filters:
         return found
 
 
+def has_letter(text: str | None) -> bool:
+    """Whether a text has a letter; word characters like superscript digits are none."""
+    return text is not None and any(m.group().isalpha() for m in LETTER.finditer(text))
+
+
 def _grams(data: np.ndarray) -> list[np.ndarray]:
     hashed = RangeHash(LOWER[data], 0)
     return [hashed.grams(n) for n in SIZES]
@@ -88,14 +93,15 @@ def score_bytes(filters: Filters, data: np.ndarray, offsets: np.ndarray) -> np.n
     return np.maximum(0, (total - expected) / (1 - filters.false_rate)) / np.maximum(count, 1)[:, None]
 
 
-def sample(docs: DataFrame, per_language: int, held_out: int, folds: int) -> DataFrame:
-    """At most ``per_language`` texts of each language, of the learning folds: of each of so many
-    hash buckets the id of least second hash, so that any part of the ids is met. Sampling looks at
-    ids only, texts follow by a small join."""
-    ids = docs.where((crc_fold(F.col("doc_id"), folds) != held_out) & F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull())
+def sample(docs: DataFrame, per_language: int, held_out: int, folds: int, most_bytes: int = 1 << 20) -> DataFrame:
+    """At most ``per_language`` texts, of ``most_bytes`` at most, of each language, of the learning
+    folds: of each of so many hash buckets the id of least second hash, so that any part of the ids
+    is met, and of its texts in that language the first in order. Sampling looks at ids only, texts
+    follow by a small join."""
+    told = docs.where((crc_fold(F.col("doc_id"), folds) != held_out) & F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & (F.octet_length("text") <= most_bytes))
     first = F.min(F.struct(F.xxhash64(F.lit(1), "doc_id").alias("h"), "doc_id"))
-    ids = ids.groupBy("lang", F.pmod(F.xxhash64("doc_id"), F.lit(per_language)).alias("bucket")).agg(first.alias("m")).select("lang", "m.doc_id")
-    return docs.select("doc_id", "text").join(F.broadcast(ids.select("doc_id", "lang")), "doc_id").select("lang", "text")
+    ids = told.groupBy("lang", F.pmod(F.xxhash64("doc_id"), F.lit(per_language)).alias("bucket")).agg(first.alias("m")).select("lang", "m.doc_id")
+    return told.join(broadcast_if_small(ids), ["doc_id", "lang"]).groupBy("doc_id", "lang").agg(F.min("text").alias("text")).select("lang", "text")
 
 
 def identify_languages(docs: DataFrame, per_language: int = 200, held_out: int = 2, folds: int = 4) -> DataFrame:
@@ -117,7 +123,7 @@ def identify_languages(docs: DataFrame, per_language: int = 200, held_out: int =
         known = shared.value
         for batch in batches:
             texts = batch.column(1).to_pylist()
-            letters = [t is not None and LETTER.search(t) is not None for t in texts]
+            letters = [has_letter(t) for t in texts]
             names, scores = ["und"] * len(texts), [0.0] * len(texts)
             if known is not None:
                 for begin, end, data, offsets in blocks(*column_bytes(batch.column(1)), CHUNK):
