@@ -16,6 +16,8 @@ from re import _parser
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import broadcast_if_small, staged
+
 #: An exact set of strings is flushed into the query beyond this size.
 SET_LIMIT = 32
 
@@ -189,8 +191,9 @@ def find_secrets(docs: DataFrame, rules: tuple[Rule, ...] = BASE + MORE) -> Data
     end) by start, then by the rules' order. A null text counts as empty. Rows with one doc_id, or
     a null one, share their candidates and are each verified on their own text."""
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    may = candidates(postings(docs, rules), rules)
-    rows = docs.join(may.withColumnRenamed("doc_id", "_doc"), F.col("doc_id").eqNullSafe(F.col("_doc")), "left")
+    may = staged(candidates(postings(docs, rules), rules), "candidates")
+    # few documents are candidates, so the texts stay where they are
+    rows = docs.join(broadcast_if_small(may.withColumnRenamed("doc_id", "_doc")), F.col("doc_id").eqNullSafe(F.col("_doc")), "left")
     empty = F.array().cast("array<struct<start:int,ord:int,kind:string,end:int>>")
     parts = []
     for order, rule in enumerate(rules):
@@ -215,5 +218,5 @@ def scan_text(text: str, rules: tuple[Rule, ...] = BASE) -> list[tuple[int, int,
     """The same spans of one text by plain matching, for tests: (start, end, kind)."""
     found = []
     for order, rule in enumerate(rules):
-        found += [(m.start(), order, m.end(), rule.kind) for m in re.finditer(rule.pattern, text) if len(m[rule.group]) >= rule.least]
+        found += [(m.start(), order, m.end(), rule.kind) for m in re.finditer(rule.pattern, text, re.ASCII) if len(m[rule.group]) >= rule.least]
     return [(s, e, k) for s, _, e, k in sorted(found)]
