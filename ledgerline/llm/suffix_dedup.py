@@ -11,6 +11,7 @@
    sorted by recursion, the remaining suffixes by their first symbol and the rank that follows, and
    the two orders are merged. Neighbours in the order that share ``length`` bytes form a class; all
    of its windows but the earliest are removed.
+   An anchor with very many contexts is first split by longer anchors within it.
 3. The windows found are merged to byte runs for each document and cut out.
 
 Names that span ``length`` bytes or more need no further recursion, as no longer prefix is compared.
@@ -30,10 +31,11 @@ from .bytescan import RangeHash, blocks, column_bytes, minimizer_runs
 from .common import staged
 
 CHUNK = 1 << 18
+#: Bytes of the anchor.
 GRAM = 32
-#: Windows of an anchor with more contexts than this meet by the hash of the whole window.
+#: An anchor with more contexts than this is split by longer anchors, see ``grams``.
 HOT = 2000
-#: A context is packed as first start * 256 + number of starts - 1 (fewer than 256 - GRAM).
+#: A context is packed as first start * 256 + number of starts - 1 (fewer than 256).
 PACK = 256
 
 
@@ -140,21 +142,32 @@ def repeated_windows(data: np.ndarray, starts: np.ndarray, length: int) -> np.nd
 # ---------------------------------------------------------------- the dataflow
 
 
-def _runs(docs: DataFrame, length: int) -> DataFrame:
-    """Context rows (kind 0: akey, ckey, doc_id, at) of first occurrences in a batch, and (kind 1)
-    contexts that the batch itself shows to be repeats."""
+def grams(length: int) -> list[int]:
+    """Lengths of anchors, ever longer; the last is the whole window, so that under one anchor all
+    windows are equal and none is left to sort."""
+    out, rest = [min(GRAM, length)], length - min(GRAM, length)
+    while rest:
+        rest = rest // 2 if rest > 4 else 0
+        out.append(length - rest)
+    return out
+
+
+def _runs(bodies: DataFrame, length: int, gram: int) -> DataFrame:
+    """From (doc_id, body, base), bytes that begin at ``base`` in their document: context rows (kind
+    0: akey, ckey, doc_id, at) of first occurrences in a batch, and (kind 1) contexts that the batch
+    itself shows to be repeats."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
+            ids, base = (batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in (0, 2))
             found = []
             for begin, end, data, offsets in blocks(*column_bytes(batch.column(1)), CHUNK):
-                at, first, last, akey = minimizer_runs(data, offsets, length, GRAM)
+                at, first, last, akey = minimizer_runs(data, offsets, length, gram)
                 if len(at):
                     ckey = RangeHash(data, 1).of(first, last + length) + (at - first).astype(np.uint64)
                     which = np.searchsorted(offsets, first, side="right") - 1
                     # a text without bytes shares its offset with the next one
-                    found.append((akey.view(np.int64), ckey.view(np.int64), ids[begin + which].astype(np.int64), (first - offsets[which]) * PACK + last - first))
+                    found.append((akey.view(np.int64), ckey.view(np.int64), ids[begin + which], (base[begin + which] + first - offsets[which]) * PACK + last - first))
             if not found:
                 continue
             akey, ckey, doc, at = (np.concatenate(x) for x in zip(*found, strict=True))
@@ -170,7 +183,7 @@ def _runs(docs: DataFrame, length: int) -> DataFrame:
             akey, ckey, doc, at, kind = (x[~same] for x in (akey, ckey, doc, at, kind))
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in (akey, ckey, doc, at, kind)], ["akey", "ckey", "doc_id", "at", "kind"])
 
-    return docs.mapInArrow(scan, "akey long, ckey long, doc_id long, at long, kind int")
+    return bodies.mapInArrow(scan, "akey long, ckey long, doc_id long, at long, kind int")
 
 
 def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -207,8 +220,7 @@ def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _cut_out(length: int):
-    """From (doc_id, text, contexts): the bytes of each context, or for anchors with very many
-    contexts the digest of each window."""
+    """From (doc_id, text, contexts): the bytes of each context."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -219,14 +231,10 @@ def _cut_out(length: int):
                 text = data[offsets[i] : offsets[i + 1]].tobytes()
                 for spot in spots:
                     first, more = divmod(spot["at"], PACK)
-                    if first + more + length > len(text):
-                        continue  # of another row with this doc_id
-                    if spot["hot"]:
-                        rows += ((None, hashlib.blake2b(text[k : k + length], digest_size=16).digest(), ids[i], k, None) for k in range(first, first + more + 1))
-                    else:
-                        rows.append((spot["akey"], None, ids[i], first, text[first : first + more + length]))
+                    if first + more + length <= len(text):  # else of another row with this doc_id
+                        rows.append((spot["akey"], spot["hot"], ids[i], first, text[first : first + more + length]))
             columns = list(zip(*rows, strict=True)) if rows else [[]] * 5
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.binary()), strict=True)], ["akey", "digest", "doc_id", "first", "body"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.binary()), strict=True)], ["akey", "hot", "doc_id", "first", "body"])
 
     return scan
 
@@ -280,21 +288,29 @@ def _sorted_shard(length: int, most: int = 1 << 20):
 
 
 def repeated_runs(docs: DataFrame, length: int = 100) -> DataFrame:
-    """(doc_id, at): runs of window starts, packed, whose bytes also start earlier."""
+    """(doc_id, at): runs of window starts, packed, whose bytes also start earlier.
+
+    Contexts meet by their anchor and are sorted in shards of whole anchors. Those of an anchor with
+    more than ``HOT`` are cut again by a longer anchor, and so on; however many contexts share a
+    passage, none is ever gathered with all the others."""
     docs = docs.select(F.col("doc_id").cast("long"), "text").where("doc_id is not null")
-    met = _runs(docs, length).repartition("akey").sortWithinPartitions("akey", "ckey", "doc_id", "at")
-    met = staged(met.mapInArrow(_met, "akey long, doc_id long, at long, kind int"), "contexts")
-    firsts = met.where("kind = 0")
-    hot = firsts.groupBy("akey").count().where(F.col("count") > HOT).select("akey", F.lit(True).alias("hot"))
-    spots = firsts.join(hot, "akey", "left").groupBy("doc_id").agg(F.collect_list(F.struct("akey", "at", F.coalesce("hot", F.lit(False)).alias("hot"))).alias("spots"))
-    cut = docs.join(spots, "doc_id").select("doc_id", "text", "spots").mapInArrow(_cut_out(length), "akey long, digest binary, doc_id long, first long, body binary")
-    cut = staged(cut, "cuts")
-    shards = cut.where("body is not null").select("akey", "doc_id", "first", "body").repartition("akey").sortWithinPartitions("akey")
-    by_order = shards.mapInArrow(_sorted_shard(length), "doc_id long, at long")
-    windows = cut.where("digest is not null").select("digest", F.struct("doc_id", "first").alias("spot"))
-    earliest = windows.groupBy("digest").agg(F.min("spot").alias("least"), F.count("*").alias("n")).where("n > 1")
-    by_digest = windows.join(earliest, "digest").where("spot > least").select("spot.doc_id", (F.col("spot.first") * PACK).alias("at"))
-    return met.where("kind = 1").select("doc_id", "at").union(by_order).union(by_digest)
+    bodies = docs.select("doc_id", F.col("text").cast("binary").alias("body"), F.lit(0).cast("long").alias("base"))
+    found = None
+    for gram in grams(length):
+        met = _runs(bodies, length, gram).repartition("akey").sortWithinPartitions("akey", "ckey", "doc_id", "at")
+        met = staged(met.mapInArrow(_met, "akey long, doc_id long, at long, kind int"), "contexts")
+        firsts = met.where("kind = 0")
+        hot = firsts.groupBy("akey").count().where(F.col("count") > HOT).select("akey", F.lit(True).alias("hot"))
+        spots = firsts.join(hot, "akey", "left").groupBy("doc_id").agg(F.collect_list(F.struct("akey", "at", F.coalesce("hot", F.lit(False)).alias("hot"))).alias("spots"))
+        cut = docs.join(spots, "doc_id").select("doc_id", "text", "spots").mapInArrow(_cut_out(length), "akey long, hot boolean, doc_id long, first long, body binary")
+        cut = staged(cut, "cuts")
+        shards = cut.where("not hot").select("akey", "doc_id", "first", "body").repartition("akey").sortWithinPartitions("akey")
+        here = met.where("kind = 1").select("doc_id", "at").union(shards.mapInArrow(_sorted_shard(length), "doc_id long, at long"))
+        found = here if found is None else found.union(here)
+        bodies = cut.where("hot").select("doc_id", "body", F.col("first").alias("base"))
+        if bodies.isEmpty():
+            break
+    return found
 
 
 def _merged_spans(ats: list[int], length: int, size: int) -> list[tuple[int, int]]:
@@ -351,26 +367,25 @@ def suffix_dedup(docs: DataFrame, length: int = 100) -> DataFrame:
     """``docs`` with the repeated passages cut out of ``text``. A character that loses one of its
     bytes goes as a whole, so texts stay valid UTF-8. A null text stays null; a text that loses
     all its bytes becomes empty. Rows and columns are kept."""
-    names = docs.columns
 
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at = names.index("text")
-            data, offsets = column_bytes(batch.column(at))
-            texts = batch.column(at).to_pylist()
-            for i, ats in enumerate(batch.column(len(names)).to_pylist()):
-                if ats:
-                    raw = data[offsets[i] : offsets[i + 1]].tobytes()
-                    done, parts = 0, []
-                    for first, end in _merged_spans(ats, length, len(raw)):
-                        while first > done and raw[first] & 0xC0 == 0x80:
-                            first -= 1
-                        while end < len(raw) and raw[end] & 0xC0 == 0x80:
-                            end += 1
-                        parts.append(raw[done:first])
-                        done = end
-                    parts.append(raw[done:])
-                    texts[i] = b"".join(parts).decode("utf-8", "ignore")
-            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()) if k == at else batch.column(k) for k in range(len(names))], names)
-
-    return with_spans(docs, length).mapInArrow(scan, docs.schema)
+    @F.arrow_udf("string")
+    def cut(texts: pa.Array, runs: pa.Array) -> pa.Array:
+        data, offsets = column_bytes(texts)
+        out = texts.to_pylist()
+        for i, ats in enumerate(runs.to_pylist()):
+            if ats:
+                raw = data[offsets[i] : offsets[i + 1]].tobytes()
+                done, parts = 0, []
+                for first, end in _merged_spans(ats, length, len(raw)):
+                    while first > done and raw[first] & 0xC0 == 0x80:
+                        first -= 1
+                    while end < len(raw) and raw[end] & 0xC0 == 0x80:
+                        end += 1
+                    parts.append(raw[done:first])
+                    done = end
+                parts.append(raw[done:])
+                out[i] = b"".join(parts).decode("utf-8", "ignore")
+        return pa.array(out, pa.string())
+
+    rows = with_spans(docs, length)
+    return rows.withColumn("text", cut("text", "__repeat_runs")).select(docs.columns)
