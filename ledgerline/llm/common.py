@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 import zlib
@@ -16,12 +17,15 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or a temporary one if that is unset."""
+    """The folder all executors share: spark.checkpoint.dir. Where that is unset, a temporary one on
+    a single machine, and an error on a cluster, whose executors don't share such a folder."""
     sc = spark.sparkContext
     known = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if not known:
         known = sc.getCheckpointDir()
     if not known:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         known = tempfile.mkdtemp(prefix="ledgerline-")
         sc.setCheckpointDir(known)
     return known.rstrip("/")

@@ -41,7 +41,8 @@ def top_products(embeddings: DataFrame, k: int = 5, step: int = 50, scale: int =
     Null vectors and those with null or non-finite components take no part, nor do rows without an
     id or of another length than most. Zero vectors do. Equal scores are ranked by id. Repeated
     rows count once. Further columns are ignored; without queries or candidates there are no rows.
-    Exact while the products stay below 2**53.
+    Exact: products are summed in double precision while they stay below 2**53, and in 64-bit
+    integers beyond; vectors whose squared length exceeds 2**62 are refused.
     """
     spark = embeddings.sparkSession
     rows = valid(embeddings, zero=True)
@@ -56,6 +57,9 @@ def top_products(embeddings: DataFrame, k: int = 5, step: int = 50, scale: int =
             yield pa.RecordBatch.from_arrays([pa.array([float((np.frombuffer(b, np.float64) ** 2).sum()) for b in batch.column(0).to_pylist()], pa.float64())], ["square"])
 
     square = found.select("v").mapInArrow(lengths, "square double").agg(F.max("square")).first()[0]
+    if square > 2.0**62:
+        raise ValueError("vectors too long for 64-bit products")
+    wide = square >= 2.0**53  # by which no inner product of two vectors is larger
     centres = codebook(lifted(x, square), pivots)
     near = distances(lifted(x, square), centres)
     own = near.argmin(axis=1)
@@ -126,7 +130,7 @@ def top_products(embeddings: DataFrame, k: int = 5, step: int = 50, scale: int =
                 order = np.argsort(least)
                 if kth is not None:
                     # one part in 10**9 and one unit of slack for rounding
-                    reach = np.sqrt(max(0.0, float(q @ q) + square - 2.0 * (kth - 1))) * (1 + 1e-9) + 1e-6
+                    reach = np.sqrt(max(0.0, float(q @ q) + square - 2.0 * (kth - 1)) + 1e-9 * square) * (1 + 1e-9) + 1e-6
                     order = order[: int(np.searchsorted(least[order], reach, side="right"))]
                 out += spread_out(query, body, order)
             yield sent(out)
@@ -137,7 +141,7 @@ def top_products(embeddings: DataFrame, k: int = 5, step: int = 50, scale: int =
     def answer(state, queries, q, wants):
         cells, v, ids = state
         out: list[tuple] = []
-        products = q @ v.T  # whole numbers, exact in double precision
+        products = (q.astype(np.int64) @ v.T.astype(np.int64)) if wide else q @ v.T  # whole numbers
         for query, row, want in zip(queries.tolist(), products, wants, strict=True):
             pick = np.flatnonzero(np.isin(cells, np.frombuffer(want, np.int64)))
             out += ((query, vec, int(score)) for vec, score in take_best(query, row[pick], [ids[i] for i in pick], k))

@@ -136,9 +136,9 @@ def blocked_scan(base: DataFrame, asked: DataFrame, prepare: Callable, answer: C
 
 def best(hits: DataFrame, k: int, kind: str) -> DataFrame:
     """The k best (query_id, rank, vec_id, score) of all hits of each query, which are at most
-    some k for each shard it asked."""
+    some k for each shard it asked. A vec_id with several vectors counts with its best one."""
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    hits = hits.dropDuplicates(["query_id", "vec_id"])
+    hits = hits.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     return hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", F.col("score").cast(kind).alias("score"))
 
 
