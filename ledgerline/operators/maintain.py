@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass
 from datetime import date
 
@@ -78,15 +79,18 @@ def is_scd2(df: DataFrame) -> bool:
 
 def apply_retention(store: SnapshotStore, table: str, branch: str, business_days: int = 10, month_ends: int = 80) -> None:
     """Dimensions lose closed versions that ended before the first kept date; other tables lose
-    whole dates. Nothing to keep is refused for both."""
+    whole dates, by leaving their folders out if they have one for each date. Nothing to keep is
+    refused for both."""
     df = store.read(table, branch)
     column = "effective_from" if is_scd2(df) else "cob_date" if "cob_date" in df.columns else "_cob_date"
     kept = keep_set(df.select(column).distinct(), business_days, month_ends, column=column)
     cutoff = scd2_cutoff(kept, column)
     if is_scd2(df):
         store.delete_where(table, branch, ~F.col("is_current") & (F.col("effective_to") < F.lit(cutoff)))
+    elif store.ref(branch)["tables"][table]["column"] == column:
+        store.keep_partitions(table, branch, kept)
     else:
-        store.write(df.join(F.broadcast(kept), column, "left_semi"), table, branch, [column])
+        store.write(df.join(kept, column, "left_semi"), table, branch, [column])
 
 
 def window_refusal(retention_days: dict[str, int], promised_days: dict[str, int], feeds_behind: dict[str, set[str]]) -> list[tuple[str, str]]:
@@ -104,6 +108,56 @@ def lost_inputs(pins: DataFrame, landed: DataFrame) -> DataFrame:
     return pins.select("tag", "delivery_id").distinct().join(landed.select("delivery_id"), "delivery_id", "left_anti").select("tag", "delivery_id")
 
 
+def reproducible(store: SnapshotStore, tags: list[str]) -> list[dict]:
+    """For each tag and table: the files that main no longer has, whether all files of the pin are
+    still there, and, of pins that differ from main, whether they can be read (one row each)."""
+    out = []
+    for tag in tags:
+        for table in sorted(store.ref(tag)["tables"]):
+            pinned = store.files(table, tag)
+            there = {p for p in store.ref(tag)["tables"][table]["parts"] if store.files_.exists(f"data/{table}/{p}")}
+            lost = [p for p in store.ref(tag)["tables"][table]["parts"] if p not in there]
+            away = diverged_files(pinned, store.files(table)).count() if store.has(table) else pinned.count()
+            readable = not lost
+            if readable and away:
+                try:
+                    store.read(table, tag).limit(1).collect()
+                except Exception:
+                    readable = False
+            out.append({"tag": tag, "table": table, "diverged": away, "lost_parts": lost, "readable": readable})
+    return out
+
+
+def backlog(deferred: DataFrame, done: DataFrame, today: str) -> DataFrame:
+    """(kind, waiting, oldest, age_days): deferred work (kind, item, deferred_on) that isn't done."""
+    left = deferred.join(done.select("kind", "item").distinct(), ["kind", "item"], "left_anti")
+    out = left.groupBy("kind").agg(F.count("*").alias("waiting"), F.min("deferred_on").alias("oldest"))
+    return out.withColumn("age_days", F.datediff(F.lit(today).cast("date"), "oldest"))
+
+
+def expired_objects(listing: DataFrame, now: float, keep_days: dict[str, float], protected: DataFrame | None = None) -> DataFrame:
+    """The objects of a listing (path, size, changed_at in seconds) that a sweep may delete: those
+    of a folder in ``keep_days`` beyond its age, unless they are protected (path)."""
+    age = F.lit(now) - F.col("changed_at")
+    gone = F.lit(False)
+    for folder, days in sorted(keep_days.items()):
+        gone = gone | (F.startswith("path", F.lit(folder.rstrip("/") + "/")) & (age > F.lit(days * 86400.0)))
+    out = listing.where(gone)
+    return out if protected is None else out.join(protected.select("path").distinct(), "path", "left_anti")
+
+
+def sweep_objects(files, folders: dict[str, float], protected: DataFrame | None = None, now: float | None = None) -> int:
+    """Deletes the expired objects below landing, ready and quarantine folders of a ``Files`` root."""
+    found = [row for f in folders for row in files.walk(f)]
+    if not found:
+        return 0
+    listing = files.spark.createDataFrame(found, "path string, size long, changed_at double")
+    gone = 0
+    for r in expired_objects(listing, time.time() if now is None else now, folders, protected).toLocalIterator():
+        gone += files.delete(r["path"])
+    return gone
+
+
 def orphans(listing: DataFrame, known: DataFrame, key: str = "path") -> DataFrame:
     return listing.join(known.select(key).distinct(), key, "left_anti")
 

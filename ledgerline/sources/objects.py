@@ -9,36 +9,24 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from ..contracts import Feed
+from ..files import Exists, Files
 
 
 class Immutable(RuntimeError):
     """An object exists with other bytes."""
 
 
-class Objects:
-    """Create-once objects below a root, through Hadoop's file system."""
-
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
-        self._path = spark._jvm.org.apache.hadoop.fs.Path
-        self.fs = self._path(self.root).getFileSystem(spark._jsc.hadoopConfiguration())
-
-    def get(self, name: str) -> bytes:
-        stream = self.fs.open(self._path(f"{self.root}/{name}"))
-        data = bytes(self.spark._jvm.org.apache.commons.io.IOUtils.toByteArray(stream))
-        stream.close()
-        return data
+class Objects(Files):
+    """Create-once objects below a root."""
 
     def put(self, name: str, data: bytes) -> bool:
         """Whether the object is new; equal bytes again are no error, other bytes are."""
-        path = self._path(f"{self.root}/{name}")
-        if self.fs.exists(path):
+        try:
+            self.create(name, data)
+        except Exists as e:
             if self.get(name) != data:
-                raise Immutable(name)
+                raise Immutable(name) from e
             return False
-        out = self.fs.create(path, False)
-        out.write(bytearray(data))
-        out.close()
         return True
 
     def manifest(self, delivery: str, parts: list[dict], contract: dict) -> str:
