@@ -2,84 +2,15 @@
 
 from __future__ import annotations
 
-import re
 import uuid
 from collections.abc import Callable
-from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .quality import Check, run_checks
+from .quality import Check, settled_checks
 from .refs import SnapshotStore
-
-
-class Refused(RuntimeError):
-    """A gate said no; a retry won't help."""
-
-
-@dataclass
-class Registry:
-    """Append-only facts about deliveries, runs, versions and date states. Rows are plain records;
-    ``frame`` gives any of them as a DataFrame."""
-
-    deliveries: list[dict] = field(default_factory=list)
-    runs: list[dict] = field(default_factory=list)
-    inputs: list[dict] = field(default_factory=list)
-    versions: list[dict] = field(default_factory=list)
-    transitions: list[dict] = field(default_factory=list)
-    evidence: list[dict] = field(default_factory=list)
-
-    def frame(self, spark, name: str, schema: str) -> DataFrame:
-        columns = [c.split()[0] for c in schema.split(", ")]
-        return spark.createDataFrame([tuple(r.get(c) for c in columns) for r in getattr(self, name)], schema)
-
-    # -- lifecycle of a report's business date
-
-    def state(self, report: str, as_at: str) -> str:
-        own = [t for t in self.transitions if (t["report"], t["as_at"]) == (report, as_at)]
-        return own[-1]["to"] if own else "open"
-
-    def move(self, report: str, as_at: str, to: str, actor: str, owner: str, reason: str = "") -> None:
-        """open -> submitted -> locked -> reopened -> submitted; only the owner locks or reopens."""
-        now = self.state(report, as_at)
-        legal = {"open": {"submitted", "locked"}, "submitted": {"locked", "reopened"}, "locked": {"reopened"}, "reopened": {"submitted", "locked"}}
-        if to not in legal[now]:
-            raise Refused(f"{report} {as_at} is {now}, not to be {to}")
-        if to in ("locked", "reopened") and actor != owner:
-            raise Refused(f"{actor} does not own {report}")
-        if to == "reopened" and not reason:
-            raise Refused("a reopening needs a reason")
-        self.transitions.append({"report": report, "as_at": as_at, "to": to, "actor": actor, "reason": reason, "seq": len(self.transitions)})
-
-    # -- inputs and versions
-
-    def input_diff(self, a: str, b: str) -> dict[str, list]:
-        """Deliveries added, removed and unchanged between two runs."""
-        x, y = ({(i["model"], i["delivery_id"]) for i in self.inputs if i["run"] == r} for r in (a, b))
-        return {"added": sorted(y - x), "removed": sorted(x - y), "unchanged": sorted(x & y)}
-
-    def inputs_changed(self, run: str, before: str, as_at: str) -> tuple[set, set]:
-        """Changed deliveries of a business date: (registered for it, not registered at all)."""
-        diff = self.input_diff(before, run)
-        moved = {d for _, d in diff["added"] + diff["removed"]}
-        known = {d["delivery_id"]: d for d in self.deliveries}
-        return {d for d in moved if d in known and known[d]["cob_date"] == as_at}, {d for d in moved if d not in known}
-
-    def allocate(self, report: str, as_at: str, run: str, tag: str) -> int:
-        """The next version number of a report and date; the same tag keeps its number."""
-        own = [v for v in self.versions if (v["report"], v["as_at"]) == (report, as_at)]
-        for v in own:
-            if v["tag"] == tag:
-                return v["version"]
-        self.versions.append({"report": report, "as_at": as_at, "version": max([0, *(v["version"] for v in own)]) + 1, "run": run, "tag": tag})
-        return self.versions[-1]["version"]
-
-    def trace(self, report: str, as_at: str, version: int) -> list[dict]:
-        """The deliveries behind a version; unregistered ones are kept."""
-        run = next(v["run"] for v in self.versions if (v["report"], v["as_at"], v["version"]) == (report, as_at, version))
-        known = {d["delivery_id"]: d for d in self.deliveries}
-        return [{**i, "delivery": known.get(i["delivery_id"])} for i in self.inputs if i["run"] == run]
+from .registry import CLOSED, Refused, Registry, _safe
 
 
 def input_set(models: dict[str, DataFrame]) -> DataFrame:
@@ -98,32 +29,38 @@ def input_diff(before: DataFrame, after: DataFrame, keys: list[str]) -> DataFram
     return a.join(b, keys, "full").select(*keys, status.alias("status"))
 
 
-def publish(store: SnapshotStore, registry: Registry, report: str, as_at: str, build: Callable[[SnapshotStore, str], None], checks: Callable[[SnapshotStore, str], list[Check]], inputs: Callable[[SnapshotStore, str], dict[str, DataFrame]], policy: str = "restate") -> int:
+def publish(
+    store: SnapshotStore, registry: Registry, report: str, as_at: str, build: Callable[[SnapshotStore, str], None], checks: Callable[[SnapshotStore, str], list[Check]], inputs: Callable[[SnapshotStore, str], dict[str, DataFrame]], policy: str = "restate", code: dict[str, str] | None = None
+) -> int:
     """Builds on a branch, checks it, records inputs, asks the gate, merges, tags, and returns the
-    version number. On failure the branch stays for a look."""
-    if not re.fullmatch(r"[A-Za-z0-9_.-]+", report):
-        raise Refused(f"not a report name: {report}")
+    version number. On failure the branch stays for a look, and so does the evidence. A closed date
+    takes no publication whose own deliveries changed, unless the policy carries them forward.
+    ``code`` gives a digest for each model's code."""
+    _safe(report)
     run = uuid.uuid4().hex[:12]
     branch = store.branch(f"build/{report}/{as_at}/{run}")
-    registry.runs.append({"run": run, "report": report, "as_at": as_at, "status": "open"})
+    told = {"run": run, "report": report, "as_at": as_at}
+    registry.record("runs", **told, status="open", code=code)
     build(store, branch)
-    found = run_checks(checks(store, branch), run).collect()  # one row for each check
-    registry.evidence += [r.asDict() | {"run": run} for r in found]
-    if bad := [r["check_name"] for r in found if r["outcome"] in ("fail", "error")]:
-        registry.runs[-1]["status"] = "failed"
+    bad = []
+    for r in settled_checks(checks(store, branch), run).collect():  # one row for each check
+        registry.record("evidence", evidence_id=r["evidence_id"], check_name=r["check_name"], severity=r["severity"], failures=r["failures"], outcome=r["outcome"], subject=run)
+        bad += [r["check_name"]] if r["outcome"] in ("fail", "error") else []
+    if bad:
+        registry.record("runs", **told, status="failed")
         raise Refused(f"checks failed: {bad}; see branch {branch}")
-    registry.inputs += [{"run": run, "model": r["model"], "delivery_id": r["delivery_id"]} for r in input_set(inputs(store, branch)).collect()]
-    earlier = [v for v in registry.versions if (v["report"], v["as_at"]) == (report, as_at)]
-    if earlier and registry.state(report, as_at) in ("locked", "submitted"):
-        changed, _ = registry.inputs_changed(run, earlier[-1]["run"], as_at)
-        if changed and policy == "restate":
-            registry.runs[-1]["status"] = "refused"
-            raise Refused(f"{report} {as_at} is closed and its inputs changed: {sorted(changed)}")
-        if changed:
-            registry.runs[-1]["carried_forward"] = sorted(changed)
+    registry.record_inputs(run, input_set(inputs(store, branch)))
+    earlier = registry.versions(report, as_at)
+    carried = None
+    if earlier and registry.state(report, as_at) in CLOSED:
+        changed = registry.inputs_changed(run, earlier[-1]["run"], as_at).where("standing = 'on_date'")
+        carried = sorted(r[0] for r in changed.select("delivery_id").limit(1000).collect())  # for people to read
+        if carried and policy == "restate":
+            registry.record("runs", **told, status="refused")
+            raise Refused(f"{report} {as_at} is closed and its inputs changed: {carried}")
     store.merge(branch)
     tag = store.tag(f"published/{report}/{as_at}/{run}")
     version = registry.allocate(report, as_at, run, tag)
     store.delete(branch)
-    registry.runs[-1]["status"] = "published"
+    registry.record("runs", **told, status="published", carried_forward=carried)
     return version

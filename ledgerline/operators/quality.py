@@ -1,5 +1,5 @@
 """Declarative checks. Each gives the failing rows; ``run_checks`` turns them into outcomes, in one
-job, with PASS recorded as durably as FAIL."""
+job if all can run. Who runs them records PASS as durably as FAIL."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .scd2 import broken_ranges
@@ -85,7 +85,32 @@ def evidence_id(run: str, check: str) -> str:
 
 
 def run_checks(checks: list[Check], run: str = "") -> DataFrame:
-    """(evidence_id, check_name, severity, failures, outcome) of all checks, as one plan."""
-    parts = [c.failing().agg(F.count("*").alias("failures")).select(F.lit(evidence_id(run, c.name)).alias("evidence_id"), F.lit(c.name).alias("check_name"), F.lit(c.severity).alias("severity"), "failures") for c in checks]
+    """(evidence_id, check_name, severity, failures, outcome) of all checks, as one plan. A check
+    that can't be planned has no failures and the outcome error."""
+    spark = SparkSession.active()
+    parts = []
+    for c in checks:
+        try:
+            counted = c.failing().agg(F.count("*").alias("failures"))
+        except Exception:  # whatever a check raises, the others are still run
+            counted = spark.range(1).select(F.lit(None).cast("long").alias("failures"))
+        parts.append(counted.select(F.lit(evidence_id(run, c.name)).alias("evidence_id"), F.lit(c.name).alias("check_name"), F.lit(c.severity).alias("severity"), "failures"))
     every = reduce(DataFrame.unionByName, parts)
-    return every.withColumn("outcome", F.when(F.col("failures") == 0, "pass").when(F.col("severity") == "warn", "warn").otherwise("fail"))
+    told = F.when(F.col("failures").isNull(), outcome(None, "")).when(F.col("failures") == 0, "pass").when(F.col("severity") == "warn", "warn").otherwise("fail")
+    return every.withColumn("outcome", told)
+
+
+def settled_checks(checks: list[Check], run: str = "") -> DataFrame:
+    """The same with the counts made, so a check that breaks while it runs is an error by itself:
+    first all as one job, and one by one only if that job fails."""
+    spark = SparkSession.active()
+    try:
+        found = run_checks(checks, run).collect()
+    except Exception:
+        found = []
+        for c in checks:
+            try:
+                found += run_checks([c], run).collect()
+            except Exception:
+                found.append((evidence_id(run, c.name), c.name, c.severity, None, outcome(None, c.severity)))
+    return spark.createDataFrame(found, "evidence_id string, check_name string, severity string, failures long, outcome string")
