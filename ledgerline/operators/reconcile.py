@@ -74,8 +74,10 @@ def compare_business_date(legacy: DataFrame, new: DataFrame, keys: list[str], co
 
 
 def diff_artifact(compared: DataFrame, path: str, most: int = 10_000) -> None:
-    """A capped list of differences for people to read, as JSON; counts are never taken from it."""
-    compared.where("status <> 'equal'").limit(most).write.mode("overwrite").json(path)
+    """Three lists of differences for people to read, as JSON in folders by status: legacy_only,
+    new_only and changed, each capped; counts are never taken from them."""
+    for status in ("legacy_only", "new_only", "changed"):
+        compared.where(F.col("status") == status).limit(most).write.mode("overwrite").json(f"{path}/{status}")
 
 
 def contract_hash(keys: list[str], columns: list[str], settings: dict) -> str:
@@ -84,6 +86,12 @@ def contract_hash(keys: list[str], columns: list[str], settings: dict) -> str:
     return hashlib.sha256(text.encode()).hexdigest()[:12]
 
 
+def comparison_id(contract: str, business_date, legacy_digest: str, new_ref: str) -> str:
+    """Twelve hex digits that name one comparison: equal evidence under an equal contract has an
+    equal id, so it is recorded once."""
+    return hashlib.sha256("\x1f".join(map(str, (contract, business_date, legacy_digest, new_ref))).encode()).hexdigest()[:12]
+
+
 def correlate(ours: dict, candidates: list[dict], date_only: bool = False) -> dict:
     """The candidate that is evidence for our result: by producer run, else content digest, else
     system and file name, else (opted into) date alone. Candidates that agree on a weaker property

@@ -179,7 +179,15 @@ def sniff(spark: SparkSession, path: str, sample: bytes) -> dict:
     return {"delimiter": dialect.delimiter, "quote": dialect.quotechar or '"', "header": header, "encoding": encoding, "columns": list(kinds), "kinds": kinds, "keys": key_candidates(names)}
 
 
+def key_statistics(df: DataFrame) -> DataFrame:
+    """(column_name, distinct_values, n_rows, is_key) of all columns, by one pass: a key has no NULL
+    and all its values differ."""
+    row = df.agg(F.count("*").alias("_n"), *[F.count_distinct(F.col(f"`{c}`")).alias(c) for c in df.columns])
+    each = row.select("_n", F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").alias("distinct_values")) for c in df.columns])))
+    return each.select("column_name", "distinct_values", F.col("_n").alias("n_rows"), ((F.col("_n") > 0) & (F.col("distinct_values") == F.col("_n"))).alias("is_key"))
+
+
 def key_candidates(df: DataFrame) -> list[str]:
-    """Columns without NULL whose values are all different, by one pass over all columns."""
-    row = df.agg(F.count("*").alias("_n"), *[F.count_distinct(F.col(f"`{c}`")).alias(c) for c in df.columns]).first()
-    return [c for c in df.columns if row["_n"] and row[c] == row["_n"]]
+    """Columns without NULL whose values are all different."""
+    found = {r["column_name"] for r in key_statistics(df).where("is_key").collect()}
+    return [c for c in df.columns if c in found]

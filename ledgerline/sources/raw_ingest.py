@@ -11,7 +11,9 @@ from pyspark.sql.window import Window
 
 from ..contracts import Feed
 from ..functions.conform import extra_columns
+from ..operators.quality import evidence_id
 from ..operators.refs import Conflict, SnapshotStore
+from ..operators.registry import Registry
 from .delivery import read_parts
 
 
@@ -82,6 +84,17 @@ def ingested(store: SnapshotStore, feed: Feed, delivery_id: str, ref: str = "mai
     return store.has(table, ref) and bool(store.read(table, ref).where(F.col("_delivery_id") == delivery_id).limit(1).count())
 
 
+def committed(raw: DataFrame) -> DataFrame:
+    """(delivery_id, cob_date, version, n_rows) of what a raw table holds."""
+    return raw.groupBy(F.col("_delivery_id").alias("delivery_id")).agg(F.max("_cob_date").alias("cob_date"), F.max("_file_version").alias("version"), F.count("*").alias("n_rows"))
+
+
+def checkpoint(rows: DataFrame, cob: date, delivery: str | None = None) -> DataFrame:
+    """The rows of a business date, of one delivery if it is named."""
+    out = rows.where(F.col("_cob_date") == F.lit(cob))
+    return out if delivery is None else out.where(F.col("_delivery_id") == delivery)
+
+
 def next_version(store: SnapshotStore, feed: Feed, cob: date, ref: str) -> int:
     table = f"raw.{feed.name}"
     if not store.has(table, ref):
@@ -89,9 +102,11 @@ def next_version(store: SnapshotStore, feed: Feed, cob: date, ref: str) -> int:
     return (store.read(table, ref).where(F.col("_cob_date") == F.lit(cob)).agg(F.max("_file_version")).first()[0] or 0) + 1
 
 
-def ingest(store: SnapshotStore, feed: Feed, delivery: Delivery, batch_id: str, attempts: int = 3) -> IngestResult:
-    """Reads, reconciles, stamps, checks, appends on a branch and merges. A delivery that main has
-    is a no-op. If main moved on meanwhile, it is tried again on a fresh branch."""
+def ingest(store: SnapshotStore, feed: Feed, delivery: Delivery, batch_id: str, attempts: int = 3, registry: Registry | None = None) -> IngestResult:
+    """Reads, reconciles, stamps, appends on a branch, checks and merges. A delivery that main has
+    is a no-op. If main moved on meanwhile, it is tried again on a fresh branch. The files are read
+    once: rows are counted where they were written. With a registry every check's outcome is
+    recorded before it counts."""
     spark = store.spark
     for attempt in range(attempts):
         if ingested(store, feed, delivery.delivery_id):
@@ -104,11 +119,13 @@ def ingest(store: SnapshotStore, feed: Feed, delivery: Delivery, batch_id: str,
             "_batch_id": F.lit(batch_id), "_delivery_id": F.lit(delivery.delivery_id), "_received_at": F.lit(delivery.received_at).cast("timestamp"),
             "_schema_version": F.lit(feed.schema_version), "_source_system": F.lit(feed.source_system),
         })
-        count = rows.count()
+        store.append(stamped, f"raw.{feed.name}", branch, ["_cob_date"])
+        count = checkpoint(store.read(f"raw.{feed.name}", branch), delivery.cob_date, delivery.delivery_id).count()
         evidence = checks(feed, delivery, count, missing, extra)
+        for e in evidence if registry is not None else ():
+            registry.record("evidence", evidence_id=evidence_id(delivery.delivery_id, e["check"]), check_name=e["check"], outcome=e["outcome"], detail=e["detail"], subject=delivery.delivery_id)
         if bad := [e["check"] for e in evidence if e["outcome"] == "fail"]:
             raise IngestRefused(f"{bad} on {delivery.delivery_id}; see branch {branch}: {evidence}")
-        store.append(stamped, f"raw.{feed.name}", branch, ["_cob_date"])
         try:
             store.merge(branch)
         except Conflict:
@@ -119,6 +136,14 @@ def ingest(store: SnapshotStore, feed: Feed, delivery: Delivery, batch_id: str,
     raise Conflict(f"{delivery.delivery_id}: main moved on {attempts} times")
 
 
+def next_name(feed: Feed, cob: date, taken: set[str], most: int = 99) -> str:
+    """The first file name of a date that isn't taken: plain, then _v2, up to ``most``."""
+    for n in range(1, most + 1):
+        if (name := feed.render_name(cob, n)) not in taken:
+            return name
+    raise IngestRefused(f"{most} versions of {feed.name} for {cob} already")
+
+
 def newest_resend(md5s: DataFrame, known: DataFrame) -> DataFrame:
     """Files that aren't an unchanged resend: their (feed, cob_date, md5) isn't known."""
     return md5s.join(known.select("feed", "cob_date", "md5").distinct(), ["feed", "cob_date", "md5"], "left_anti")
