@@ -100,6 +100,11 @@ def grade_band(c) -> Column:
     return F.when(c.isin(*RATINGS[:INVESTMENT_GRADES]), "INVESTMENT_GRADE").when(c.isNotNull(), "SUB_INVESTMENT_GRADE")
 
 
+def retracted() -> Column:
+    """The effective_to that marks a version to be taken away: a date on which none can end."""
+    return F.lit(RETRACTED.isoformat()).cast("date")
+
+
 def row_hash(*columns) -> Column:
     """sha256 over the columns' texts joined by ||; NULL counts as ''."""
     return F.sha2(F.concat_ws("||", *[F.coalesce(_col(c).cast("string"), F.lit("")) for c in columns]), 256)

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from datetime import date
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.conform import OPEN_END, all_of, conformed, effective_month, row_hash
-from .snapshot import dedupe_latest, known_as_of, newest_versions, window_start
+from ..functions.conform import OPEN_END, all_of, conformed, effective_month, retracted, row_hash
+from .snapshot import dedupe_latest, known_as_of, last_in_file, newest_rows, window_start
 
 RANGE = ["effective_from", "effective_to", "is_current", "effective_from_month"]
 
@@ -54,41 +55,88 @@ def refuse_pruned(target: DataFrame, raw: DataFrame, override: bool = False) ->
         raise PrunedHistory(f"raw no longer holds {first[0]} and maybe more; set the override to lose these versions")
 
 
-def replay(raw: DataFrame, target: DataFrame, columns: dict[str, str], keys: list[str], hashed: list[str], lookback_days: int = 3, derived: dict[str, Column] | None = None) -> DataFrame:
-    """The target after new deliveries, equal to a full build for re-deliveries of dates from each
-    touched key's replay start on.
+def _same(a: DataFrame, b: DataFrame, keys: list[str]) -> Column:
+    return all_of([a[k].eqNullSafe(b[k]) for k in keys])
+
+
+def _scope(raw: DataFrame, target: DataFrame, columns: dict[str, str], keys: list[str], lookback_days: int) -> tuple[DataFrame, date]:
+    """(keys..., _from) of the touched keys, those with a raw row in the window, and the window's
+    start. A key replays from its last version before the window, one without from the beginning
+    (NULL)."""
+    start: date = window_start(target, "effective_from", lookback_days)
+    touched = raw.where(F.col("_cob_date") >= F.lit(start)).select(*[conformed(k, columns[k]).alias(k) for k in keys]).distinct()
+    last = target.where(F.col("effective_from") < F.lit(start)).join(touched, _same(target, touched, keys), "left_semi").groupBy(*keys).agg(F.max("effective_from").alias("_from"))
+    return touched.join(last, _same(touched, last, keys), "left").select(*[touched[k] for k in keys], "_from"), start
 
-    Touched keys have a raw row in the window. Each replays from its last version before the
-    window; the version before that seeds the comparison, and versions in scope whose date raw has
-    lost are kept as inputs. All other versions stay untouched: what a merge with markers would
-    retract is simply absent from the recomputed scope. Scope and recomputation are joined on the
-    key only, null-safely; the target is never collected.
+
+def replay_changes(raw: DataFrame, target: DataFrame, columns: dict[str, str], keys: list[str], hashed: list[str], lookback_days: int = 3, derived: dict[str, Column] | None = None) -> DataFrame:
+    """What new deliveries change in a dimension: the versions of each touched key from its replay
+    start on, and a marker for each version there that isn't derived again, with the key, its
+    effective_from and an effective_to that no version can have. To be merged by ``merge_versions``
+    or by a store's ``upsert`` on (keys, effective_from).
+
+    The version before the start seeds the comparison, and versions in scope whose date raw has
+    lost are inputs too. Only dates from the earliest start on are read, and of those only rows of
+    touched keys are cleaned and ranked; the newest delivery of a date is still told from all of its
+    rows, by an aggregate of two columns. Keys without an earlier version need all dates.
     """
     derived = derived or {}
-    start: date = window_start(target, "effective_from", lookback_days)
-    in_window = raw.where(F.col("_cob_date") >= F.lit(start))
-    touched = in_window.select(*[conformed(k, columns[k]).alias(k) for k in keys]).distinct()
-    same = lambda a, b: all_of([a[k].eqNullSafe(b[k]) for k in keys])
-    own = target.join(touched, same(target, touched), "left_semi")
-    begin = own.groupBy(*keys).agg(F.max(F.when(F.col("effective_from") < F.lit(start), F.col("effective_from"))).alias("_from"))
-    begin = touched.join(begin, same(touched, begin), "left").select(*[touched[k] for k in keys], F.coalesce("_from", F.lit("0001-01-01").cast("date")).alias("_from"))
-    scope = own.alias("o").join(begin.alias("b"), all_of([F.col(f"o.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys])).select("o.*", F.col("b._from").alias("_from"))
+    begin, start = _scope(raw, target, columns, keys, lookback_days)
+    begin = begin.persist(StorageLevel.DISK_ONLY)
+    floor, fresh = begin.agg(F.min("_from"), F.count_if(F.col("_from").isNull())).first()
+    renamed = begin.select(*[F.col(k).alias(f"_k_{k}") for k in keys], "_from")
+    on = lambda df: all_of([df[k].eqNullSafe(renamed[f"_k_{k}"]) for k in keys])
+    scope = target.join(renamed, on(target)).drop(*[f"_k_{k}" for k in keys])
+    inside = scope.where("_from is null or effective_from >= _from")
     before = scope.where("effective_from < _from")
-    last = Window.partitionBy(*keys).orderBy(F.desc("effective_from"))
-    seed = before.withColumn("_n", F.row_number().over(last)).where("_n = 1")
+    latest = Window.partitionBy(*keys).orderBy(F.desc("effective_from"))
+    seed = before.withColumn("_n", F.row_number().over(latest)).where("_n = 1")
+    fields = [*columns, *derived, "source_batch_id"]
+
+    def again(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+        """Daily rows of some dates and keys."""
+        meta = ["_batch_id", "_cob_date", "_file_version", "_row_number"]
+        rows = newest_rows(rows.select(*columns, *meta))
+        rows = rows.select(*[conformed(c, kind).alias(c) for c, kind in columns.items()], F.col("_batch_id").alias("source_batch_id"), *meta[1:])
+        kept = rows.join(wanted, all_of([rows[k].eqNullSafe(wanted[f"_k_{k}"]) for k in keys]) & (F.col("_from").isNull() | (F.col("_cob_date") >= F.col("_from")))).select(rows["*"])
+        return last_in_file(kept.withColumns(derived), keys).select(*fields, F.col("_cob_date").alias("cob_date"))
+
+    daily = None
+    if floor is not None:
+        daily = again(raw.where(F.col("_cob_date") >= F.lit(floor)), renamed.where("_from is not null"))
+    if fresh or daily is None:
+        new = again(raw, renamed.where("_from is null"))
+        daily = new if daily is None else daily.unionByName(new)
     dates = raw.select("_cob_date").distinct()
-    inside = scope.where("effective_from >= _from")
     pruned = inside.join(dates, inside["effective_from"] == dates["_cob_date"], "left_anti")
-    fields = [*columns, *derived, "source_batch_id"]
-    kept = seed.select(*fields, F.col("effective_from").alias("cob_date")).unionByName(pruned.select(*fields, F.col("effective_from").alias("cob_date")))
-    # Newest versions are those of whole dates, so ranking comes before the restriction to keys.
-    daily = daily_rows(raw.join(newest_versions(raw).withColumnRenamed("_cob_date", "_d"), F.col("_cob_date") == F.col("_d")).where("_file_version = newest").drop("_d", "newest"), columns, keys, derived)
-    again = daily.alias("d").join(begin.alias("b"), all_of([F.col(f"d.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys]) & (F.col("d.cob_date") >= F.col("b._from"))).select("d.*")
-    computed = versions(again.select(*fields, "cob_date").unionByName(kept), keys, hashed).select(*fields, *RANGE)
-    settled = before.join(seed.select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("effective_from").alias("_seed")), all_of([F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]), "left")
-    settled = settled.where("_seed is null or effective_from <> _seed").select(*fields, *RANGE)
-    rest = target.join(touched, same(target, touched), "left_anti").select(*fields, *RANGE)
-    return rest.unionByName(settled).unionByName(computed)
+    held = seed.select(*fields, F.col("effective_from").alias("cob_date")).unionByName(pruned.select(*fields, F.col("effective_from").alias("cob_date")))
+    computed = versions(daily.unionByName(held), keys, hashed).select(*fields, *RANGE)
+    return computed.unionByName(retractions(inside, computed, keys).select(*fields, *RANGE))
+
+
+def retractions(inside: DataFrame, computed: DataFrame, keys: list[str]) -> DataFrame:
+    """A marker for each version in scope that wasn't derived again: NULL but for its key,
+    effective_from and the marker as effective_to."""
+    new = computed.select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col("effective_from").alias("_at"))
+    lost = inside.join(new, all_of([inside[k].eqNullSafe(new[f"_k_{k}"]) for k in keys]) & (F.col("effective_from") == F.col("_at")), "left_anti")
+    own = {*keys, "effective_from"}
+    kinds = {f.name: f.dataType for f in computed.schema}
+    return lost.select(*[F.col(c) if c in own else retracted().alias(c) if c == "effective_to" else F.lit(None).cast(kinds[c]).alias(c) for c in computed.columns])
+
+
+def merge_versions(target: DataFrame, changes: DataFrame, keys: list[str]) -> DataFrame:
+    """The target with changed versions in place of those of equal key and start, and without those
+    that are marked."""
+    fields = changes.columns
+    new = changes.select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col("effective_from").alias("_at"))
+    kept = target.join(new, all_of([target[k].eqNullSafe(new[f"_k_{k}"]) for k in keys]) & (target["effective_from"] == new["_at"]), "left_anti")
+    return kept.select(*fields).unionByName(changes.where(F.col("effective_to") != retracted()))
+
+
+def replay(raw: DataFrame, target: DataFrame, columns: dict[str, str], keys: list[str], hashed: list[str], lookback_days: int = 3, derived: dict[str, Column] | None = None) -> DataFrame:
+    """The target after new deliveries, equal to a full build for re-deliveries of dates from each
+    touched key's replay start on; all other versions stay untouched."""
+    return merge_versions(target, replay_changes(raw, target, columns, keys, hashed, lookback_days, derived), keys)
 
 
 def as_of_join(facts: DataFrame, dimension: DataFrame, keys: list[str], at: str, how: str = "left", carry: list[str] | None = None) -> DataFrame:

@@ -31,8 +31,17 @@ def dedupe_latest(raw: DataFrame, keys: list[str]) -> DataFrame:
     The newest version comes from a small aggregate that is joined (broadcast if it is small), not
     from a window over whole dates, so that a date with most rows isn't one task; the last row is
     then found among the newest rows alone."""
+    return last_in_file(newest_rows(raw), keys)
+
+
+def newest_rows(raw: DataFrame) -> DataFrame:
+    """The rows of each date's newest delivery."""
     newest = newest_versions(raw)
-    rows = raw.join(newest, raw["_cob_date"].eqNullSafe(newest["_cob_date"])).drop(newest["_cob_date"]).where("_file_version = newest").drop("newest")
+    return raw.join(newest, raw["_cob_date"].eqNullSafe(newest["_cob_date"])).drop(newest["_cob_date"]).where("_file_version = newest").drop("newest")
+
+
+def last_in_file(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Of rows of one delivery for each date, the last of each date and key."""
     order = Window.partitionBy("_cob_date", *keys).orderBy(F.desc("_row_number"))
     return rows.withColumn("_rank", F.row_number().over(order)).where("_rank = 1").drop("_rank")
 
