@@ -3,7 +3,7 @@ distinct dates, so the few global windows run over thousands of rows at most."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.conform import deadline
@@ -31,27 +31,36 @@ def expire_set(dates: DataFrame, business_days: int, month_ends: int = 0, month_
     return dates.select(column).distinct().join(keep_set(dates, business_days, month_ends, month_end_years, column), column, "left_anti")
 
 
-def find_gaps(days: DataFrame, lookback: int = 0, weekly: tuple[str, ...] = ()) -> DataFrame:
+def find_gaps(days: DataFrame, lookback: int = 0, weekly: tuple[str, ...] | Column = ()) -> DataFrame:
     """(feed, missing): dates (for weekly feeds ISO weeks, as 2026-W01) that other feeds have within
     a feed's own first and last date. The calendar is the union of all feeds' dates, its newest
-    ``lookback`` dates (0: all) are looked at."""
+    ``lookback`` dates (0: all) are looked at. ``weekly`` names feeds, or is a condition on them."""
     days = days.select("feed", "cob_date").distinct()
     calendar = days.select("cob_date").distinct()
     if lookback:
         calendar = _newest(calendar, "cob_date", lookback)
     bounds = days.groupBy("feed").agg(F.min("cob_date").alias("_lo"), F.max("cob_date").alias("_hi"))
-    expected = F.broadcast(calendar).join(bounds, F.col("cob_date").between(F.col("_lo"), F.col("_hi"))).select("feed", "cob_date")
-    is_weekly = F.col("feed").isin(*weekly) if weekly else F.lit(False)
+    expected = calendar.join(bounds, F.col("cob_date").between(F.col("_lo"), F.col("_hi"))).select("feed", "cob_date")
+    is_weekly = weekly if isinstance(weekly, Column) else F.col("feed").isin(*weekly) if weekly else F.lit(False)
     missing = expected.where(~is_weekly).join(days, ["feed", "cob_date"], "left_anti").select("feed", F.date_format("cob_date", "yyyy-MM-dd").alias("missing"))
     week = F.format_string("%04d-W%02d", F.extract(F.lit("YEAROFWEEK"), F.col("cob_date")).cast("int"), F.weekofyear("cob_date"))
     weeks = lambda d: d.where(is_weekly).select("feed", week.alias("missing")).distinct()
     return missing.unionByName(weeks(expected).join(weeks(days), ["feed", "missing"], "left_anti"))
 
 
-def lateness(arrivals: DataFrame, clock: str = "06:00") -> DataFrame:
+def first_arrivals(arrivals: DataFrame, newest: int = 0) -> DataFrame:
+    """(feed, cob_date, first_arrival), for each feed's ``newest`` dates only unless that is 0."""
+    first = arrivals.groupBy("feed", "cob_date").agg(F.min("arrived_at").alias("first_arrival"))
+    if not newest:
+        return first
+    order = Window.partitionBy("feed").orderBy(F.desc("cob_date"))
+    return first.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= newest).drop("_n")
+
+
+def lateness(arrivals: DataFrame, clock: str = "06:00", newest: int = 0) -> DataFrame:
     """(feed, cob_date, first_arrival, deadline, is_late, is_bulk): the first arrival against the
     deadline; a feed is a bulk load if more than one date is late, all arriving on one day."""
-    first = arrivals.groupBy("feed", "cob_date").agg(F.min("arrived_at").alias("first_arrival"))
+    first = first_arrivals(arrivals, newest)
     told = first.withColumn("deadline", deadline("cob_date", clock)).withColumn("is_late", F.col("first_arrival") > F.col("deadline"))
     late = told.where("is_late").groupBy("feed").agg((F.count("*") > 1).alias("_many"), (F.count_distinct(F.to_date("first_arrival")) == 1).alias("_one"))
     return told.join(late, "feed", "left").withColumn("is_bulk", F.coalesce(F.col("_many") & F.col("_one") & F.col("is_late"), F.lit(False))).drop("_many", "_one")
@@ -88,9 +97,28 @@ def latest_per_key(rows: DataFrame, keys: list[str], order: list[str]) -> DataFr
 
 
 def receipt_state(events: DataFrame, ranks: dict[str, int]) -> DataFrame:
-    """(transport_id, status): stages only move forward, except that a failure holds at any time
-    unless a later event follows it."""
+    """(transport_id, status): stages only move forward, but a failure holds at any time, and the
+    next stage after the last failure begins anew, however far it was before."""
     rank = F.create_map(*[F.lit(x) for k, v in ranks.items() for x in (k, v)])
-    scored = events.withColumn("_rank", F.when(F.col("status") == "FAILED", 0).otherwise(F.coalesce(rank[F.col("status")], F.lit(-1))))
-    fold = scored.groupBy("transport_id").agg(F.max_by("status", F.struct("_rank", "occurred_at")).alias("best"), F.max_by("status", "occurred_at").alias("last"))
-    return fold.select("transport_id", F.when(F.col("last") == "FAILED", "FAILED").otherwise(F.col("best")).alias("status"))
+    failed = F.max(F.when(F.col("status") == "FAILED", F.col("occurred_at"))).over(Window.partitionBy("transport_id"))
+    since = events.withColumn("_failed", failed).where("_failed is null or occurred_at >= _failed")
+    scored = since.withColumn("_rank", F.when(F.col("status") == "FAILED", -2).otherwise(F.coalesce(rank[F.col("status")], F.lit(-1))))
+    return scored.groupBy("transport_id").agg(F.max_by("status", F.struct("_rank", "occurred_at")).alias("status"))
+
+
+def status_summary(status: DataFrame) -> DataFrame:
+    """(cob_date, status, feeds): how many feeds of each date stand where."""
+    return status.groupBy("cob_date", "status").agg(F.count("*").alias("feeds"))
+
+
+def freshness(rows: DataFrame, column: str, now: str, limits: dict[str, tuple[float, float]], default: tuple[float, float] = (26, 50), source: str = "source") -> DataFrame:
+    """(source, newest, age_hours, status) of sources by their newest ``column``: pass, warn from
+    the first and error from the second limit of hours on. ``limits`` are by source."""
+    by = F.create_map(*[F.lit(x) for k, (w, e) in limits.items() for x in (k, F.struct(F.lit(float(w)).alias("w"), F.lit(float(e)).alias("e")))]) if limits else None
+    fallback = F.struct(F.lit(float(default[0])).alias("w"), F.lit(float(default[1])).alias("e"))
+    limit = fallback if by is None else F.coalesce(F.element_at(by, F.col("source")), fallback)
+    newest = rows.groupBy(F.col(source).alias("source")).agg(F.max(column).alias("newest"))
+    aged = newest.withColumn("age_hours", (F.unix_micros(F.lit(now).cast("timestamp")) - F.unix_micros(F.col("newest").cast("timestamp"))) / F.lit(3.6e9)).withColumn("_l", limit)
+    # a source without any time is as stale as can be
+    status = F.when(F.col("age_hours").isNull() | (F.col("age_hours") > F.col("_l.e")), "error").when(F.col("age_hours") > F.col("_l.w"), "warn").otherwise("pass")
+    return aged.select("source", "newest", "age_hours", status.alias("status"))

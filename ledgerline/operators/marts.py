@@ -10,17 +10,21 @@ from .scd2 import as_of_join
 
 
 def exposure(trades: DataFrame, key: str = "counterparty_id") -> DataFrame:
-    """Measures per date and counterparty over live trades. A NULL mark adds nothing anywhere."""
+    """Measures per date and counterparty over live trades. A NULL mark adds nothing anywhere. The
+    latest batch is told if trades name theirs. Books and products are a handful for each
+    counterparty, so they are counted as sets, without a row for each distinct column."""
+    batch = [F.max("source_batch_id").alias("source_batch_id")] if "source_batch_id" in trades.columns else []
     live = trades.where(~F.coalesce("is_matured", F.lit(False)))
     return live.groupBy("cob_date", key).agg(
         F.count("*").alias("trade_count"),
         F.sum("notional").alias("total_notional"),
         F.sum("mtm_value").alias("total_mtm"),
         F.sum(F.when(F.col("mtm_value") > 0, F.col("mtm_value")).otherwise(0)).alias("positive_mtm"),
-        F.count_distinct("book").alias("book_count"),
-        F.count_distinct("product_type").alias("product_count"),
+        F.size(F.collect_set("book")).cast("long").alias("book_count"),
+        F.size(F.collect_set("product_type")).cast("long").alias("product_count"),
         F.min("maturity_date").alias("earliest_maturity"),
         F.max("maturity_date").alias("latest_maturity"),
+        *batch,
     )
 
 

@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import conform as C
-from ..operators import calendar, maintain, marts, publish, quality, reconcile, scd2, snapshot
+from ..operators import calendar, maintain, marts, publish, quality, reconcile, registry, scd2, snapshot
+from ..sources import delivery, raw_ingest
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -221,6 +222,26 @@ def scd2_replayed(spark, d):
     return out.where("is_current or effective_to >= DATE '1997-01-01'").select(F.col("o_custkey").cast("long").alias("o_custkey"), "o_orderpriority", "effective_from", "effective_to", "is_current")
 
 
+# A re-delivery of the last dates: the first deliveries of each date are known to the target.
+FIRST = f"SELECT _cob_date AS cob_date, o_custkey, o_orderpriority FROM ({DEDUPE.replace(RAW, '(SELECT * FROM ' + RAW + ' WHERE _file_version = 1)')})"
+RECENT = "(SELECT max(effective_from) - 30 FROM old)"
+
+
+@query(f"""WITH old AS ({versions_sql(FIRST, "o_custkey", "o_orderpriority")}), new AS ({CUSTOMER_VERSIONS}),
+touched AS (SELECT DISTINCT o_custkey FROM {RAW} WHERE _cob_date >= {RECENT}), b AS (SELECT t.o_custkey, coalesce(max(effective_from) FILTER (WHERE effective_from < {RECENT}), DATE '0001-01-01') AS f FROM touched t LEFT JOIN old USING (o_custkey) GROUP BY 1),
+daily AS (SELECT o_custkey, cob_date, o_orderpriority FROM ({CUSTOMER_DAYS}) JOIN b USING (o_custkey) WHERE cob_date >= f UNION ALL SELECT o_custkey, effective_from, o_orderpriority FROM (SELECT old.*, row_number() OVER (PARTITION BY o_custkey ORDER BY effective_from DESC) AS n FROM old JOIN b USING (o_custkey) WHERE effective_from < f) WHERE n = 1),
+v AS ({versions_sql("SELECT * FROM daily", "o_custkey", "o_orderpriority")})
+SELECT o_custkey, o_orderpriority, effective_from, effective_to, is_current FROM v
+UNION ALL SELECT o_custkey, NULL, effective_from, DATE '0001-01-01', NULL FROM old JOIN b USING (o_custkey) WHERE effective_from >= f AND (o_custkey, effective_from) NOT IN (SELECT o_custkey, effective_from FROM v)""")
+def scd2_markers(spark, d):
+    """Changed versions and retraction markers of re-delivered dates."""
+    raw = _raw_orders(spark, d).select("_cob_date", "_file_version", "_row_number", F.col("o_custkey").cast("string").alias("o_custkey"), "o_orderpriority", F.lit("b").alias("_batch_id"))
+    columns = {"o_custkey": "string", "o_orderpriority": "string"}
+    target = scd2.build_full(raw.where("_file_version = 1"), columns, ["o_custkey"], ["o_orderpriority"])
+    out = scd2.replay_changes(raw, target, columns, ["o_custkey"], ["o_orderpriority"], 30)
+    return out.select(F.col("o_custkey").cast("long").alias("o_custkey"), "o_orderpriority", "effective_from", "effective_to", "is_current")
+
+
 @query(f"SELECT count(*) AS n_versions, count(*) FILTER (WHERE is_current) AS current_versions, count(*) FILTER (WHERE NOT is_current AND effective_to < DATE '1996-01-01') AS expiring FROM ({CUSTOMER_VERSIONS})")
 def retention_scd2_counts(spark, d):
     import datetime
@@ -241,7 +262,7 @@ count(DISTINCT book) AS book_count, count(DISTINCT product_type) AS product_coun
 REFERENCE = versions_sql("SELECT o_custkey, CAST(o_orderdate AS DATE) AS cob_date, max_by(o_orderpriority, o_orderkey) AS o_orderpriority FROM orders WHERE o_orderkey % 3 <> 0 GROUP BY 1, 2", "o_custkey", "o_orderpriority")
 
 
-def trades(spark, d):
+def trades(spark, d, batch: bool = False):
     o = t(spark, d, "orders").select("o_orderkey", "o_custkey", F.to_date("o_orderdate").alias("cob_date"))
     li = t(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus", "l_extendedprice", "l_shipdate")
     price, line = F.col("l_extendedprice").cast("decimal(18,2)"), F.col("l_linenumber")
@@ -249,6 +270,7 @@ def trades(spark, d):
     return li.join(o, F.col("l_orderkey") == F.col("o_orderkey")).select(
         "cob_date", F.col("o_custkey").alias("counterparty_id"), F.col("l_returnflag").alias("book"), F.col("l_linestatus").alias("product_type"), price.alias("notional"),
         F.when(line % 7 == 0, None).when(F.col("l_returnflag") == "R", -price).otherwise(price).alias("mtm_value"), ship.alias("maturity_date"), C.is_matured(ship, F.date_add("cob_date", 20)).alias("is_matured"),
+        *([F.concat(F.lit("b"), (F.col("o_orderkey") % 7).cast("string")).alias("source_batch_id")] if batch else []),
     )
 
 
@@ -268,6 +290,25 @@ def as_of_join_exposure(spark, d):
     return _doubles(out, "total_notional", "total_mtm", "positive_mtm")
 
 
+GRADE = "CASE o_orderkey % 23 " + " ".join(f"WHEN {i} THEN '{r}'" for i, r in enumerate(C.RATINGS)) + " ELSE 'WR' END"
+RATED = versions_sql(f"SELECT o_custkey, o_orderkey % 3 AS agency, CAST(o_orderdate AS DATE) AS cob_date, max_by({GRADE}, o_orderkey) AS rating FROM orders GROUP BY 1, 2, 3", "o_custkey, agency", "rating")
+BATCHES = TRADES.replace("CASE WHEN l_linenumber % 7 = 0 THEN NULL", "'b' || CAST(o_orderkey % 7 AS VARCHAR) AS source_batch_id, CASE WHEN l_linenumber % 7 = 0 THEN NULL", 1)
+
+
+@query(f"""WITH x AS (SELECT cob_date, counterparty_id, count(*) AS trade_count, max(source_batch_id) AS source_batch_id FROM {BATCHES} WHERE NOT coalesce(is_matured, false) GROUP BY 1, 2), r AS (SELECT *, CAST({RANK_SQL} AS INTEGER) AS rk, {IG_SQL} AS band FROM ({RATED})),
+w AS (SELECT x.cob_date, counterparty_id, max(rk) AS worst, min(CASE WHEN band = 'INVESTMENT_GRADE' THEN 1 ELSE 0 END) AS ig, max(effective_from) AS since FROM x JOIN r ON o_custkey = counterparty_id AND x.cob_date BETWEEN effective_from AND effective_to GROUP BY 1, 2)
+SELECT x.cob_date, x.counterparty_id, trade_count, source_batch_id, worst AS worst_rating_rank, since AS rating_effective_from, ig = 1 AS is_investment_grade FROM x LEFT JOIN w ON w.cob_date = x.cob_date AND w.counterparty_id = x.counterparty_id""")
+def worst_rating(spark, d):
+    """The exposure mart with ratings of three agencies as they were on the date, some unranked."""
+    o = t(spark, d, "orders").select("o_orderkey", F.col("o_custkey").alias("counterparty_id"), F.to_date("o_orderdate").alias("cob_date"), "o_orderpriority")
+    rating = F.element_at(F.array(*map(F.lit, (*C.RATINGS, "WR"))), (F.col("o_orderkey") % 23 + 1).cast("int"))
+    daily = o.groupBy("counterparty_id", (F.col("o_orderkey") % 3).alias("agency"), "cob_date").agg(F.max_by(rating, "o_orderkey").alias("rating"))
+    ratings = scd2.versions(daily, ["counterparty_id", "agency"], ["rating"]).withColumns({"rating_rank": C.rating_rank("rating"), "grade_band": C.grade_band("rating")})
+    days = o.groupBy("counterparty_id", "cob_date").agg(F.max_by("o_orderpriority", "o_orderkey").alias("o_orderpriority"))
+    out = marts.counterparty_exposure(trades(spark, d, batch=True), scd2.versions(days, ["counterparty_id"], ["o_orderpriority"]), days, ratings, carry=["o_orderpriority"])
+    return out.select("cob_date", "counterparty_id", "trade_count", "source_batch_id", "worst_rating_rank", "rating_effective_from", "is_investment_grade")
+
+
 @query(f"""WITH s AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS cob_date, o_custkey FROM orders WHERE o_orderkey % 3 <> 0)
 SELECT e.cob_date, count(*) AS n_rows, count(*) FILTER (WHERE s.o_custkey IS NULL) AS carried FROM {EXPOSURE} e LEFT JOIN s ON s.cob_date = e.cob_date AND s.o_custkey = e.counterparty_id GROUP BY 1""")
 def carried_forward_flag(spark, d):
@@ -308,11 +349,27 @@ def nation_days(spark, d):
 @query(f"""WITH {NATION_DAYS} SELECT ks.cob_date, ks.k AS counterparty_id, ks.prior AS prior_cob_date, ks.month_end AS prior_month_end, CAST(c.mtm AS DOUBLE) AS total_mtm, CAST(p.mtm AS DOUBLE) AS prior_total_mtm,
 CAST((CASE WHEN c.k IS NULL THEN 0 ELSE c.mtm END) - coalesce(p.mtm, 0) AS DOUBLE) AS mtm_change,
 CAST((CASE WHEN c.k IS NULL THEN 0 ELSE c.notional END) - coalesce(p.notional, 0) AS DOUBLE) AS notional_change, CAST((CASE WHEN c.k IS NULL THEN 0 ELSE c.n END) - coalesce(p.n, 0) AS BIGINT) AS trade_count_change, CAST(m.mtm AS DOUBLE) AS month_end_mtm,
+CASE WHEN p.mtm <> 0 THEN CAST((CASE WHEN c.k IS NULL THEN 0 ELSE c.mtm END) - p.mtm AS DOUBLE) / CAST(abs(p.mtm) AS DOUBLE) END AS mtm_change_pct, CAST((CASE WHEN c.k IS NULL THEN 0 ELSE c.mtm END) - coalesce(m.mtm, 0) AS DOUBLE) AS month_end_change,
 CASE WHEN p.k IS NULL THEN 'NEW' WHEN c.k IS NULL THEN 'REMOVED' WHEN abs(coalesce(c.mtm, 0) - coalesce(p.mtm, 0)) > 200000 THEN 'MATERIAL_CHANGE' WHEN c.mtm IS DISTINCT FROM p.mtm THEN 'CHANGED' ELSE 'UNCHANGED' END AS change_category
 FROM ks LEFT JOIN e c ON c.cob_date = ks.cob_date AND c.k = ks.k LEFT JOIN e p ON p.cob_date = ks.prior AND p.k = ks.k LEFT JOIN e m ON m.cob_date = ks.month_end AND m.k = ks.k""")
 def exposure_change_daily(spark, d):
-    out = marts.exposure_change(nation_days(spark, d), threshold=200_000).drop("mtm_change_pct", "month_end_change")
-    return _doubles(out, "total_mtm", "prior_total_mtm", "mtm_change", "notional_change", "month_end_mtm").withColumn("trade_count_change", F.col("trade_count_change").cast("long"))
+    out = marts.exposure_change(nation_days(spark, d), threshold=200_000)
+    return _doubles(out, "total_mtm", "prior_total_mtm", "mtm_change", "notional_change", "month_end_mtm", "month_end_change").withColumn("trade_count_change", F.col("trade_count_change").cast("long"))
+
+
+NULL_DAYS = NATION_DAYS.replace("c_nationkey AS k", "CASE WHEN c_nationkey % 6 <> 0 THEN c_nationkey END AS k").replace("x.k = e.k", "x.k IS NOT DISTINCT FROM e.k")
+
+
+@query(f"""WITH {NULL_DAYS} SELECT ks.cob_date, ks.k AS counterparty_id, CAST(c.mtm AS DOUBLE) AS total_mtm, CAST(p.mtm AS DOUBLE) AS prior_total_mtm,
+CASE WHEN p.cob_date IS NULL THEN 'NEW' WHEN c.cob_date IS NULL THEN 'REMOVED' WHEN abs(coalesce(c.mtm, 0) - coalesce(p.mtm, 0)) > 200000 THEN 'MATERIAL_CHANGE' WHEN c.mtm IS DISTINCT FROM p.mtm THEN 'CHANGED' ELSE 'UNCHANGED' END AS change_category
+FROM ks LEFT JOIN e c ON c.cob_date = ks.cob_date AND c.k IS NOT DISTINCT FROM ks.k LEFT JOIN e p ON p.cob_date = ks.prior AND p.k IS NOT DISTINCT FROM ks.k""")
+def exposure_change_null_keys(spark, d):
+    """The change mart where counterparties may be NULL: they are one key like any other."""
+    o = t(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice", F.to_date("o_orderdate").alias("cob_date"))
+    c = t(spark, d, "customer").select("c_custkey", F.when(F.col("c_nationkey") % 6 != 0, F.col("c_nationkey")).alias("counterparty_id"))
+    price = F.col("o_totalprice").cast("decimal(18,2)")
+    e = o.join(c, F.col("o_custkey") == F.col("c_custkey")).groupBy("cob_date", "counterparty_id").agg(F.sum(F.when(F.col("o_orderkey") % 11 != 0, price)).alias("total_mtm"), F.sum(price).alias("total_notional"), F.count("*").alias("trade_count"))
+    return _doubles(marts.exposure_change(e, threshold=200_000).select("cob_date", "counterparty_id", "total_mtm", "prior_total_mtm", "change_category"), "total_mtm", "prior_total_mtm")
 
 
 @query(f"""WITH {NATION_DAYS} SELECT ks.cob_date, ks.k AS counterparty_id FROM ks WHERE NOT EXISTS (SELECT 1 FROM e WHERE e.cob_date = ks.cob_date AND e.k = ks.k)""")
@@ -366,10 +423,14 @@ def dq_equality(spark, d):
     return quality.equality(p, p.withColumn("p_size", F.when(F.col("p_partkey") % 9 == 0, F.col("p_size") + 1).otherwise(F.col("p_size"))), ["p_brand", "p_size"])
 
 
-@query("SELECT CAST(0 AS BIGINT) AS n_flaws")
+@query(f"""WITH {NATION_DAYS}, gone AS (SELECT cob_date, k FROM ks WHERE NOT EXISTS (SELECT 1 FROM e WHERE e.cob_date = ks.cob_date AND e.k = ks.k))
+SELECT flaw, count(*) AS n_flaws FROM (SELECT 'still there' AS flaw FROM e WHERE k % 7 = 1 UNION ALL SELECT 'not reported' FROM gone WHERE k % 5 = 0 AND k % 7 <> 1) GROUP BY flaw""")
 def dq_removed_matches(spark, d):
-    e = nation_days(spark, d)
-    return quality.removed_matches_disappearance(marts.exposure_change(e), e, marts.date_pairs(e), "counterparty_id").agg(F.count("*").alias("n_flaws"))
+    """A change mart that was tampered with: some removals are missing, some are told that aren't."""
+    e, k = nation_days(spark, d), F.col("counterparty_id")
+    wrong = F.when(k % 7 == 1, "REMOVED").when((F.col("change_category") == "REMOVED") & (k % 5 == 0), "CHANGED").otherwise(F.col("change_category"))
+    changed = marts.exposure_change(e).withColumn("change_category", wrong)
+    return quality.removed_matches_disappearance(changed, e, marts.date_pairs(e), "counterparty_id").groupBy("flaw").agg(F.count("*").alias("n_flaws"))
 
 
 @query("SELECT count(*) AS n_rows, count(*) FILTER (WHERE o_totalprice IS NULL OR o_totalprice < 0) AS bad_amounts, count(*) FILTER (WHERE o_orderstatus = 'P') AS pending, CAST(count(*) - count(DISTINCT o_custkey) AS BIGINT) AS repeated FROM orders")
@@ -464,25 +525,25 @@ def expire_set(spark, d):
     return calendar.expire_set(_dates(spark, d), 10, 12, 2)
 
 
-FEEDS = "(SELECT DISTINCT event_type AS feed, CAST(ts AS DATE) AS cob_date FROM events WHERE user_id % 40 = 0)"
+# A feed is a user's events of one type here, so that all events count and feeds have gaps.
+FEEDS = "(SELECT DISTINCT CAST(user_id AS VARCHAR) || '-' || event_type AS feed, CAST(ts AS DATE) AS cob_date FROM events)"
 
 
 def _feeds(spark, d):
-    return t(spark, d, "events").where("user_id % 40 = 0").select(F.col("event_type").alias("feed"), F.to_date("ts").alias("cob_date")).distinct()
+    return t(spark, d, "events").select(F.concat_ws("-", F.col("user_id").cast("string"), "event_type").alias("feed"), F.to_date("ts").alias("cob_date")).distinct()
 
 
 EXPECTED = f"x AS (SELECT feed, c.cob_date FROM (SELECT DISTINCT cob_date FROM {FEEDS}) c JOIN (SELECT feed, min(cob_date) AS lo, max(cob_date) AS hi FROM {FEEDS} GROUP BY 1) b ON c.cob_date BETWEEN lo AND hi)"
 
 
-@query(f"WITH {EXPECTED} SELECT feed, CAST(cob_date AS VARCHAR) AS missing FROM x WHERE NOT EXISTS (SELECT 1 FROM {FEEDS} f WHERE f.feed = x.feed AND f.cob_date = x.cob_date)")
+@query(f"WITH {EXPECTED} SELECT x.feed, CAST(x.cob_date AS VARCHAR) AS missing FROM x ANTI JOIN {FEEDS} f ON f.feed = x.feed AND f.cob_date = x.cob_date")
 def gaps_daily(spark, d):
     return calendar.find_gaps(_feeds(spark, d))
 
 
-@query(f"WITH {EXPECTED}, w AS (SELECT DISTINCT feed, printf('%04d-W%02d', CAST(isoyear(cob_date) AS INTEGER), CAST(weekofyear(cob_date) AS INTEGER)) AS missing FROM x) SELECT feed, missing FROM w WHERE (feed, missing) NOT IN (SELECT feed, printf('%04d-W%02d', CAST(isoyear(cob_date) AS INTEGER), CAST(weekofyear(cob_date) AS INTEGER)) FROM {FEEDS})")
+@query(f"WITH {EXPECTED}, w AS (SELECT DISTINCT feed, printf('%04d-W%02d', CAST(isoyear(cob_date) AS INTEGER), CAST(weekofyear(cob_date) AS INTEGER)) AS missing FROM x) SELECT w.feed, w.missing FROM w ANTI JOIN (SELECT feed, printf('%04d-W%02d', CAST(isoyear(cob_date) AS INTEGER), CAST(weekofyear(cob_date) AS INTEGER)) AS missing FROM {FEEDS}) f ON f.feed = w.feed AND f.missing = w.missing")
 def gaps_weekly(spark, d):
-    feeds = _feeds(spark, d)
-    return calendar.find_gaps(feeds, weekly=tuple(sorted(r[0] for r in feeds.select("feed").distinct().collect())))
+    return calendar.find_gaps(_feeds(spark, d), weekly=F.col("feed").isNotNull())
 
 
 ARRIVALS = "(SELECT event_type AS feed, CAST(ts AS DATE) AS cob_date, ts + INTERVAL 26 HOUR AS arrived_at FROM events)"
@@ -497,15 +558,52 @@ def lateness(spark, d):
     return calendar.lateness(_arrivals(spark, d)).drop("is_bulk")
 
 
-@query("""WITH f AS (SELECT event_type AS feed, CAST(ts AS DATE) AS cob_date, bool_or(event_id % 5 = 0) AS c, bool_or(event_id % 3 = 0) AS dl, bool_or(event_id % 7 = 0) AS fl, bool_or(event_id % 2 = 0) AS r FROM events WHERE user_id % 40 = 0 GROUP BY 1, 2)
-SELECT feed, cob_date, CASE WHEN day(cob_date) % 6 = 0 THEN 'NOT_EXPECTED' WHEN c THEN 'COMPLETE' WHEN dl THEN 'PROCESSING' WHEN fl THEN 'FAILED' WHEN r THEN 'RECEIVED' WHEN TIMESTAMP '2024-01-15 00:00:00' > CAST(cob_date + 1 AS TIMESTAMP) + INTERVAL 6 HOUR THEN 'MISSING' ELSE 'WAITING' END AS status FROM f""")
+BULK = "(SELECT CAST(user_id AS VARCHAR) AS feed, CAST(ts AS DATE) AS cob_date, CASE WHEN user_id % 3 = 0 THEN TIMESTAMP '2030-01-01 00:00:00' + INTERVAL (event_id % 600) MINUTE ELSE ts + INTERVAL 26 HOUR END AS arrived_at FROM events)"
+LATE = f"(SELECT feed, cob_date, min(arrived_at) AS first_arrival, CAST(cob_date + 1 AS TIMESTAMP) + INTERVAL 6 HOUR AS deadline, min(arrived_at) > CAST(cob_date + 1 AS TIMESTAMP) + INTERVAL 6 HOUR AS is_late FROM {BULK} GROUP BY 1, 2)"
+
+
+def _bulk_arrivals(spark, d):
+    minutes = F.timestamp_add("MINUTE", (F.col("event_id") % 600).cast("int"), F.lit("2030-01-01 00:00:00").cast("timestamp"))
+    return t(spark, d, "events").select(F.col("user_id").cast("string").alias("feed"), F.to_date("ts").alias("cob_date"), F.when(F.col("user_id") % 3 == 0, minutes).otherwise(F.col("ts") + F.expr("INTERVAL 26 HOURS")).alias("arrived_at"))
+
+
+@query(f"SELECT l.*, is_late AND coalesce(n > 1 AND days = 1, false) AS is_bulk FROM {LATE} l LEFT JOIN (SELECT feed AS f, count(*) AS n, count(DISTINCT CAST(first_arrival AS DATE)) AS days FROM {LATE} WHERE is_late GROUP BY 1) b ON f = feed")
+def lateness_bulk(spark, d):
+    """Every third user's history was loaded at once, late; the others arrive day by day."""
+    return calendar.lateness(_bulk_arrivals(spark, d))
+
+
+@query(f"SELECT feed, cob_date, first_arrival FROM (SELECT *, row_number() OVER (PARTITION BY feed ORDER BY cob_date DESC) AS n FROM {LATE}) WHERE n <= 3")
+def first_arrivals(spark, d):
+    return calendar.first_arrivals(_bulk_arrivals(spark, d), 3)
+
+
+STATUS = """(WITH f AS (SELECT CAST(user_id AS VARCHAR) AS feed, CAST(ts AS DATE) AS cob_date, bool_or(event_id % 5 = 0) AS c, bool_or(event_id % 3 = 0) AS dl, bool_or(event_id % 7 = 0) AS fl, bool_or(event_id % 2 = 0) AS r FROM events GROUP BY 1, 2)
+SELECT feed, cob_date, CASE WHEN day(cob_date) % 6 = 0 THEN 'NOT_EXPECTED' WHEN c THEN 'COMPLETE' WHEN dl THEN 'PROCESSING' WHEN fl THEN 'FAILED' WHEN r THEN 'RECEIVED' WHEN TIMESTAMP '2024-01-15 00:00:00' > CAST(cob_date + 1 AS TIMESTAMP) + INTERVAL 6 HOUR THEN 'MISSING' ELSE 'WAITING' END AS status FROM f)"""
+
+
+@query(f"SELECT feed, cob_date, status FROM {STATUS}")
 def feed_status(spark, d):
-    e = t(spark, d, "events").where("user_id % 40 = 0").select("event_id", F.col("event_type").alias("feed"), F.to_date("ts").alias("cob_date"))
+    e = t(spark, d, "events").select("event_id", F.col("user_id").cast("string").alias("feed"), F.to_date("ts").alias("cob_date"))
     part = lambda n: e.where(F.col("event_id") % n == 0)
     expected = e.select("feed", "cob_date", (F.dayofmonth("cob_date") % 6 != 0).alias("is_expected")).distinct()
     return calendar.feed_status(expected, part(2), part(3), part(5), part(7), "2024-01-15 00:00:00")
 
 
+@query(f"SELECT cob_date, status, count(*) AS feeds FROM {STATUS} GROUP BY 1, 2")
+def status_summary(spark, d):
+    return calendar.status_summary(feed_status(spark, d))
+
+
+@query("""SELECT source, newest, date_diff('microsecond', newest, TIMESTAMP '2024-02-01 00:00:00') / 3.6e9::DOUBLE AS age_hours, CASE WHEN date_diff('microsecond', newest, TIMESTAMP '2024-02-01 00:00:00') / 3.6e9::DOUBLE > CASE WHEN source = 'view' THEN 240 ELSE 50 END THEN 'error'
+WHEN date_diff('microsecond', newest, TIMESTAMP '2024-02-01 00:00:00') / 3.6e9::DOUBLE > CASE WHEN source = 'view' THEN 72 ELSE 26 END THEN 'warn' ELSE 'pass' END AS status
+FROM (SELECT source, max(ts) AS newest FROM (SELECT event_type AS source, ts FROM events UNION ALL SELECT 'old-' || event_type, ts - INTERVAL 30 DAY FROM events) GROUP BY 1)""")
+def source_freshness(spark, d):
+    e = t(spark, d, "events").select(F.col("event_type").alias("source"), "ts")
+    both = e.unionByName(e.select(F.concat(F.lit("old-"), "source").alias("source"), (F.col("ts") - F.expr("INTERVAL 30 DAYS")).alias("ts")))
+    return calendar.freshness(both, "ts", "2024-02-01 00:00:00", {"view": (72, 240)})
+
+
 # The same over all events: a feed is an event type and a bucket of users, so no event is left out.
 
 ALL_FEEDS = "(SELECT DISTINCT event_type || '-' || CAST(user_id % 40 AS VARCHAR) AS feed, CAST(ts AS DATE) AS cob_date FROM events)"
@@ -568,10 +666,7 @@ def input_sets(spark, d):
 
 @query(" UNION ALL ".join(f"SELECT '{c}' AS column_name, count(DISTINCT {c}) AS distinct_values, count(*) AS n_rows, count(DISTINCT {c}) = count(*) AS is_key FROM part" for c in ("p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice")))
 def key_candidates(spark, d):
-    p = t(spark, d, "part")
-    names = ["p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"]
-    row = p.agg(F.count("*").alias("n_rows"), *[F.count_distinct(c).alias(c) for c in names])
-    return row.select("n_rows", F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("distinct_values")) for c in names]))).select("column_name", "distinct_values", "n_rows", (F.col("distinct_values") == F.col("n_rows")).alias("is_key"))
+    return delivery.key_statistics(t(spark, d, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"))
 
 
 @query("SELECT o_orderkey, count(l_orderkey) AS part_count FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey AND l_linenumber > 1 GROUP BY 1")
@@ -589,10 +684,59 @@ def receipt_stage(spark, d):
     return calendar.receipt_state(e, ranks | others)
 
 
-@query("SELECT count(*) AS partitions, CAST(max(n) AS BIGINT) AS max_files_per_partition, CAST(sum(n) AS BIGINT) AS total_files FROM (SELECT CAST(o_orderdate AS DATE) AS p, count(*) AS n FROM orders GROUP BY 1)")
+RECEIPTS = "(SELECT user_id AS transport_id, event_id, CASE WHEN event_id % 5 = 0 THEN 'FAILED' WHEN event_id % 3 = 0 THEN 'DISCOVERED' WHEN event_id % 3 = 1 THEN 'LANDED' ELSE 'INGESTED' END AS s, CASE WHEN event_id % 5 = 0 THEN -1 ELSE event_id % 3 END AS k FROM events)"
+
+
+@query(f"""WITH r AS {RECEIPTS}, f AS (SELECT transport_id, max(event_id) FILTER (WHERE s = 'FAILED') AS f FROM r GROUP BY 1)
+SELECT transport_id, coalesce(arg_max(s, k * 1000000000 + event_id) FILTER (WHERE s <> 'FAILED' AND event_id > coalesce(f, -1)), 'FAILED') AS status FROM r JOIN f USING (transport_id) GROUP BY 1""")
+def receipt_after_failure(spark, d):
+    """Receipts with failures between: the last failure starts the stages anew."""
+    e = F.col("event_id")
+    status = F.when(e % 5 == 0, "FAILED").when(e % 3 == 0, "DISCOVERED").when(e % 3 == 1, "LANDED").otherwise("INGESTED")
+    events = t(spark, d, "events").select(F.col("user_id").alias("transport_id"), status.alias("status"), e.alias("occurred_at"))
+    return calendar.receipt_state(events, {"DISCOVERED": 0, "LANDED": 1, "INGESTED": 2})
+
+
+@query("SELECT o_custkey AS delivery_id, max(CAST(o_orderdate AS DATE)) AS cob_date, max(1 + o_orderkey % 2) AS version, count(*) AS n_rows FROM orders GROUP BY 1")
+def committed_rows(spark, d):
+    return raw_ingest.committed(_raw_orders(spark, d).withColumn("_delivery_id", F.col("o_custkey")))
+
+
+@query(f"SELECT _row_number, o_totalprice FROM {RAW} WHERE _cob_date = (SELECT max(_cob_date) FROM {RAW}) AND o_custkey % 2 = 0")
+def checkpoint_filter(spark, d):
+    raw = _raw_orders(spark, d)
+    newest = raw.agg(F.max("_cob_date")).first()[0]
+    tagged = raw.withColumn("_delivery_id", F.when(F.col("o_custkey") % 2 == 0, "even").otherwise("odd"))
+    return raw_ingest.checkpoint(tagged, newest, "even").select("_row_number", "o_totalprice")
+
+
+@query("SELECT 'orders' AS model, o_custkey AS delivery_id, c_mktsegment AS feed, CAST(c_custkey % 28 + 1 AS INTEGER) AS cob_date FROM (SELECT DISTINCT o_custkey FROM orders) LEFT JOIN (SELECT * FROM customer WHERE c_custkey % 4 <> 0) ON c_custkey = o_custkey")
+def registered_inputs(spark, d):
+    """Inputs with their delivery, where some aren't registered."""
+    inputs = t(spark, d, "orders").select(F.lit("orders").alias("model"), F.col("o_custkey").alias("delivery_id")).distinct()
+    known = t(spark, d, "customer").where("c_custkey % 4 <> 0").select(F.col("c_custkey").alias("delivery_id"), F.col("c_mktsegment").alias("feed"), (F.col("c_custkey") % 28 + 1).cast("int").alias("cob_date"))
+    return registry.registered(inputs, known)
+
+
+@query("SELECT o_custkey AS delivery_id, CASE WHEN c_custkey IS NULL THEN 'unregistered' WHEN c_custkey % 28 = 3 THEN 'on_date' ELSE 'off_date' END AS standing FROM (SELECT DISTINCT o_custkey FROM orders) LEFT JOIN (SELECT * FROM customer WHERE c_custkey % 4 <> 0) ON c_custkey = o_custkey")
+def changed_input_standing(spark, d):
+    moved = t(spark, d, "orders").select(F.col("o_custkey").alias("delivery_id")).distinct()
+    known = t(spark, d, "customer").where("c_custkey % 4 <> 0").select(F.col("c_custkey").alias("delivery_id"), (F.col("c_custkey") % 28).alias("cob_date"))
+    return registry.standing(moved, known, 3)
+
+
+@query("SELECT o_orderpriority AS report, CAST(o_orderdate AS DATE) AS as_at, CAST(1 + o_orderkey % 3 AS INTEGER) AS version, 'lines' AS model, l_suppkey AS delivery_id FROM orders JOIN lineitem ON l_orderkey = o_orderkey WHERE o_orderkey % 2 = 0")
+def behind_versions(spark, d):
+    """The deliveries behind each version, through the run that made it."""
+    versions = t(spark, d, "orders").where("o_orderkey % 2 = 0").select(F.col("o_orderpriority").alias("report"), F.to_date("o_orderdate").alias("as_at"), (1 + F.col("o_orderkey") % 3).cast("int").alias("version"), F.col("o_orderkey").alias("run"))
+    inputs = t(spark, d, "lineitem").select(F.col("l_orderkey").alias("run"), F.lit("lines").alias("model"), F.col("l_suppkey").alias("delivery_id"))
+    return registry.behind_versions(versions, inputs)
+
+
+@query("SELECT count(*) AS partitions, CAST(max(n) AS BIGINT) AS max_files_per_partition, CAST(sum(n) AS BIGINT) AS total_files, CAST(sum(b) AS DOUBLE) / CAST(sum(n) AS DOUBLE) / 1048576 AS avg_file_size_mb FROM (SELECT CAST(o_orderdate AS DATE) AS p, count(*) AS n, sum(o_orderkey) AS b FROM orders GROUP BY 1)")
 def file_metrics(spark, d):
-    files = t(spark, d, "orders").select(F.to_date("o_orderdate").alias("partition"), F.col("o_totalprice").alias("size"))
-    return maintain.file_metrics(files).select("partitions", "max_files_per_partition", "total_files")
+    files = t(spark, d, "orders").select(F.to_date("o_orderdate").alias("partition"), F.col("o_orderkey").alias("size"))
+    return maintain.file_metrics(files).select("partitions", "max_files_per_partition", "total_files", "avg_file_size_mb")
 
 
 @query("SELECT l_orderkey, l_linenumber FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F') AND l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderkey % 10 = 0)")
