@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 from ledgerline.contracts import ContractError, Feed, delivery_id, derive_pattern, platform_names, resolve
 from ledgerline.functions import conform as C
 from ledgerline.operators import calendar, lineage, maintain, marts, quality, reconcile, sampledata, scd2, snapshot
-from ledgerline.operators.publish import Refused, Registry, publish
+from ledgerline.operators.publish import publish
+from ledgerline.operators.registry import Refused, Registry
 from ledgerline.operators.quality import Check
 from ledgerline.operators.refs import Conflict, SnapshotStore
 from ledgerline.sources import delivery as D
+from ledgerline.sources import raw_ingest
 from ledgerline.sources.raw_ingest import Delivery, IngestRefused, ingest
 
 POSITION = Feed(
@@ -161,27 +163,238 @@ def test_store_branches_conflicts_and_sweeps(spark, tmp_path):
 
 
 def test_publication_gate_and_versions(spark, tmp_path):
-    store, registry = SnapshotStore(spark, str(tmp_path / "s")), Registry()
+    store, registry = SnapshotStore(spark, str(tmp_path / "s")), Registry(spark, str(tmp_path / "r"))
     data = {"ids": ["d1"]}
-    registry.deliveries = [{"delivery_id": "d1", "cob_date": "2026-01-01"}, {"delivery_id": "d2", "cob_date": "2026-01-01"}]
+    for i in ("d1", "d2"):
+        registry.record("deliveries", delivery_id=i, feed="f", cob_date="2026-01-01", version=1)
     table = lambda: spark.createDataFrame([(i, date(2026, 1, 1), 5) for i in data["ids"]], "delivery_id string, cob_date date, x int")
     args = ("r", "2026-01-01", lambda s, b: s.write(table(), "m", b), lambda s, b: [Check("positive", lambda: quality.accepted_range(s.read("m", b), "x", 0))], lambda s, b: {"m": s.read("m", b)})
-    assert publish(store, registry, *args) == 1 and publish(store, registry, *args) == 2
-    registry.move("r", "2026-01-01", "submitted", "ann", "bob")
-    with pytest.raises(Refused):
-        registry.move("r", "2026-01-01", "locked", "ann", "bob")
-    registry.move("r", "2026-01-01", "locked", "bob", "bob")
+    assert publish(store, registry, *args, code={"m": "1"}) == 1 and publish(store, registry, *args, code={"m": "2", "n": "1"}) == 2
+    registry.move("r", "2026-01-01", "submitted", "ann", "sent", "bob")
     data["ids"] = ["d1", "d2"]
     with pytest.raises(Refused):
         publish(store, registry, *args)
     assert store.read("m").count() == 1
     assert publish(store, registry, *args, policy="carry_forward") == 3 and store.read("m").count() == 2
-    assert registry.input_diff(registry.versions[0]["run"], registry.versions[2]["run"])["added"] == [("m", "d2")]
-    assert [t["delivery_id"] for t in registry.trace("r", "2026-01-01", 3)] == ["d1", "d2"]
-    bad = (*args[:3], lambda s, b: [Check("never", lambda: quality.accepted_range(s.read("m", b), "x", 6))], args[4])
+    # all of it outlives the process that recorded it
+    registry = Registry(spark, str(tmp_path / "r"))
+    runs = [v["run"] for v in registry.versions("r", "2026-01-01")]
+    assert sorted(map(tuple, registry.input_diff(runs[0], runs[2]).collect())) == [("m", "d1", "unchanged"), ("m", "d2", "added")]
+    assert sorted(map(tuple, registry.code_diff(runs[0], runs[1]).collect())) == [("m", "changed"), ("n", "added")]
+    data["ids"] = ["d1", "d2", "d9"]
+    publish(store, registry, "other", "2026-01-01", *args[2:])
+    assert [r.delivery_id for r in registry.trace("r", "2026-01-01", 3).orderBy("delivery_id").collect()] == ["d1", "d2"]
+    assert {r.delivery_id: r.feed for r in registry.trace("other", "2026-01-01", 1).collect()} == {"d1": "f", "d2": "f", "d9": None}
+    registry.record("submissions", submission_id="s1", report="r", as_at="2026-01-01", version=2, recipient="x")
+    assert [r.run for r in registry.submitted().collect()] == [runs[1]]
+    registry.record("deletions", delivery_id="d2", reason="old")
+    assert {(r.report, r.version) for r in registry.deleted_live().collect()} == {("r", 3), ("other", 1)}
+    bad = (*args[:3], lambda s, b: [Check("never", lambda: quality.accepted_range(s.read("m", b), "x", 6)), Check("broken", lambda: quality.not_null(s.read("m", b), "no_such"))], args[4])
     with pytest.raises(Refused):
         publish(store, registry, *bad)
-    assert {e["outcome"] for e in registry.evidence} == {"pass", "fail"}
+    assert {e["outcome"] for e in registry.frame("evidence").collect()} == {"pass", "fail", "error"}
+    with pytest.raises(Refused):
+        publish(store, registry, "../r", *args[1:])
+
+
+def test_lifecycle_moves(spark, tmp_path):
+    registry = Registry(spark, str(tmp_path / "r"))
+    move = lambda to, actor="ann", reason="why", **more: registry.move("r", "2026-01-01", to, actor, reason, "Bob", **more)
+    refused = [("open", {}), ("reopened", {}), ("locked", {"actor": " "}), ("submitted", {"reason": ""})]
+    for to, more in refused:
+        with pytest.raises(Refused):
+            move(to, **more)
+    assert registry.state("r", "2026-01-01") == "open"
+    move("locked")
+    move("reopened")  # a lock is undone without approval
+    with pytest.raises(Refused):
+        move("reopened")
+    move("submitted", submission_id="s1")
+    for approved in (None, "ann"):
+        with pytest.raises(Refused):
+            move("reopened", approved_by=approved)
+    move("reopened", approved_by="bob")
+    assert registry.state("r", "2026-01-01") == "reopened" and registry.state("r", "2026-01-02") == "open"
+    assert [r.state for r in registry.frame("transitions").orderBy("seq").collect()] == ["locked", "reopened", "submitted", "reopened"]
+    # of two that saw the same state one is refused
+    other = Registry(spark, str(tmp_path / "r"))
+    seen = other._numbered("transitions", "r", "2026-01-01")
+    move("locked")
+    other._numbered = lambda *a: seen
+    with pytest.raises(Refused):
+        other.move("r", "2026-01-01", "submitted", "ann", "why", "Bob")
+
+
+def test_store_keeps_parts(spark, tmp_path):
+    """An append writes its rows alone, a partition's replacement leaves the others' files, merges
+    that race conflict or both count, and a crash between steps loses nothing."""
+    store = SnapshotStore(spark, str(tmp_path / "s"))
+    names = lambda ref: {r.path for r in store.files("t", ref).collect()}
+    day = lambda d, x: spark.createDataFrame([(date(2026, 1, d), x)], "cob_date date, x int").coalesce(1)
+    a = store.branch("a")
+    store.append(day(1, 1), "t", a, ["cob_date"])
+    one = names(a)
+    store.append(day(2, 2).withColumn("y", F.lit("new")), "t", a)
+    two = names(a)
+    assert one < two and len(two) == 2
+    assert sorted(map(str, store.read("t", a).select("x", "y").collect())) == ["Row(x=1, y=None)", "Row(x=2, y='new')"]
+    with pytest.raises(ValueError):
+        store.append(day(3, 3).withColumn("x", F.lit("text")), "t", a)
+    store.replace_partitions(day(2, 9), "t", a, "cob_date")
+    assert one < names(a) and len(names(a)) == 2 and sorted(r.x for r in store.read("t", a).collect()) == [1, 9]
+    store.delete_where("t", a, F.col("x") == 9)
+    assert names(a) == one
+    store.append(day(3, 3), "t", a)
+    store.keep_partitions("t", a, spark.createDataFrame([(date(2026, 1, 3),)], "cob_date date"))
+    assert [r.x for r in store.read("t", a).collect()] == [3] and dict(store.read("t", a).dtypes)["cob_date"] == "date"
+    assert store.read("t", a).where("cob_date = '2026-01-03'").count() == 1
+    assert store.merge(a) == ["t"]
+    # two branches of one base, two tables: both merges count, even if one reads before the other writes
+    b, c = store.branch("b"), store.branch("c")
+    store.write(day(1, 5), "u", b)
+    store.write(day(1, 6), "v", c)
+    create, late = store._create, []
+
+    def slow(name, number, state):
+        if name == "main" and not late:
+            late.append(name)
+            SnapshotStore(spark, store.root).merge(c)
+        create(name, number, state)
+
+    store._create = slow
+    assert store.merge(b) == ["u"] and store.has("u") and store.has("v") and store.has("t")
+    store._create = create
+    # the same table: one conflict
+    b, c = store.branch("b2"), store.branch("c2")
+    store.append(day(1, 7), "u", b)
+    store.append(day(1, 8), "u", c)
+    store.merge(b)
+    with pytest.raises(Conflict):
+        store.merge(c)
+    # a writer that dies between its steps leaves main as it was
+    before = store.ref("main")
+    d = store.branch("d")
+    store._put = lambda *x: (_ for _ in ()).throw(OSError("gone"))
+    with pytest.raises(OSError):
+        store.append(day(4, 4), "t", d)
+    assert SnapshotStore(spark, store.root).ref("main") == before and store.read("t", d).count() == 1
+    assert {r["ref"] for r in store.history("u").collect()} >= {"main", "b2", "c2"}
+    store = SnapshotStore(spark, store.root)
+    for n in ("a", "b", "c", "b2", "c2", "d"):
+        store.delete(n)
+    assert store.sweep() > 0 and store.read("t").count() == 1 and store.read("u").count() == 2 and store.unreachable() == []
+    assert {r["readable"] for r in maintain.reproducible(store, [store.tag("published/x")])} == {True}
+
+
+def test_front_door_from_archive_to_raw(spark, tmp_path, monkeypatch):
+    import io
+    import zipfile
+    from dataclasses import replace as changed
+
+    from ledgerline.operators import calendar
+    from ledgerline.sources import front_door
+    from ledgerline.sources.delivery import Rejected, logical_md5
+    from ledgerline.sources.objects import Objects
+
+    feed = changed(POSITION, pattern=r"qa_(?P<cob_date>\d{8})\.zip", member_pattern=r"part_\d\.csv", encoding="ISO-8859-1")
+    head = "position_id|desk_code|amount|currency|is_active|description\n"
+    parts = [(head + "P1|a|1|GBP|Y|caf\u00e9\nP2|a|2|GBP|Y|\"x | y\"\n").encode("latin-1"), (head + "P3|b|3|USD|N|z\n").encode("latin-1")]
+
+    def packed(name, members):
+        body = io.BytesIO()
+        with zipfile.ZipFile(body, "w") as z:
+            for n, data in members:
+                z.writestr(n, data)
+        (tmp_path / name).write_bytes(body.getvalue())
+        return str(tmp_path / name)
+
+    path = packed("qa_20260914.zip", [("part_2.csv", parts[1]), ("part_1.csv", parts[0]), ("readme.txt", b"?")])
+    control = {"text": f"DATE|ROWS|SUM\n2026-09-14|3|{logical_md5(parts)}\n", "kind": "delimited", "fields": {"cob_date": ("DATE", "date"), "n_rows": ("ROWS", "integer"), "md5": ("SUM", "md5")}}
+    store, registry, objects = SnapshotStore(spark, str(tmp_path / "s")), Registry(spark, str(tmp_path / "r")), Objects(spark, str(tmp_path / "o"))
+    args = (store, registry, objects, feed, path, datetime(2026, 9, 14, 7), "b1", control)
+    monkeypatch.setattr(front_door, "ingest", lambda *a, **k: (_ for _ in ()).throw(OSError("stopped midway")))
+    with pytest.raises(OSError):
+        front_door.receive(*args)
+    monkeypatch.undo()
+    got = front_door.receive(*args)
+    assert (got.status, got.rows, got.version) == ("ingested", 3, 1) and {e["outcome"] for e in got.evidence} == {"pass"}
+    assert front_door.receive(*args).status == "already ingested"
+    raw = store.read(f"raw.{feed.name}")
+    assert [(r._row_number, r.position_id, r.description) for r in raw.orderBy("_row_number").collect()] == [(1, "P1", "caf\u00e9"), (2, "P2", "x | y"), (3, "P3", "z")]
+    assert [tuple(r) for r in raw_ingest.committed(raw).select("version", "n_rows").collect()] == [(1, 3)]
+    assert raw_ingest.checkpoint(raw, date(2026, 9, 14), got.delivery_id).count() == 3 and raw_ingest.checkpoint(raw, date(2026, 9, 15)).count() == 0
+    state = lambda: calendar.receipt_state(registry.frame("receipts").withColumnRenamed("recorded_at", "occurred_at"), front_door.STAGES)
+    assert [r.status for r in state().collect()] == ["INGESTED"]
+    with pytest.raises(IngestRefused):
+        front_door.receive(*args[:4], packed("qa_20260915.zip", [("part_1.csv", parts[0])]), *args[5:7], {**control, "text": control["text"].replace("-14|3", "-15|9")})
+    ragged = packed("qa_20260916.zip", [("part_1.csv", head.encode() + b"P1|a\n")])
+    with pytest.raises(Rejected):
+        front_door.receive(*args[:4], ragged, *args[5:7])
+    with pytest.raises(Rejected):
+        front_door.receive(*args[:4], packed("qa_20260917.zip", [("../part_1.csv", parts[0])]), *args[5:7])
+    assert {r.status for r in state().collect()} == {"INGESTED", "FAILED"}
+    assert {r.check_name for r in registry.frame("evidence").where("outcome = 'fail'").collect()} == {"declared_row_count", "declared_md5", "strict_parse"}
+    assert len([n for n in objects.list("quarantine") if n.endswith(".reason.json")]) == 2
+    assert store.read(f"raw.{feed.name}").count() == 3
+
+
+def test_replay_reads_and_changes_what_it_must(spark):
+    """Changes and markers of a re-delivery: equal to a full build once merged, for keys that are
+    NULL, vanish, return or are new, and versions whose date raw has lost."""
+    columns = {"k": "string", "agency": "string", "v": "string"}
+    keys = ["k", "agency"]
+    row = lambda d, n, i, k, v, a="x": (date(2026, 9, d), n, i, k, a, v, "b")
+    schema = "_cob_date date, _file_version int, _row_number long, k string, agency string, v string, _batch_id string"
+    first = [row(1, 1, 1, "A", "1"), row(1, 1, 2, "B", "1"), row(1, 1, 3, None, "1"), row(2, 1, 1, "A", "1"), row(2, 1, 2, "B", "2"), row(2, 1, 3, "C", "1"), row(2, 1, 4, None, "3"), row(8, 1, 1, "A", "2"), row(8, 1, 2, "B", "3"), row(9, 1, 1, "B", "3")]
+    more = [row(8, 2, 1, " A ", "1"), row(8, 2, 2, None, "4"), row(9, 2, 1, "D", "1"), row(9, 2, 2, "B", "2")]
+    raw = lambda rows: spark.createDataFrame(rows, schema)
+    build = lambda rows: scd2.build_full(raw(rows), columns, keys, ["v"])
+    fields = [*keys, "v", *scd2.RANGE]
+    told = lambda df: sorted(map(str, df.select(*fields).collect()))
+    target = spark.createDataFrame(build(first).collect(), build(first).schema)
+    changes = scd2.replay_changes(raw(first + more), target, columns, keys, ["v"], 2)
+    gone = [r for r in changes.collect() if r.effective_to == date(1, 1, 1)]
+    assert {(r.k, r.effective_from) for r in gone} == {("A", date(2026, 9, 8)), ("B", date(2026, 9, 8))} and all(r.v is None for r in gone)
+    merged = scd2.merge_versions(target, changes, keys)
+    assert told(merged) == told(build(first + more)) and scd2.broken_ranges(merged, keys).count() == 0
+    # a second replay changes nothing
+    again = scd2.replay(raw(first + more), spark.createDataFrame(merged.collect(), merged.schema), columns, keys, ["v"], 2)
+    assert told(again) == told(merged)
+    # raw has lost the first date: its versions stay
+    lost = [r for r in first + more if r[0] != date(2026, 9, 1)]
+    assert told(scd2.replay(raw(lost), target, columns, keys, ["v"], 2)) == told(merged)
+
+
+def test_receipts_freshness_backlog_and_sweeps(spark, tmp_path):
+    from ledgerline.files import Files
+    from ledgerline.operators import calendar, reconcile
+
+    ranks = {"DISCOVERED": 0, "LANDED": 1, "INGESTED": 2}
+    story = {"a": ["DISCOVERED", "LANDED", "INGESTED", "FAILED", "LANDED"], "b": ["INGESTED", "LANDED"], "c": ["LANDED", "FAILED"], "d": ["FAILED", "INGESTED", "LANDED"], "e": ["DISCOVERED"]}
+    events = spark.createDataFrame([(k, s, n) for k, v in story.items() for n, s in enumerate(v)], "transport_id string, status string, occurred_at int")
+    assert {r.transport_id: r.status for r in calendar.receipt_state(events, ranks).collect()} == {"a": "LANDED", "b": "INGESTED", "c": "FAILED", "d": "INGESTED", "e": "DISCOVERED"}
+    times = spark.createDataFrame([("x", datetime(2026, 1, 1)), ("x", datetime(2026, 1, 9)), ("y", datetime(2026, 1, 8)), ("z", datetime(2026, 1, 8)), ("w", None)], "source string, at timestamp")
+    fresh = calendar.freshness(times, "at", "2026-01-10 03:00:00", {"z": (72, 240)})
+    assert {r.source: r.status for r in fresh.collect()} == {"x": "warn", "y": "error", "z": "pass", "w": "error"}
+    status = spark.createDataFrame([("f", 1, "COMPLETE"), ("g", 1, "COMPLETE"), ("h", 1, "MISSING")], "feed string, cob_date int, status string")
+    assert sorted(map(tuple, calendar.status_summary(status).collect())) == [(1, "COMPLETE", 2), (1, "MISSING", 1)]
+    waiting = spark.createDataFrame([("compact", "t", date(2026, 1, 1)), ("compact", "u", date(2026, 1, 3)), ("expire", "t", date(2026, 1, 2))], "kind string, item string, deferred_on date")
+    assert sorted(map(tuple, maintain.backlog(waiting, waiting.where("item = 't' and kind = 'compact'"), "2026-01-05").collect())) == [("compact", 1, date(2026, 1, 3), 2), ("expire", 1, date(2026, 1, 2), 3)]
+    files = Files(spark, str(tmp_path / "f"))
+    for n in ("landing/a", "landing/sub/b", "quarantine/c", "ready/d"):
+        files.create(n, b"1")
+    kept = spark.createDataFrame([("landing/sub/b",)], "path string")
+    now = files.walk("landing")[0][2]
+    assert maintain.sweep_objects(files, {"landing": 3, "quarantine": 30}, kept, now + 4 * 86400) == 1
+    assert [n for f in ("landing", "quarantine", "ready") for n, _, _ in files.walk(f)] == ["landing/sub/b", "quarantine/c", "ready/d"]
+    trend = maintain.trend(spark.createDataFrame([("t", date(2026, 1, d), 10 * d) for d in range(1, 9)], "table_name string, measured_on date, bytes long"), 3)
+    assert [tuple(r) for r in trend.collect()] == [("t", 60, 80, 20)]
+    assert maintain.window_refusal({"f": 10, "g": 40}, {"r": 30}, {"r": {"f", "g"}}) == [("r", "f")]
+    assert reconcile.comparison_id("c", date(2026, 1, 1), "a", "b") == reconcile.comparison_id("c", "2026-01-01", "a", "b") != reconcile.comparison_id("c", "2026-01-02", "a", "b")
+    taken = {POSITION.render_name(date(2026, 1, 1))}
+    assert raw_ingest.next_name(POSITION, date(2026, 1, 1), taken).endswith("_20260101_v2.csv")
+    with pytest.raises(IngestRefused):
+        raw_ingest.next_name(POSITION, date(2026, 1, 1), {POSITION.render_name(date(2026, 1, 1), n) for n in range(1, 100)})
 
 
 def test_calendar_rules(spark):
