@@ -106,16 +106,28 @@ def _train_step(potentials, lengths, transition, left):
     return odds / (1 + odds), (joint / joint.sum(axis=(0, 1))).sum(axis=2)
 
 
+def _keys(words: list[str]) -> np.ndarray:
+    """For each word a number for itself and for each of its stems, 0 where it has none."""
+
+    def number(key: str) -> int:
+        raw = key.encode("utf-8", "surrogatepass")
+        return zlib.crc32(raw) << 32 | zlib.crc32(b"2" + raw) | 1
+
+    parts = (number(f"w{w}") if n == 0 else number(f"{n}{w[:n]}") if len(w) > n else 0 for w in words for n in (0, *STEMS))
+    return np.fromiter(parts, np.uint64, len(words) * (1 + len(STEMS))).reshape(len(words), -1)
+
+
 def _tags(docs: list[np.ndarray], toxic: np.ndarray, words: list[str]) -> np.ndarray:
     """Weak tags of all tokens: those of toxic documents whose word or stem marks toxic ones."""
-    keys = [(f"w{w}", *(f"{n}{w[:n]}" for n in STEMS if len(w) > n)) for w in words]
-    inside, outside = Counter(), Counter()
+    names, where = np.unique(_keys(words), return_inverse=True)
+    where = where.reshape(len(words), -1).astype(np.int32)
+    times = np.zeros((2, len(names)))
     for ids, y in zip(docs, toxic, strict=True):
-        (inside if y else outside).update({k for i in set(ids.tolist()) for k in keys[i]})
+        times[int(y), np.unique(where[np.unique(ids)])] += 1
     n1, n0 = toxic.sum() + 1.0, (1 - toxic).sum() + 1.0
-    strong = {k for k, c in inside.items() if c >= max(4, 0.01 * n1) and np.log((c + 0.5) / n1) - np.log((outside[k] + 0.5) / n0) > RATIO}
-    marks = np.array([any(k in strong for k in own) for own in keys], float)
-    return np.concatenate([marks[ids] * y for ids, y in zip(docs, toxic, strict=True)])
+    strong = (times[1] >= max(4, 0.01 * n1)) & (np.log((times[1] + 0.5) / n1) - np.log((times[0] + 0.5) / n0) > RATIO) & (names > 0)
+    marks = strong[where].any(axis=1)
+    return np.concatenate([marks[ids] & bool(y) for ids, y in zip(docs, toxic, strict=True)])
 
 
 def _document_features(p: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -153,52 +165,67 @@ def _unlike(docs: list[np.ndarray], toxic: list[int], least: int = 24) -> list[i
     return kept
 
 
+#: Tokens that a training step looks at together, so that its memory doesn't grow with the sample.
+STEP = 300_000
+
+
 def train(texts: list[str], toxic: list[int], rounds: int = 20) -> Field:
-    """Fits the field and the document layer."""
+    """Fits the field and the document layer. The gradient of a round is summed over blocks of
+    whole documents."""
     vocabulary: dict[str, int] = {}
     docs = []  # as word numbers: the words themselves would fill the driver
     for t in texts:
         docs.append(np.array([vocabulary.setdefault(w.lower(), len(vocabulary)) for w in WORD.findall(t or "")], np.int32))
-    kept = _unlike(docs, toxic)
+    # longest first: chains of one block run side by side, as many steps as its longest has
+    kept = sorted(_unlike(docs, toxic), key=lambda n: -len(docs[n]))
     docs, y = [docs[n] for n in kept], np.array(toxic, float)[kept]
-    table = np.array([features(w) for w in vocabulary] or np.zeros((0, KINDS)), np.int64).reshape(-1, KINDS)
+    table = np.array([features(w) for w in vocabulary] or np.zeros((0, KINDS)), np.int32).reshape(-1, KINDS)
     lengths = np.array([len(d) for d in docs], np.int64)
     tokens = np.concatenate(docs) if docs else np.empty(0, np.int32)
-    gold = _tags(docs, y, list(vocabulary)) if docs else np.empty(0)
+    gold = _tags(docs, y, list(vocabulary)) if docs else np.empty(0, bool)
+    del docs, vocabulary
+    ends = np.cumsum(lengths)
+    cuts = np.unique([0, *np.searchsorted(ends, np.arange(STEP, len(tokens), STEP)), len(lengths)])
+    blocks = []  # (first and end token, lengths, tokens with a neighbour to the right)
+    for first, last in zip(cuts, cuts[1:], strict=False):
+        own = lengths[first:last]
+        begin, end = int(ends[first] - lengths[first]), int(ends[last - 1])
+        left = np.ones(end - begin, bool)
+        left[(np.cumsum(own) - 1)[own > 0]] = False
+        blocks.append((begin, end, own, np.flatnonzero(left)))
     field = Field(np.zeros(BUCKETS), -4.0, np.array([[0.0, -0.5], [0.0, 0.5]]), np.array([-3.0, 2.0, 2.0, 1.0, 0.0]))
     if len(tokens):
-        weight = np.where(gold > 0, min(50.0, max(1.0, (gold == 0).sum() / max(1.0, gold.sum()) / 20)), 1.0)
+        heavy = min(50.0, max(1.0, (~gold).sum() / max(1.0, gold.sum()) / 20))
         squares = np.full(BUCKETS, 1e-8)
         bias_square, trans_square = 1e-8, np.full((2, 2), 1e-8)
-        ends = np.cumsum(lengths) - 1
-        left = np.ones(len(tokens), bool)
-        left[ends[lengths > 0]] = False
-        i = np.flatnonzero(left)
         seen = np.zeros((2, 2))
-        np.add.at(seen, (gold[i].astype(int), gold[i + 1].astype(int)), 1)
+        for begin, end, _, i in blocks:
+            own = gold[begin:end].astype(int)
+            seen += np.bincount(2 * own[i] + own[i + 1], minlength=4).reshape(2, 2)
         scale = 1.0 / max(1.0, gold.sum())
         for _ in range(rounds):
-            u = field.emission[table].sum(axis=1)[tokens] + field.bias
-            p, joint = _train_step(u, lengths, field.transition, i)
-            miss = (gold - p) * weight * scale
-            word = np.bincount(tokens, miss, len(vocabulary))
+            weight = field.emission[table].sum(axis=1) + field.bias
+            word, total, joint = np.zeros(len(table)), 0.0, np.zeros((2, 2))
+            for begin, end, own, i in blocks:
+                p, pairs = _train_step(weight[tokens[begin:end]], own, field.transition, i)
+                miss = (gold[begin:end] - p) * np.where(gold[begin:end], heavy, 1.0) * scale
+                word += np.bincount(tokens[begin:end], miss, len(table))
+                total, joint = total + miss.sum(), joint + pairs
             grad = np.zeros(BUCKETS)
             for k in range(KINDS):
                 grad += np.bincount(table[:, k], word, BUCKETS)
             grad -= 1e-4 * field.emission
             squares += grad**2
             field.emission += 0.8 * grad / np.sqrt(squares)
-            bias_square += miss.sum() ** 2
-            field.bias += 0.3 * miss.sum() / np.sqrt(bias_square)
+            bias_square += total**2
+            field.bias += 0.3 * total / np.sqrt(bias_square)
             step = (seen - joint) * scale
             trans_square += step**2
             field.transition += np.clip(0.05 * step / np.sqrt(trans_square), -0.05, 0.05)
             field.transition[0, 0] = 0.0
-        u = field.emission[table].sum(axis=1)[tokens] + field.bias
-        p = marginals(u, lengths, field.transition)
-    else:
-        p = np.empty(0)
-    x = _document_features(p, lengths)
+    weight = field.emission[table].sum(axis=1) + field.bias
+    x = [_document_features(marginals(weight[tokens[begin:end]], own, field.transition), own) for begin, end, own, _ in blocks]
+    x = np.concatenate(x) if x else np.zeros((0, len(field.layer)))
     w = field.layer
     if len(y):
         for _ in range(300):  # Newton steps with a small ridge
@@ -232,7 +259,7 @@ def score_texts(field: Field, texts: list[str | None], spans: bool = False):
     return scores, marks
 
 
-def fit(docs: DataFrame, labels: DataFrame, most: int = 1200, held_out: int | None = 1, folds: int = 3, most_bytes: int = 1 << 20) -> Field:
+def fit(docs: DataFrame, labels: DataFrame, most: int = 1200, held_out: int | None = 1, folds: int = 3, most_bytes: int = 1 << 17) -> Field:
     """Learns from at most ``most`` toxic and ``most`` other labelled documents, those of least
     hash, outside fold ``held_out``. Documents with a null label or text, or a text of more than
     ``most_bytes``, aren't learned from; of several labels of one document the largest counts, of
