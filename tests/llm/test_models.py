@@ -140,6 +140,35 @@ def test_pipeline_stages_follow_their_operators(spark, tmp_path):
     assert os.path.isdir(tmp_path)
 
 
+def test_stages_take_hard_rows(spark, tmp_path):
+    """Null ids and texts, repeated rows, further columns whose names operators use inside, no rows."""
+    import corpus_pipeline
+
+    rng = random.Random(12)
+    text = lambda n: " ".join("".join(rng.choice("abcdefg") for _ in range(5)) for _ in range(n))
+    extra = ["id", "token", "n", "a", "b", "grp", "score", "length", "bucket", "start", "spans", "count"]
+    rows = [(i, text(40)) for i in range(30)] + [(None, text(30)), (None, None), (40, None), (41, ""), (42, text(3)), (42, text(3))]
+    rows += [rows[0], rows[32]]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{c} string" for c in extra)
+    spark.createDataFrame([(i, t, "en", None, 1, *extra) for i, t in rows], schema).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(1, 0), (2, None), (None, 1), (999, 1)], "doc_id long, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    docs = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    columns = docs.columns
+    for name, stage in corpus_pipeline.STAGES:
+        none = stage(spark, docs.where("false"), str(tmp_path))
+        assert none.count() == 0, name
+        out = stage(spark, docs, str(tmp_path))
+        out.write.parquet(str(tmp_path / name.replace(" ", "-")))
+        docs = spark.read.parquet(str(tmp_path / name.replace(" ", "-")))
+        if name == "packing":
+            assert none.columns == docs.columns
+        else:
+            assert docs.columns == columns
+            assert docs.count() == len(rows) - 2 * (name != "toxicity"), name  # of rows that repeat with an id one stays
+            assert {r[0] for r in docs.select("doc_id").collect()} == {i for i, _ in rows}
+    assert docs.where("doc_id is null").count() == 2 and docs.where("doc_id = 40").count() == 1
+
+
 def test_near_duplicates_of_repeated_ids(spark, tmp_path):
     import corpus_pipeline
 

@@ -90,3 +90,16 @@ def test_pivot_index_is_exact(spark, monkeypatch, shard):
         got.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
     assert {q: [(i, s) for _, i, s in sorted(rows)] for q, rows in got.items()} == {q: [(i, int(s)) for i, s in rows] for q, rows in want.items()}
     assert pivot_index.top_products(table.where("false")).count() == 0
+
+
+def test_pivot_index_on_long_vectors(spark):
+    """Products beyond 2**53 are whole numbers all the same."""
+    from ledgerline.llm.pivot_index import top_products
+
+    rng = np.random.default_rng(3)
+    body = rng.integers(-(2**27), 2**27, (120, 6))
+    table = spark.createDataFrame([(i, [float(x) / 256 for x in v]) for i, v in enumerate(body)], "vec_id long, embedding array<double>")
+    got = {(r.query_id, r["rank"]): (r.vec_id, r.score) for r in top_products(table, pivots=4, rings=3).collect()}
+    for q in range(0, 120, 50):
+        exact = sorted((-sum(int(a) * int(b) for a, b in zip(body[q], body[i], strict=True)), i) for i in range(120) if i != q)[:5]
+        assert [got[q, n + 1] for n in range(5)] == [(i, -s) for s, i in exact] and -exact[0][0] > 2**53
