@@ -19,7 +19,8 @@ from ledgerline.llm.toxicity import drop_toxic
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents whose toxicity score is 0.7 or more."""
+    """Drops documents whose toxicity score is 0.7 or more. Null and empty texts have the score of
+    a text without words; rows that repeat, or have no id, are each scored by their own text."""
     return drop_toxic(docs, table(spark, sf_dir, "labels", "doc_id", "toxic"), 0.7)
 
 
@@ -64,17 +65,21 @@ def own_ids(rows: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cuts passages of 100 bytes or more that an earlier document, or place, already has."""
+    """Cuts passages of 100 bytes or more that an earlier document, or place, already has. Null and
+    shorter texts stay as they are, as do rows without an id; rows of one id with different texts
+    lose the places that any of them loses."""
     return suffix_dedup(docs, 100)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Replaces personal data by its kind in brackets."""
+    """Replaces personal data by its kind in brackets. A null text stays null; rows that repeat, or
+    have no id, are each rewritten by their own text."""
     return redact(docs, fit_tagger(docs))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Packs the remaining documents into sequences of 2048 tokens."""
+    """Packs the remaining documents into sequences of 2048 tokens. A null or empty text is the
+    closing id alone; rows that repeat, or have no id, are packed each."""
     return pack(docs, vocabulary("byte_bpe_50k.json"))
 
 
