@@ -6,11 +6,13 @@ of a block of texts are looked up at once. Ranges are told apart by 128 bits of
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable
 
 import numpy as np
 
 from .bytescan import RangeHash
+from .common import release
 
 #: The one table that a worker process keeps: another owner's table goes when a new one comes.
 _HELD: list = []
@@ -20,7 +22,10 @@ def held(key: tuple, build: Callable):
     """The object of ``key`` if this process made it last, else a new one in its place, so that the
     tables of one step don't stay in workers that the next step uses."""
     if not _HELD or _HELD[0] != key:
-        _HELD[:] = []
+        if _HELD:
+            _HELD[:] = []
+            gc.collect()
+            release()
         _HELD[:] = [key, build()]
     return _HELD[1]
 

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
 import tempfile
 import uuid
 import zlib
+from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,6 +43,25 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release() -> None:
+    """Gives freed memory back to the system. Workers are kept for later steps, and an allocator
+    that keeps what one step needed for a moment would take it from all of them."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc
+    if trim is not None:
+        trim(0)
+
+
+def releasing(scan: Callable) -> Callable:
+    """``scan``, a function over a task's batches, which gives memory back when they are through."""
+
+    def run(batches):
+        yield from scan(batches)
+        release()
+
+    return run
+
+
 def crc_fold(doc_id, folds: int):
     """crc32 of doc_id as text, modulo ``folds``; a null id counts as the empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % folds

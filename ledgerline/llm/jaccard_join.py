@@ -23,8 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bytescan import column_bytes, mix
-from .common import broadcast_if_small, staged
+from .bytescan import blocks, column_bytes, mix
+from .common import broadcast_if_small, releasing, staged
 from .components import components
 from .shingles import shingle_lists
 
@@ -37,27 +37,36 @@ SHARE = 10_000
 SMALL = 16
 
 
+#: Bytes of texts in which a shingle must occur in two sets to be reported.
+COUNTED = 1 << 23
+
+
 def _frequent(docs: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Frequent shingles of the whole corpus and their counts, sorted by shingle: each batch
-    reports those that several different sets in it have, the sums decide."""
+    """Frequent shingles of the whole corpus and their counts, sorted by shingle: each block of
+    texts reports those that several different sets in it have, the sums decide."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            seen, lists = set(), []
-            for found in shingle_lists(*column_bytes(batch.column(0)), n):
-                found = np.unique(found)
-                key = (len(found), int(found.sum(dtype=np.uint64)))
-                if len(found) and key not in seen:
-                    seen.add(key)
-                    lists.append(found)
-            every = np.concatenate(lists) if lists else np.empty(0, np.uint64)
-            slot = (every >> np.uint64(44)).astype(np.int64)
-            full = np.bincount(slot, minlength=1 << 20)
-            found, times = np.unique(every[full[slot] >= 2], return_counts=True)
-            keep = times >= 2
-            yield pa.RecordBatch.from_arrays([pa.array(found[keep].view(np.int64)), pa.array(times[keep])], ["token", "times"])
-
-    counts = docs.select("text").mapInArrow(count, "token long, times long").groupBy("token").agg(F.sum("times").alias("times"))
+            data, offsets = column_bytes(batch.column(0))
+            for _, _, part, cuts in blocks(data, offsets, COUNTED):
+                seen, lists = set(), []
+                for found in shingle_lists(part, cuts, n):
+                    found = np.unique(found)
+                    key = (len(found), int(found.sum(dtype=np.uint64)))
+                    if len(found) and key not in seen:
+                        seen.add(key)
+                        lists.append(found)
+                every = np.concatenate(lists) if lists else np.empty(0, np.uint64)
+                del lists
+                slot = (every >> np.uint64(44)).astype(np.int32)
+                full = np.bincount(slot, minlength=1 << 20)
+                every = np.sort(every[full[slot] >= 2])
+                first = np.flatnonzero(np.concatenate([np.ones(min(1, len(every)), bool), every[1:] != every[:-1]]))
+                times = np.diff(np.append(first, len(every)))
+                keep = times >= 2
+                yield pa.RecordBatch.from_arrays([pa.array(every[first[keep]].view(np.int64)), pa.array(times[keep])], ["token", "times"])
+
+    counts = docs.select("text").mapInArrow(releasing(count), "token long, times long").groupBy("token").agg(F.sum("times").alias("times"))
     total = docs.count()
     rows = counts.where(F.col("times") >= max(4, total // SHARE)).toPandas()
     tokens = rows["token"].to_numpy(np.int64).view(np.uint64) if len(rows) else np.empty(0, np.uint64)
@@ -107,7 +116,7 @@ def document_sets(docs: DataFrame, n: int, percent: int) -> DataFrame:
                 ["doc_id", "n_shingles", "k1", "k2", "prefix", "bits"],
             )
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(scan, "doc_id long, n_shingles long, k1 long, k2 long, prefix array<long>, bits array<long>")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(releasing(scan), "doc_id long, n_shingles long, k1 long, k2 long, prefix array<long>, bits array<long>")
 
 
 def _full_sets(docs: DataFrame, n: int) -> DataFrame:
@@ -123,7 +132,7 @@ def _full_sets(docs: DataFrame, n: int) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([batch.column(0).slice(begin, len(held)), lists], ["id", "tokens"])
                     held, size, begin = [], 0, i + 1
 
-    return docs.select("doc_id", "text").mapInArrow(scan, "id long, tokens array<long>")
+    return docs.select("doc_id", "text").mapInArrow(releasing(scan), "id long, tokens array<long>")
 
 
 def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -273,7 +282,7 @@ def jaccard_links(docs: DataFrame, n: int = 4, percent: int = 85) -> tuple[DataF
     # for it; two copies from different batches meet under each token and leave one row.
     places = full.select(F.posexplode("prefix").alias("pos", "token"), F.xxhash64("k1", "k2", "n_shingles").alias("set"), "doc_id", "n_shingles").select("token", "set", "doc_id", "n_shingles", F.col("pos").cast("long"))
     places = places.repartition("token").sortWithinPartitions("token", "set", "doc_id")
-    entries = staged(places.mapInArrow(_met, "token long, id long, n long, pos long"), "matrix")
+    entries = staged(places.mapInArrow(releasing(_met), "token long, id long, n long, pos long"), "matrix")
     # h: how many tokens of its prefix a class shares with any other class; it has no more in
     # common with any single one.
     h = staged(entries.groupBy("id").agg(F.count("*").alias("h")), "involved")

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from .bytescan import blocks, column_bytes, join_texts
 from .chunks import ChunkTable, held
-from .common import staged
+from .common import releasing, staged
 from .shingles import SPACE
 
 SIZE = 2048
@@ -46,7 +46,9 @@ class _Encoder:
 
     def __init__(self, path: str):
         import json
+        import os
 
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # one text at a time; threads would keep memory each
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -145,7 +147,7 @@ def pieces(docs: DataFrame, path: str, size: int = SIZE) -> DataFrame:
             columns = list(zip(*out, strict=True)) if out else [[]] * 5
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(scan, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(releasing(scan), "doc_id long, start long, length long, ids_crc32 long, doc_tokens long")
 
 
 def patterns(histogram: dict[int, int], size: int = SIZE) -> list[tuple[tuple[int, ...], int]]:

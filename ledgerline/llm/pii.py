@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import releasing
+
 KINDS = ("email", "ip", "card", "phone")
 DOMAIN = re.compile(r"@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
@@ -434,7 +436,7 @@ def pii_report(docs: DataFrame, model: Tagger | None) -> DataFrame:
             columns = list(zip(*out, strict=True)) if out else [[]] * 6
             yield pa.RecordBatch.from_arrays([batch.column(0)] + [pa.array(c, t) for c, t in zip(columns, [pa.int64()] * 4 + [pa.string()] * 2, strict=True)], ["doc_id", *[f"n_{k}" for k in KINDS], "base_sha256", "spans"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(scan, "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(releasing(scan), "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string")
 
 
 def redact(docs: DataFrame, model: Tagger | None) -> DataFrame:

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bytescan import RangeHash, blocks, column_bytes, minimizer_runs
-from .common import staged
+from .common import releasing, staged
 
 CHUNK = 1 << 18
 #: Bytes of the anchor.
@@ -183,7 +183,7 @@ def _runs(bodies: DataFrame, length: int, gram: int) -> DataFrame:
             akey, ckey, doc, at, kind = (x[~same] for x in (akey, ckey, doc, at, kind))
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in (akey, ckey, doc, at, kind)], ["akey", "ckey", "doc_id", "at", "kind"])
 
-    return bodies.mapInArrow(scan, "akey long, ckey long, doc_id long, at long, kind int")
+    return bodies.mapInArrow(releasing(scan), "akey long, ckey long, doc_id long, at long, kind int")
 
 
 def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -239,7 +239,7 @@ def _cut_out(length: int):
     return scan
 
 
-def _sorted_shard(length: int, most: int = 1 << 20):
+def _sorted_shard(length: int, most: int = 1 << 19):
     """Contexts sorted by anchor: suffix-sorts runs of whole anchors of about ``most`` bytes and
     returns the windows that occurred before, as (doc_id, at)."""
 
@@ -298,14 +298,14 @@ def repeated_runs(docs: DataFrame, length: int = 100) -> DataFrame:
     found = None
     for gram in grams(length):
         met = _runs(bodies, length, gram).repartition("akey").sortWithinPartitions("akey", "ckey", "doc_id", "at")
-        met = staged(met.mapInArrow(_met, "akey long, doc_id long, at long, kind int"), "contexts")
+        met = staged(met.mapInArrow(releasing(_met), "akey long, doc_id long, at long, kind int"), "contexts")
         firsts = met.where("kind = 0")
         hot = firsts.groupBy("akey").count().where(F.col("count") > HOT).select("akey", F.lit(True).alias("hot"))
         spots = firsts.join(hot, "akey", "left").groupBy("doc_id").agg(F.collect_list(F.struct("akey", "at", F.coalesce("hot", F.lit(False)).alias("hot"))).alias("spots"))
-        cut = docs.join(spots, "doc_id").select("doc_id", "text", "spots").mapInArrow(_cut_out(length), "akey long, hot boolean, doc_id long, first long, body binary")
+        cut = docs.join(spots, "doc_id").select("doc_id", "text", "spots").mapInArrow(releasing(_cut_out(length)), "akey long, hot boolean, doc_id long, first long, body binary")
         cut = staged(cut, "cuts")
         shards = cut.where("not hot").select("akey", "doc_id", "first", "body").repartition("akey").sortWithinPartitions("akey")
-        here = met.where("kind = 1").select("doc_id", "at").union(shards.mapInArrow(_sorted_shard(length), "doc_id long, at long"))
+        here = met.where("kind = 1").select("doc_id", "at").union(shards.mapInArrow(releasing(_sorted_shard(length)), "doc_id long, at long"))
         found = here if found is None else found.union(here)
         bodies = cut.where("hot").select("doc_id", "body", F.col("first").alias("base"))
         if bodies.isEmpty():
@@ -360,7 +360,7 @@ def suffix_dedup_report(docs: DataFrame, length: int = 100) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0)] + [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.int64(), pa.string()), strict=True)], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
     rows = with_spans(docs.select(F.col("doc_id").cast("long"), "text"), length)
-    return rows.select("doc_id", "text", "__repeat_runs").mapInArrow(scan, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return rows.select("doc_id", "text", "__repeat_runs").mapInArrow(releasing(scan), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
 def suffix_dedup(docs: DataFrame, length: int = 100) -> DataFrame:

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .chunks import held
-from .common import crc_fold
+from .common import crc_fold, release, releasing
 
 WORD = re.compile(r"[^\W\d_]+")
 BUCKETS = 1 << 16
@@ -302,7 +302,7 @@ def score_documents(docs: DataFrame, field: Field, held_out: int = 1, folds: int
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(np.concatenate(scores), pa.float64()), pa.array(told, pa.string())], ["doc_id", "held_out", "score", "spans"])
 
     every = docs.select(F.col("doc_id").cast("long"), "text", (crc_fold(F.col("doc_id"), folds) == held_out).alias("held_out"))
-    return every.mapInArrow(scan, "doc_id long, held_out boolean, score double, spans string")
+    return every.mapInArrow(releasing(scan), "doc_id long, held_out boolean, score double, spans string")
 
 
 def toxicity_report(docs: DataFrame, labels: DataFrame, threshold: float = 0.7) -> DataFrame:
@@ -320,5 +320,6 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.7) -> Da
     def score(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for column in columns:
             yield pa.array(np.concatenate([np.empty(0), *_in_parts(shared.value, column)]), pa.float64())
+        release()
 
     return docs.where(score("text") < threshold)
