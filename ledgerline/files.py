@@ -38,6 +38,18 @@ class Files:
         finally:
             stream.close()
 
+    def head(self, n: int) -> bytes:
+        """The first bytes of the root, if it is a file, else none."""
+        path = self.path("")
+        if not self.fs.exists(path) or self.fs.getFileStatus(path).isDirectory():
+            return b""
+        stream = self.fs.open(path)
+        try:
+            found = [stream.read() for _ in range(n)]
+        finally:
+            stream.close()
+        return bytes(b for b in found if b >= 0)
+
     def list(self, name: str) -> list[str]:
         """Names in a folder, sorted; those that begin with a dot are left out."""
         path = self.path(name)

@@ -98,36 +98,49 @@ def window_refusal(retention_days: dict[str, int], promised_days: dict[str, int]
     return sorted((r, f) for r, days in promised_days.items() for f in feeds_behind.get(r, ()) if retention_days.get(f, 0) < days)
 
 
-def diverged_files(pinned: DataFrame, current: DataFrame) -> DataFrame:
-    """Files that a pin holds and main doesn't."""
-    return pinned.select("path").subtract(current.select("path"))
-
-
 def lost_inputs(pins: DataFrame, landed: DataFrame) -> DataFrame:
     """(tag, delivery_id) whose delivery is no longer landed."""
     return pins.select("tag", "delivery_id").distinct().join(landed.select("delivery_id"), "delivery_id", "left_anti").select("tag", "delivery_id")
 
 
-def reproducible(store: SnapshotStore, tags: list[str]) -> list[dict]:
-    """For each tag and table: the files that main no longer has, whether all files of the pin are
-    still there, and, of pins that differ from main, whether they can be read (one row each)."""
+def held_parts(store: SnapshotStore, table: str) -> list[tuple[str, str, str]]:
+    """(table_name, folder, part) of a table's folders as they lie in the store, by one listing of each."""
     out = []
-    for tag in tags:
-        for table in sorted(store.ref(tag)["tables"]):
-            pinned = store.files(table, tag)
-            there = {p for p in store.ref(tag)["tables"][table]["parts"] if store.files_.exists(f"data/{table}/{p}")}
-            lost = [p for p in store.ref(tag)["tables"][table]["parts"] if p not in there]
-            away = diverged_files(pinned, store.files(table)).count() if store.has(table) else pinned.count()
-            readable = not lost
-            if readable and away:
-                try:
-                    store.read(table, tag).limit(1).collect()
-                except Exception:
-                    readable = False
-            out.append({"tag": tag, "table": table, "diverged": away, "lost_parts": lost, "readable": readable})
+    for n in store.files_.list(f"data/{table}"):
+        out += [(table, n, p) for p in store.files_.list(f"data/{table}/{n}")] if "=" in n else [(table, "", n)]
     return out
 
 
+def divergence(held: DataFrame, target: str = "main") -> DataFrame:
+    """(ref, kind, taken_at, table_name, folder, part, files, bytes) of what pins hold and ``target``
+    doesn't: what only they keep alive."""
+    ours = held.where(F.col("ref") == target).select("table_name", "folder", "part")
+    return held.where((F.col("ref") != target) & (F.col("kind") == "tag")).join(ours, ["table_name", "folder", "part"], "left_anti")
+
+
+def oldest_pins(diverged: DataFrame) -> DataFrame:
+    """(table_name, oldest_pin, taken_at, parts, bytes): for each table the oldest diverging pin, and what
+    all diverging pins together keep alive, shared parts once."""
+    pins = diverged.groupBy("table_name").agg(F.min_by("ref", F.struct("taken_at", "ref")).alias("oldest_pin"), F.min("taken_at").alias("taken_at"))
+    parts = diverged.select("table_name", "folder", "part", "bytes").distinct().groupBy("table_name").agg(F.count("*").alias("parts"), F.sum("bytes").alias("bytes"))
+    return pins.join(parts, "table_name")
+
+
+def reproducible(store: SnapshotStore, tags: list[str] | None = None) -> DataFrame:
+    """(tag, table_name, parts, diverged, diverged_bytes, lost, readable) for each pin and table: what
+    main no longer has, what is gone from the store, and so whether the pin can be read. All pins are
+    one relation, so states that share lists share their reading, and no pin is a job of its own."""
+    held = store.holdings([*(tags if tags is not None else [n for n, r in store.refs().items() if r["kind"] == "tag"]), "main"])
+    there = [row for t in store.files_.list("data") for row in held_parts(store, t)]
+    there = store.spark.createDataFrame(there, "table_name string, folder string, part string").withColumn("_there", F.lit(True))
+    key = ["table_name", "folder", "part"]
+    ours = held.where("ref = 'main'").select(*key).withColumn("_ours", F.lit(True))
+    pins = held.where("ref <> 'main'").join(there, key, "left").join(ours, key, "left")
+    away = F.col("_ours").isNull()
+    out = pins.groupBy(F.col("ref").alias("tag"), "table_name").agg(F.count("*").alias("parts"), F.count_if(away).alias("diverged"), F.coalesce(F.sum(F.when(away, F.col("bytes"))), F.lit(0)).alias("diverged_bytes"), F.count_if(F.col("_there").isNull()).alias("lost"))
+    return out.withColumn("readable", F.col("lost") == 0)
+
+
 def backlog(deferred: DataFrame, done: DataFrame, today: str) -> DataFrame:
     """(kind, waiting, oldest, age_days): deferred work (kind, item, deferred_on) that isn't done."""
     left = deferred.join(done.select("kind", "item").distinct(), ["kind", "item"], "left_anti")

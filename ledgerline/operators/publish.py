@@ -1,7 +1,13 @@
-"""Write, audit, publish: builds on a branch, checks, a lifecycle gate, a merge and a version."""
+"""Write, audit, publish: builds on a branch, checks, a lifecycle gate, a merge and a version.
+
+What is to be published is written down before the merge. Everything after it (tag, version, facts)
+follows from that note and can be done again, so whoever finds it finishes the publication if its
+merge was done, and drops it if it wasn't.
+"""
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Callable
 
@@ -9,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .quality import Check, settled_checks
-from .refs import SnapshotStore
+from .refs import Conflict, SnapshotStore
 from .registry import CLOSED, Refused, Registry, _safe
 
 
@@ -58,9 +64,48 @@ def publish(
         if carried and policy == "restate":
             registry.record("runs", **told, status="refused")
             raise Refused(f"{report} {as_at} is closed and its inputs changed: {carried}")
-    store.merge(branch)
-    tag = store.tag(f"published/{report}/{as_at}/{run}")
-    version = registry.allocate(report, as_at, run, tag)
-    store.delete(branch)
-    registry.record("runs", **told, status="published", carried_forward=carried)
+
+    def still_open() -> None:
+        if policy == "restate" and carried is None and earlier and registry.state(report, as_at) in CLOSED:
+            if registry.inputs_changed(run, earlier[-1]["run"], as_at).where("standing = 'on_date'").limit(1).count():
+                raise Refused(f"{report} {as_at} was closed meanwhile")
+
+    intent = f"publish-{report}-{as_at}-{run}"
+    registry.intend(intent, "publish", branch, f"published/{report}/{as_at}/{run}", **told, carried=json.dumps(carried))
+    try:
+        store.merge(branch, guard=still_open)
+    except (Conflict, Refused):
+        registry.settle(intent, "dropped")  # the branch stays for a look
+        registry.record("runs", **told, status="refused")
+        raise
+    return finished(store, registry, next(i for i in registry.open_intents("publish") if i["intent"] == intent))
+
+
+def finished(store: SnapshotStore, registry: Registry, intent: dict) -> int:
+    """All that follows a merge, each step once: the tag of what was built, the version number, the
+    run's fact, the end of the branch. Returns the version."""
+    told = intent["told"]
+    if store.files_.list(store._folder(intent["branch"])):  # else it was tagged before the branch went
+        store.tag(intent["tag"], intent["branch"])
+    version = registry.allocate(told["report"], told["as_at"], told["run"], intent["tag"])
+    registry.record_once("runs", f"published-{told['run']}", run=told["run"], report=told["report"], as_at=told["as_at"], status="published", carried_forward=json.loads(told["carried"]))
+    store.delete(intent["branch"])
+    registry.settle(intent["intent"], "done")
     return version
+
+
+def recover(store: SnapshotStore, registry: Registry) -> dict[str, str]:
+    """Brings half-done publications to an end: intent -> done, or dropped if its merge wasn't done.
+    To be run when no publication is on its way."""
+    out = {}
+    for intent in registry.open_intents("publish"):
+        branch = intent["branch"]
+        if store.files_.list(store._folder(branch)) and not store.merged(branch):
+            registry.settle(intent["intent"], "dropped")  # before the branch goes: one without a branch was merged
+            registry.record("runs", run=intent["told"]["run"], report=intent["told"]["report"], as_at=intent["told"]["as_at"], status="dropped")
+            store.delete(branch)
+            out[intent["intent"]] = "dropped"
+        else:
+            finished(store, registry, intent)
+            out[intent["intent"]] = "done"
+    return out

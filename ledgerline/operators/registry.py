@@ -24,7 +24,7 @@ class Refused(RuntimeError):
 
 
 SCHEMAS = {
-    "deliveries": "delivery_id string, feed string, cob_date string, version int, rows long, md5 string, recorded_at double",
+    "deliveries": "delivery_id string, feed string, cob_date string, version int, rows long, md5 string, name string, recorded_at double",
     "runs": "run string, report string, as_at string, status string, code map<string,string>, carried_forward array<string>, recorded_at double",
     "receipts": "transport_id string, status string, detail string, recorded_at double",
     "evidence": "evidence_id string, check_name string, outcome string, severity string, failures long, detail string, subject string, recorded_at double",
@@ -32,6 +32,8 @@ SCHEMAS = {
     "deletions": "delivery_id string, reason string, recorded_at double",
     "versions": "report string, as_at string, version int, run string, tag string, recorded_at double",
     "transitions": "report string, as_at string, state string, actor string, reason string, approved_by string, submission_id string, seq int, recorded_at double",
+    "intents": "intent string, kind string, branch string, tag string, told map<string,string>, recorded_at double",
+    "settled": "intent string, outcome string, recorded_at double",
 }
 #: States in which a date takes no publication with other inputs, and those that can be written.
 CLOSED = ("locked", "submitted")
@@ -54,6 +56,29 @@ class Registry:
         """One more fact; facts are never changed."""
         self._create(kind, f"{time.time_ns():020d}-{uuid.uuid4().hex}", fact)
 
+    def record_once(self, kind: str, name: str, /, **fact) -> bool:
+        """A fact that can be there once; whether it is new."""
+        try:
+            self._create(kind, _safe(name), fact)
+        except Exists:
+            return False
+        return True
+
+    # -- intents: what is about to be published, and whether it came to an end
+
+    def intend(self, intent: str, kind: str, branch: str, tag: str, **told: str) -> None:
+        """Recorded before a merge: all that is needed to finish the publication without its maker."""
+        self.record_once("intents", intent, intent=intent, kind=kind, branch=branch, tag=tag, told=told)
+
+    def settle(self, intent: str, outcome: str) -> None:
+        self.record_once("settled", intent, intent=intent, outcome=outcome)
+
+    def open_intents(self, kind: str) -> list[dict]:
+        """Intents that have no outcome, oldest first. Listings of names tell which; only theirs are read."""
+        done = set(self.files.list("settled"))
+        found = [json.loads(self.files.get(f"intents/{n}")) for n in self.files.list("intents") if n not in done]
+        return sorted((f for f in found if f["kind"] == kind), key=lambda f: f["recorded_at"])
+
     def _create(self, kind: str, name: str, fact: dict) -> None:
         known = {c.split()[0] for c in re.split(r", (?=\w+ )", SCHEMAS[kind])}
         if odd := set(fact) - known:

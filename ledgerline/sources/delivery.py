@@ -8,6 +8,7 @@ import hashlib
 import io
 import re
 import zipfile
+from collections.abc import Iterable, Iterator
 from datetime import date
 from functools import reduce
 from pathlib import PurePosixPath
@@ -88,19 +89,59 @@ def read_parts(spark: SparkSession, feed: Feed, paths: list[str]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
-def unpack(data: bytes, member_pattern: str | None) -> list[tuple[str, bytes]]:
-    """Members of an archive in order of name. Unsafe paths and no match at all are refused."""
+def opened(data: bytes, member_pattern: str | None) -> Iterator[tuple[str, Iterator[bytes]]]:
+    """(name, its bytes in pieces) of an archive's members in order of name; a member's pieces are to
+    be read before the next one. Unsafe paths and no match at all are refused."""
+
+    def pieces(z: zipfile.ZipFile, name: str) -> Iterator[bytes]:
+        with z.open(name) as f:
+            while piece := f.read(1 << 20):
+                yield piece
+
     try:
         with zipfile.ZipFile(io.BytesIO(data)) as z:
             names = sorted(i.filename for i in z.infolist() if not i.is_dir())
             if any(PurePosixPath(n).is_absolute() or ".." in PurePosixPath(n).parts or "\\" in n for n in names):
                 raise Rejected("an unsafe path in the archive")
-            found = [(n, z.read(n)) for n in names if member_pattern is None or re.fullmatch(member_pattern, PurePosixPath(n).name)]
+            names = [n for n in names if member_pattern is None or re.fullmatch(member_pattern, PurePosixPath(n).name)]
+            if not names:
+                raise Rejected("no member matches")
+            for n in names:
+                yield n, pieces(z, n)
     except zipfile.BadZipFile as e:
         raise Rejected(str(e)) from e
-    if not found:
-        raise Rejected("no member matches")
-    return found
+
+
+def unpack(data: bytes, member_pattern: str | None) -> list[tuple[str, bytes]]:
+    """Members of a small archive in order of name."""
+    return [(n, b"".join(pieces)) for n, pieces in opened(data, member_pattern)]
+
+
+def decoded_pieces(pieces: Iterable[bytes], encoding: str) -> Iterator[str]:
+    """Strict decoding, piece by piece, with the rules of ``decoded``."""
+    reader, first = codecs.getincrementaldecoder(encoding)(), True
+    try:
+        for piece in pieces:
+            if first and piece.startswith(codecs.BOM_UTF8):
+                if encoding.upper() not in ("UTF-8", "UTF8"):
+                    raise Rejected(f"a UTF-8 mark in {encoding}")
+                piece = piece[3:]
+            first = False
+            yield reader.decode(piece)
+        yield reader.decode(b"", True)
+    except UnicodeDecodeError as e:
+        raise Rejected(f"not {encoding}: {e}") from e
+
+
+def text_lines(pieces: Iterable[str]) -> Iterator[list[str]]:
+    """Lines of a text that comes in pieces, some at a time, split at line feeds only."""
+    rest = ""
+    for piece in pieces:
+        *whole, rest = (rest + piece).split("\n")
+        if whole:
+            yield whole
+    if rest:
+        yield [rest]
 
 
 def typed(text: str, kind: str):
