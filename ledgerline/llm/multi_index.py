@@ -87,7 +87,8 @@ def nearest_neighbours(embeddings: DataFrame, k: int = 20, step: int = 20, centr
 
     Null and zero vectors and those with null or non-finite components take no part, nor do rows
     without an id or of another length than most. Equal scores are ranked by id. Repeated rows
-    count once. Further columns are ignored; without queries or candidates there are no rows.
+    count once; an id with several vectors counts with its best one, and asks with the one whose bytes
+    come first. Further columns are ignored; without queries or candidates there are no rows.
     """
     spark = embeddings.sparkSession
     rows = valid(embeddings, zero=False)
@@ -151,11 +152,19 @@ def nearest_neighbours(embeddings: DataFrame, k: int = 20, step: int = 20, centr
                 continue
             pick = np.concatenate([np.arange(b, e) for b, e in spans])
             rough = v[pick] @ row
-            if len(pick) > k + 1:  # all that may tie with the k+1-th best, as both products round
-                slack = 4 * len(row) * np.finfo(np.float64).eps * longest * float(np.sqrt(row @ row))
-                pick = pick[rough >= np.partition(rough, len(rough) - k - 1)[len(rough) - k - 1] - slack]
-            scores = sequential_products(v[pick], np.broadcast_to(row, (len(pick), len(row))))
-            out += ((query, vec, score) for vec, score in take_best(query, scores, [ids[i] for i in pick], k))
+            slack = 4 * len(row) * np.finfo(np.float64).eps * longest * float(np.sqrt(row @ row))
+            most, found = k + 1, []
+            while len(found) < k:  # more than once only if ids repeat with many near vectors
+                if whole := most >= len(pick):
+                    some = pick
+                else:  # all that may tie with the last of them, as both products round
+                    some = pick[rough >= np.partition(rough, len(rough) - most)[len(rough) - most] - slack]
+                scores = sequential_products(v[some], np.broadcast_to(row, (len(some), len(row))))
+                found = take_best(query, scores, [ids[i] for i in some], k)
+                if whole:
+                    break
+                most *= 4
+            out += ((query, vec, score) for vec, score in found)
         columns = list(zip(*out, strict=True)) if out else [[]] * 3
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.float64()), strict=True)], ["query_id", "vec_id", "score"])
 

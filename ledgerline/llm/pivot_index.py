@@ -40,7 +40,8 @@ def top_products(embeddings: DataFrame, k: int = 5, step: int = 50, scale: int =
 
     Null vectors and those with null or non-finite components take no part, nor do rows without an
     id or of another length than most. Zero vectors do. Equal scores are ranked by id. Repeated
-    rows count once. Further columns are ignored; without queries or candidates there are no rows.
+    rows count once; an id with several vectors counts with its best one, and asks with the one whose
+    bytes come first. Further columns are ignored; without queries or candidates there are no rows.
     Exact: products are summed in double precision while they stay below 2**53, and in 64-bit
     integers beyond; vectors whose squared length exceeds 2**62 are refused.
     """

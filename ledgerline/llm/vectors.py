@@ -87,7 +87,8 @@ def sequential_products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def queries_of(rows: DataFrame, step: int) -> DataFrame:
-    """(query_id, v binary): valid vectors whose id is divisible by ``step``, each id once."""
+    """(query_id, v binary): valid vectors whose id is divisible by ``step``, each id once; one with
+    several vectors asks with the one whose bytes come first."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -143,11 +144,17 @@ def best(hits: DataFrame, k: int, kind: str) -> DataFrame:
 
 
 def take_best(query: int, scores: np.ndarray, ids: list[list[int]], k: int) -> list[tuple[int, float]]:
-    """The k best (vec_id, score) of classes with scores, the query's own id left out."""
-    if len(scores) > k + 1:
-        least = np.partition(scores, len(scores) - k - 1)[len(scores) - k - 1]
-        near = np.flatnonzero(scores >= least)
-    else:
-        near = np.arange(len(scores))
-    pairs = [(-scores[i], v) for i in near for v in ids[i] if v != query]
-    return [(v, -s) for s, v in heapq.nsmallest(k, pairs)]
+    """The k best (vec_id, score) of classes with scores, the query's own id left out. An id that
+    stands in several classes counts once, with its best score, however many of them come first."""
+    most = k + 1
+    while True:
+        whole = most >= len(scores)
+        near = np.arange(len(scores)) if whole else np.flatnonzero(scores >= np.partition(scores, len(scores) - most)[len(scores) - most])
+        found: dict[int, float] = {}
+        for i in near[np.argsort(-scores[near], kind="stable")]:
+            for v in ids[i]:
+                if v != query:
+                    found.setdefault(v, scores[i])
+        if whole or len(found) >= k:
+            return [(v, -s) for s, v in heapq.nsmallest(k, ((-s, v) for v, s in found.items()))]
+        most *= 4

@@ -103,3 +103,46 @@ def test_pivot_index_on_long_vectors(spark):
     for q in range(0, 120, 50):
         exact = sorted((-sum(int(a) * int(b) for a, b in zip(body[q], body[i], strict=True)), i) for i in range(120) if i != q)[:5]
         assert [got[q, n + 1] for n in range(5)] == [(i, -s) for s, i in exact] and -exact[0][0] > 2**53
+
+
+def test_repeated_ids_leave_room_for_others(spark):
+    """An id with many vectors nearer than all others takes one place, not all."""
+    from ledgerline.llm.multi_index import nearest_neighbours
+    from ledgerline.llm.pivot_index import top_products
+
+    rng = np.random.default_rng(11)
+    rows = [(0, [1.0, 1.0, 0.0, 0.0])] + [(1, [2.0 + j / 64, 2.0, 0.5, j / 32]) for j in range(150)]
+    rows += [(i, rng.uniform(-1, 1, 4).tolist()) for i in range(2, 40)] + [(40, [0.5, 0.25, 1.0, 0.0]), (40, [-1.0, 0.0, 0.0, 1.0])]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    vectors = {}
+    for i, v in rows:
+        vectors.setdefault(i, []).append(np.array(v))
+
+    def best_of(query, measure, k):
+        q = min((measure(v) for v in vectors[query]), key=lambda v: (v + 0.0).tobytes())
+        return sorted((-max(float(measure(v) @ q) for v in vs), i) for i, vs in vectors.items() if i != query)[:k]
+
+    for run, measure, k, step in ((nearest_neighbours, lambda v: v, 20, 20), (top_products, lambda v: np.floor(256 * v), 5, 50)):
+        got = {}
+        for r in run(table, **({"recall": 2.0, "centroids": 4} if k == 20 else {"pivots": 4, "rings": 3})).orderBy("query_id", "rank").collect():
+            got.setdefault(r.query_id, []).append((r.vec_id, r.score))
+        assert set(got) == {i for i in vectors if i % step == 0}
+        for query, found in got.items():
+            want = best_of(query, measure, k)
+            assert [i for i, _ in found] == [i for _, i in want] and np.allclose([s for _, s in found], [-s for s, _ in want])
+
+
+def test_take_best_by_brute_force():
+    from ledgerline.llm.vectors import take_best
+
+    rng = random.Random(6)
+    for _ in range(400):
+        n, k = rng.randint(0, 60), rng.randint(1, 6)
+        scores = np.array([float(rng.randint(0, 9)) for _ in range(n)])
+        ids = [sorted(rng.sample(range(12), rng.randint(1, 3))) for _ in range(n)]
+        best = {}
+        for s, own in zip(scores, ids, strict=True):
+            for v in own:
+                best[v] = max(best.get(v, s), s)
+        want = sorted(((-s, v) for v, s in best.items() if v != 3))[:k]
+        assert take_best(3, scores, ids, k) == [(v, -s) for s, v in want]
