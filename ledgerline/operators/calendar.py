@@ -31,6 +31,18 @@ def expire_set(dates: DataFrame, business_days: int, month_ends: int = 0, month_
     return dates.select(column).distinct().join(keep_set(dates, business_days, month_ends, month_end_years, column), column, "left_anti")
 
 
+def _islands(days: DataFrame, calendar: DataFrame) -> DataFrame:
+    """(feed, missing): the ``at`` of ``calendar`` that lie between neighbouring ones of a feed. Both
+    have ordinals, so what is missing between two places is a sequence, and only that is made. A
+    feed's places before the calendar are one place before its first."""
+    order = Window.orderBy("at")  # over distinct dates or weeks
+    numbered = calendar.withColumn("_n", F.row_number().over(order))
+    placed = days.join(numbered, "at", "left").select("feed", F.coalesce("_n", F.lit(0)).alias("_n")).distinct()
+    gaps = placed.withColumn("_next", F.lead("_n").over(Window.partitionBy("feed").orderBy("_n"))).where("_next > _n + 1")
+    each = gaps.select("feed", F.explode(F.sequence(F.col("_n") + 1, F.col("_next") - 1)).alias("_n"))
+    return each.join(numbered, "_n").select("feed", F.col("at").alias("missing"))
+
+
 def find_gaps(days: DataFrame, lookback: int = 0, weekly: tuple[str, ...] | Column = ()) -> DataFrame:
     """(feed, missing): dates (for weekly feeds ISO weeks, as 2026-W01) that other feeds have within
     a feed's own first and last date. The calendar is the union of all feeds' dates, its newest
@@ -39,13 +51,11 @@ def find_gaps(days: DataFrame, lookback: int = 0, weekly: tuple[str, ...] | Colu
     calendar = days.select("cob_date").distinct()
     if lookback:
         calendar = _newest(calendar, "cob_date", lookback)
-    bounds = days.groupBy("feed").agg(F.min("cob_date").alias("_lo"), F.max("cob_date").alias("_hi"))
-    expected = calendar.join(bounds, F.col("cob_date").between(F.col("_lo"), F.col("_hi"))).select("feed", "cob_date")
     is_weekly = weekly if isinstance(weekly, Column) else F.col("feed").isin(*weekly) if weekly else F.lit(False)
-    missing = expected.where(~is_weekly).join(days, ["feed", "cob_date"], "left_anti").select("feed", F.date_format("cob_date", "yyyy-MM-dd").alias("missing"))
+    day = F.date_format("cob_date", "yyyy-MM-dd")
     week = F.format_string("%04d-W%02d", F.extract(F.lit("YEAROFWEEK"), F.col("cob_date")).cast("int"), F.weekofyear("cob_date"))
-    weeks = lambda d: d.where(is_weekly).select("feed", week.alias("missing")).distinct()
-    return missing.unionByName(weeks(expected).join(weeks(days), ["feed", "missing"], "left_anti"))
+    daily = _islands(days.where(~is_weekly).select("feed", day.alias("at")), calendar.select(day.alias("at")))
+    return daily.unionByName(_islands(days.where(is_weekly).select("feed", week.alias("at")).distinct(), calendar.select(week.alias("at")).distinct()))
 
 
 def first_arrivals(arrivals: DataFrame, newest: int = 0) -> DataFrame:

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 import time
 from dataclasses import dataclass
-from datetime import date
+from datetime import date, timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .calendar import keep_set
@@ -42,23 +42,36 @@ def decide(metrics: dict, limits: Thresholds = Thresholds()) -> tuple[bool, str]
     return False, "healthy"
 
 
-def compact(df: DataFrame, target_mb: int, size_bytes: int, sort: list[str]) -> DataFrame:
-    """Rows in files of about ``target_mb``, sorted by those of ``sort`` that exist."""
-    out = df.repartition(max(1, -(-size_bytes // (target_mb * 1048576))))
-    order = [c for c in sort if c in df.columns]
-    return out.sortWithinPartitions(*order) if order else out
-
-
-def compact_recent(store: SnapshotStore, table: str, branch: str, column: str, newest: date, limits: Thresholds = Thresholds(), sort: list[str] | None = None) -> bool:
-    """Rewrites the recent partitions of a table if its metrics ask for it."""
-    files = store.files(table, branch)
-    metrics = file_metrics(files).first().asDict()
-    go, _ = decide(metrics, limits)
-    if go:
-        recent = store.read(table, branch).where(F.col(column) > F.date_sub(F.lit(newest), limits.recent_days))
-        total = files.agg(F.sum("size")).first()[0] or 0
-        store.replace_partitions(compact(recent, 256, total, sort or []), table, branch, column)
-    return go
+def packed_bins(parts: DataFrame, target: int, min_inputs: int = 5, small: float = 0.75) -> DataFrame:
+    """(folder, part, bin): parts (folder, part, files, bytes) to be rewritten together. Of each
+    partition, parts whose files are below ``small`` of the target on average are laid end to end,
+    smallest first, and cut at multiples of the target; a bin with fewer than ``min_inputs`` files
+    stays as it is. Bins are numbered from 0 over all partitions."""
+    fit = parts.where((F.col("files") > 0) & (F.col("bytes") < F.lit(small * target) * F.col("files")))
+    order = Window.partitionBy("folder").orderBy("bytes", "part").rowsBetween(Window.unboundedPreceding, -1)
+    laid = fit.withColumn("_own", F.floor(F.coalesce(F.sum("bytes").over(order), F.lit(0)) / target))
+    enough = laid.groupBy("folder", "_own").agg(F.sum("files").alias("_files")).where(F.col("_files") >= min_inputs)
+    numbered = enough.withColumn("bin", F.row_number().over(Window.orderBy("folder", "_own")) - 1)  # one row for each bin
+    return laid.join(numbered.drop("_files"), ["folder", "_own"]).select("folder", "part", "bin")
+
+
+def compact_recent(store: SnapshotStore, table: str, branch: str, newest: date, limits: Thresholds = Thresholds(), sort: list[str] | None = None, target_mb: float = 256, min_inputs: int = 5) -> dict:
+    """Rewrites small files of a table's recent partitions if the metrics of these ask for it, packed
+    to the target size, each bin by one task. Sizes come from the store's lists; parts that aren't
+    chosen keep their files. Returns {decision, bins, parts}."""
+    column = store.ref(branch)["tables"][table]["column"]
+    since = f"{column}={newest - timedelta(days=limits.recent_days - 1)}"
+    held = [(e["folder"], e["part"], e["files"], e["bytes"]) for e in store.entries(table, branch) if column is None or since <= e["folder"] < f"{column}=:"]
+    if not held:
+        return {"decision": "empty", "bins": 0, "parts": 0}
+    parts = store.spark.createDataFrame(held, "folder string, part string, files long, bytes long")
+    each = parts.groupBy(F.col("folder").alias("partition")).agg(F.sum("files").alias("files"), F.sum("bytes").alias("bytes"))
+    metrics = each.agg(F.sum("files").alias("total_files"), F.max("files").alias("max_files_per_partition"), (F.sum("bytes") / F.sum("files") / 1048576).alias("avg_file_size_mb")).first().asDict()
+    go, why = decide(metrics, limits)
+    chosen = packed_bins(parts, int(target_mb * 1048576), min_inputs).collect() if go else []  # one row for each part
+    if chosen:
+        store.rewrite_parts(table, branch, {f"{r['folder']}/{r['part']}" if r["folder"] else r["part"]: r["bin"] for r in chosen}, sort or [])
+    return {"decision": why, "bins": len({r["bin"] for r in chosen}), "parts": len(chosen)}
 
 
 def scd2_cutoff(kept: DataFrame, column: str = "effective_from") -> date:

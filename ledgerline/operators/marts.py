@@ -78,9 +78,48 @@ def date_pairs(exposures: DataFrame) -> DataFrame:
     return ends.select("cob_date", F.lag("cob_date").over(order).alias("prior_cob_date"), F.max("_end").over(order.rowsBetween(Window.unboundedPreceding, -1)).alias("prior_month_end"))
 
 
-def exposure_change(exposures: DataFrame, key: str = "counterparty_id", attributes: tuple[str, ...] = (), threshold: int = MATERIAL) -> DataFrame:
-    """One row per date and counterparty that is there or was on the retained date before."""
-    pairs = date_pairs(exposures)
+def restated_pairs(pairs: DataFrame, before: DataFrame, restated: DataFrame) -> DataFrame:
+    """The date pairs whose rows of the change mart have to be made again: those of restated dates
+    (one column), those that look back to one as the date before or as a month-end, and those that
+    look back to other dates than ``before`` (the pairs of the mart as it is), as dates came or went."""
+    told = restated.select(F.col(restated.columns[0]).alias("_r")).distinct()
+    columns = ["cob_date", "prior_cob_date", "prior_month_end"]
+    hit = None
+    for c in columns:
+        own = pairs.join(told, pairs[c] == told["_r"], "left_semi")
+        hit = own if hit is None else hit.union(own)
+    return hit.union(pairs.select(*columns).exceptAll(before.select(*columns))).distinct()
+
+
+def rebuild_changes(store, exposures: str, mart: str, branch: str, restated: list, key: str = "counterparty_id", attributes: tuple[str, ...] = (), threshold: int = MATERIAL) -> dict[str, list]:
+    """Brings a change mart on a branch up to date with re-delivered dates of its exposures: only
+    partitions that a restated date reaches are made and replaced, those of dates that are gone are
+    dropped, all others keep their files. Without a mart it is built whole. Returns the dates."""
+    source = store.read(exposures, branch)
+    pairs = date_pairs(source)
+    if not store.has(mart, branch):
+        store.write(exposure_change(source, key, attributes, threshold), mart, branch, ["cob_date"])
+        return {"rebuilt": sorted(r[0] for r in pairs.select("cob_date").collect()), "dropped": []}
+    before = store.read(mart, branch).select("cob_date", "prior_cob_date", "prior_month_end").distinct()
+    spark = store.spark
+    days = spark.createDataFrame([(x,) for x in restated], "d date")
+    todo = restated_pairs(pairs, before, days).collect()  # some dates
+    have = {r[0] for r in before.select("cob_date").collect()}
+    gone = sorted(have - {r[0] for r in pairs.select("cob_date").collect()})
+    if todo:
+        read = sorted({d for r in todo for d in r if d is not None})
+        some = store.read(exposures, branch, {f"cob_date={d}" for d in read}) if store.ref(branch)["tables"][exposures]["column"] == "cob_date" else source
+        made = exposure_change(some.where(F.col("cob_date").isin(read)), key, attributes, threshold, spark.createDataFrame(todo, pairs.schema))
+        store.replace_partitions(made, mart, branch, "cob_date")
+    if gone:
+        store.drop_partitions(mart, branch, {f"cob_date={d}" for d in gone})
+    return {"rebuilt": sorted(r["cob_date"] for r in todo), "dropped": gone}
+
+
+def exposure_change(exposures: DataFrame, key: str = "counterparty_id", attributes: tuple[str, ...] = (), threshold: int = MATERIAL, pairs: DataFrame | None = None) -> DataFrame:
+    """One row per date and counterparty that is there or was on the retained date before, of all
+    dates or of some ``pairs`` (whose three dates the exposures must hold)."""
+    pairs = date_pairs(exposures) if pairs is None else pairs
     measures = ["total_mtm", "total_notional", "trade_count"]
     base = exposures.select("cob_date", key, *attributes, *measures)
     dated = base.join(F.broadcast(pairs), "cob_date")

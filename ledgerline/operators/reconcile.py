@@ -6,6 +6,7 @@ import hashlib
 import json
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,6 +38,62 @@ def compare_rows(legacy: DataFrame, new: DataFrame, keys: list[str], columns: li
     return both.select(*keys, status.alias("status"))
 
 
+def bucket_digests(df: DataFrame, keys: list[str], columns: list[str], buckets: int = 1 << 16) -> DataFrame:
+    """(bucket, n, one, two): for each bucket of keys, the number of its rows and two sums of hashes of
+    whole rows. Order doesn't matter, repeated rows count each, and the sums of several buckets are
+    the digest of all of them. One small row for each bucket leaves a task, however many it reads."""
+    key = F.concat_ws("\x1f", *[canonical_value(F.col(k), df.schema[k].dataType) for k in keys])
+    row = F.concat_ws("\x1f", key, canonical_row_hash(df, columns))
+    named = df.select(F.pmod(F.xxhash64(key), F.lit(buckets)).alias("bucket"), *[F.xxhash64(F.lit(seed), row).cast("decimal(38,0)").alias(n) for seed, n in ((1, "one"), (2, "two"))])
+    return named.groupBy("bucket").agg(F.count("*").alias("n"), F.sum("one").alias("one"), F.sum("two").alias("two"))
+
+
+def differing_buckets(legacy: DataFrame, new: DataFrame, buckets: int = 1 << 16, fanout: int = 16) -> list[int]:
+    """The buckets of two sets of digests that differ, found level by level: equal roots end it, and
+    of each level only the children of nodes that differ are compared. The digests may be stored
+    ones; where both sides are made for this, ``legacy`` and ``new`` should be written before."""
+    depth, size = 0, 1
+    while size < buckets:
+        size, depth = size * fanout, depth + 1
+
+    def level(side: DataFrame, width: int, wanted: list[int] | None) -> DataFrame:
+        nodes = side.withColumn("node", F.expr(f"bucket div {width}"))
+        if wanted is not None:
+            nodes = nodes.where(F.expr(f"bucket div {width * fanout}").isin(wanted))
+        return nodes.groupBy("node").agg(*[F.sum(c).alias(c) for c in ("n", "one", "two")])
+
+    wanted = None
+    for k in range(depth, -1, -1):
+        a, b = (level(side, fanout**k, wanted).select("node", F.struct("n", "one", "two").alias(c)) for side, c in ((legacy, "a"), (new, "b")))
+        wanted = sorted(r[0] for r in a.join(b, "node", "full").where(~F.col("a").eqNullSafe(F.col("b"))).select("node").collect())
+        if not wanted:
+            return []
+    return wanted
+
+
+def compare_by_tree(legacy: DataFrame, new: DataFrame, keys: list[str], columns: list[str], digests: tuple[DataFrame, DataFrame] | None = None, buckets: int = 1 << 16) -> DataFrame:
+    """(keys..., status, legacy_rows, new_rows) of the keys that differ: legacy_only, new_only or
+    changed. Only rows of differing buckets are hashed by key and joined; equal sides shuffle digests
+    alone. A key with several rows is one key, equal if both sides have the same rows, in any order,
+    as often. ``digests``: those of both sides, where they are known already."""
+    # a row for each bucket, read once for each level
+    told = digests or tuple(bucket_digests(df, keys, columns, buckets).persist(StorageLevel.DISK_ONLY) for df in (legacy, new))
+    wanted = differing_buckets(*told, buckets)
+    for own in () if digests else told:
+        own.unpersist()
+
+    def side(df: DataFrame, name: str) -> DataFrame:
+        named = df.select(*[canonical_value(F.col(k), df.schema[k].dataType).alias(k) for k in keys], canonical_row_hash(df, columns).alias("_row"))
+        inside = named.where(F.pmod(F.xxhash64(F.concat_ws("\x1f", *keys)), F.lit(buckets)).isin(wanted)) if len(wanted) < buckets else named
+        sums = [F.sum(F.xxhash64(F.lit(seed), "_row").cast("decimal(38,0)")) for seed in (1, 2)]
+        return inside.groupBy(*keys).agg(F.struct(F.count("*").alias("rows"), *sums).alias(name))
+
+    both = side(legacy, "_legacy").join(side(new, "_new"), keys, "full").where(~F.col("_legacy").eqNullSafe(F.col("_new")))
+    status = F.when(F.col("_new").isNull(), "legacy_only").when(F.col("_legacy").isNull(), "new_only").otherwise("changed")
+    rows = lambda c: F.coalesce(F.col(c)["rows"], F.lit(0)).cast("long")
+    return both.select(*keys, status.alias("status"), rows("_legacy").alias("legacy_rows"), rows("_new").alias("new_rows"))
+
+
 def key_set(compared: DataFrame) -> DataFrame:
     return compared.agg(F.count_if(F.col("status") == "legacy_only").alias("legacy_only"), F.count_if(F.col("status") == "new_only").alias("new_only")).withColumn("outcome", F.when(F.col("legacy_only") + F.col("new_only") == 0, "PASS").otherwise("FAIL"))
 

@@ -69,6 +69,12 @@ def _scope(raw: DataFrame, target: DataFrame, columns: dict[str, str], keys: lis
     return touched.join(last, _same(touched, last, keys), "left").select(*[touched[k] for k in keys], "_from"), start
 
 
+def _lost(target: DataFrame, raw: DataFrame) -> DataFrame:
+    """Versions that begin on a date that raw has no delivery for."""
+    dates = raw.select(F.col("_cob_date").alias("_held")).distinct()
+    return target.join(dates, target["effective_from"] == dates["_held"], "left_anti")
+
+
 def replay_changes(raw: DataFrame, target: DataFrame, columns: dict[str, str], keys: list[str], hashed: list[str], lookback_days: int = 3, derived: dict[str, Column] | None = None) -> DataFrame:
     """What new deliveries change in a dimension: the versions of each touched key from its replay
     start on, and a marker for each version there that isn't derived again, with the key, its
@@ -107,8 +113,7 @@ def replay_changes(raw: DataFrame, target: DataFrame, columns: dict[str, str], k
     if fresh or daily is None:
         new = again(raw, renamed.where("_from is null"))
         daily = new if daily is None else daily.unionByName(new)
-    dates = raw.select("_cob_date").distinct()
-    pruned = inside.join(dates, inside["effective_from"] == dates["_cob_date"], "left_anti")
+    pruned = _lost(inside, raw)
     held = seed.select(*fields, F.col("effective_from").alias("cob_date")).unionByName(pruned.select(*fields, F.col("effective_from").alias("cob_date")))
     computed = versions(daily.unionByName(held), keys, hashed).select(*fields, *RANGE)
     return computed.unionByName(retractions(inside, computed, keys).select(*fields, *RANGE))
@@ -136,9 +141,26 @@ def merge_versions(target: DataFrame, changes: DataFrame, keys: list[str]) -> Da
 def replay(raw: DataFrame, target: DataFrame, columns: dict[str, str], keys: list[str], hashed: list[str], lookback_days: int = 3, derived: dict[str, Column] | None = None) -> DataFrame:
     """The target after new deliveries, equal to a full build for re-deliveries of dates from each
     touched key's replay start on; all other versions stay untouched."""
+    start: date = window_start(target, "effective_from", lookback_days)
+    touched = raw.where(F.col("_cob_date") >= F.lit(start)).select(*[conformed(k, columns[k]).alias(k) for k in keys]).distinct().count()
+    if touched >= MOST * target.select(*keys).distinct().count():
+        return rebuild(raw, target, columns, keys, hashed, derived)
     return merge_versions(target, replay_changes(raw, target, columns, keys, hashed, lookback_days, derived), keys)
 
 
+#: The share of keys from which on building all of them anew costs less than replaying the touched ones.
+MOST = 0.5
+
+
+def rebuild(raw: DataFrame, target: DataFrame, columns: dict[str, str], keys: list[str], hashed: list[str], derived: dict[str, Column] | None = None) -> DataFrame:
+    """A full build that keeps what raw has lost: versions of the target whose date raw no longer
+    holds are inputs like daily rows. The rows of a replay of every key from its beginning."""
+    fields = [*columns, *(derived or {}), "source_batch_id"]
+    daily = daily_rows(raw, columns, keys, derived).select(*fields, "cob_date")
+    held = _lost(target, raw).select(*fields, F.col("effective_from").alias("cob_date"))
+    return versions(daily.unionByName(held), keys, hashed).select(*fields, *RANGE)
+
+
 def as_of_join(facts: DataFrame, dimension: DataFrame, keys: list[str], at: str, how: str = "left", carry: list[str] | None = None) -> DataFrame:
     """Facts with the version in force on their date: a hash join on the key, the range as residual."""
     side = dimension.select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("effective_from").alias("_valid_from"), F.col("effective_to").alias("_valid_to"), *(carry or [c for c in dimension.columns if c not in (*keys, *RANGE)]))
@@ -146,6 +168,40 @@ def as_of_join(facts: DataFrame, dimension: DataFrame, keys: list[str], at: str,
     return facts.join(side, on, how).drop(*[f"_{k}" for k in keys], "_valid_to").withColumnRenamed("_valid_from", "reference_effective_from")
 
 
+def as_of_join_spread(facts: DataFrame, dimension: DataFrame, keys: list[str], at: str, how: str = "left", carry: list[str] | None = None, part: int = 1_000_000) -> DataFrame:
+    """``as_of_join`` for keys with very many facts or versions: both sides meet by key and month.
+
+    A month's versions are those that begin in it and the one carried in from before, so a fact is
+    compared with the versions of its month, not with all of its key's; and months of a key with
+    more than ``part`` facts are dealt out to several tasks (facts equal in all columns to one). The carried versions come from one row
+    for each key and month; the crowded months are at most the facts' number over ``part``, so they
+    are broadcast. Ranges of a key must not overlap (``broken_ranges``); NULL keys and dates match
+    nothing. Rows and columns are those of ``as_of_join``.
+    """
+    if how not in ("left", "inner"):
+        raise ValueError(f"no such join here: {how}")
+    carry = carry or [c for c in dimension.columns if c not in (*keys, *RANGE)]
+    names = [f"_{k}" for k in keys]
+    versions = dimension.select(*[F.col(k).alias(f"_{k}") for k in keys], F.trunc("effective_from", "MM").alias("_month"), F.struct(F.col("effective_from").alias("_valid_from"), F.col("effective_to").alias("_valid_to"), *carry).alias("_v"))
+    counted = facts.groupBy(*[F.col(k).alias(f"_{k}") for k in keys], F.trunc(at, "MM").alias("_month")).agg(F.count("*").alias("_n"))
+    crowded = counted.where(F.col("_n") > part).select(*names, "_month", F.ceil(F.col("_n") / part).cast("int").alias("_parts"))
+    # The last version of each month, then for each month with facts the last one of the months before.
+    last = versions.groupBy(*names, "_month").agg(F.max_by("_v", F.col("_v")["_valid_from"]).alias("_last"))
+    marks = last.unionByName(counted.select(*names, "_month"), allowMissingColumns=True).groupBy(*names, "_month").agg(F.first("_last", ignorenulls=True).alias("_last"), F.bool_or(F.col("_last").isNull()).alias("_wanted"))
+    before = Window.partitionBy(*names).orderBy("_month").rowsBetween(Window.unboundedPreceding, -1)
+    carried = marks.withColumn("_v", F.last("_last", ignorenulls=True).over(before)).where("_wanted and _v is not null").select(*names, "_month", "_v")
+    side = versions.unionByName(carried).join(F.broadcast(crowded), [*names, "_month"], "left")
+    side = side.withColumn("_part", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_parts"), F.lit(1)) - 1))).select(*names, "_month", "_part", "_v.*")
+    dealt = facts.withColumn("_fact_month", F.trunc(at, "MM"))
+    known = crowded.select(*[F.col(n).alias(f"_k{n}") for n in names], F.col("_month").alias("_k_month"), F.col("_parts").alias("_fact_parts"))
+    dealt = dealt.join(F.broadcast(known), all_of([F.col(k) == F.col(f"_k_{k}") for k in keys]) & (F.col("_fact_month") == F.col("_k_month")), "left")
+    # Rows of a crowded month are dealt by what they hold, so that a task that runs again deals them alike.
+    told = F.xxhash64(*[c for c, kind in facts.dtypes if not kind.startswith("map")])
+    dealt = dealt.withColumn("_fact_part", F.when(F.col("_fact_parts").isNull(), 0).otherwise(F.pmod(told, F.col("_fact_parts"))).cast("int")).drop(*[f"_k{n}" for n in names], "_k_month", "_fact_parts")
+    on = all_of([F.col(k) == F.col(f"_{k}") for k in keys]) & (F.col("_fact_month") == F.col("_month")) & (F.col("_fact_part") == F.col("_part")) & F.col(at).between(F.col("_valid_from"), F.col("_valid_to"))
+    return dealt.join(side, on, how).drop(*names, "_month", "_part", "_fact_month", "_fact_part", "_valid_to").withColumnRenamed("_valid_from", "reference_effective_from")
+
+
 def broken_ranges(versions: DataFrame, keys: list[str]) -> DataFrame:
     """Versions that are inverted, overlap the next one or leave a gap, and keys that don't have
     exactly one open version; no rows if all is well."""
