@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .calendar import keep_set
-from .refs import SnapshotStore
+from .refs import SnapshotStore, path_of
 
 
 class RetentionRefused(RuntimeError):
@@ -55,13 +55,15 @@ def packed_bins(parts: DataFrame, target: int, min_inputs: int = 5, small: float
     return laid.join(numbered.drop("_files"), ["folder", "_own"]).select("folder", "part", "bin")
 
 
-def compact_recent(store: SnapshotStore, table: str, branch: str, newest: date, limits: Thresholds = Thresholds(), sort: list[str] | None = None, target_mb: float = 256, min_inputs: int = 5) -> dict:
+def compact_recent(store: SnapshotStore, table: str, branch: str, newest: date, limits: Thresholds = Thresholds(), sort: list[str] | None = None, target_mb: float = 256, min_inputs: int = 5, fold_deletes: int = 8) -> dict:
     """Rewrites small files of a table's recent partitions if the metrics of these ask for it, packed
     to the target size, each bin by one task. Sizes come from the store's lists; parts that aren't
-    chosen keep their files. Returns {decision, bins, parts}."""
+    chosen keep their files. Parts that lost rows ``fold_deletes`` times or more are rewritten too.
+    Returns {decision, bins, parts}."""
     column = store.ref(branch)["tables"][table]["column"]
     since = f"{column}={newest - timedelta(days=limits.recent_days - 1)}"
-    held = [(e["folder"], e["part"], e["files"], e["bytes"]) for e in store.entries(table, branch) if column is None or since <= e["folder"] < f"{column}=:"]
+    entries = [e for e in store.entries(table, branch) if column is None or since <= e["folder"] < f"{column}=:"]
+    held = [(e["folder"], e["part"], e["files"], e["bytes"]) for e in entries]
     if not held:
         return {"decision": "empty", "bins": 0, "parts": 0}
     parts = store.spark.createDataFrame(held, "folder string, part string, files long, bytes long")
@@ -69,9 +71,14 @@ def compact_recent(store: SnapshotStore, table: str, branch: str, newest: date,
     metrics = each.agg(F.sum("files").alias("total_files"), F.max("files").alias("max_files_per_partition"), (F.sum("bytes") / F.sum("files") / 1048576).alias("avg_file_size_mb")).first().asDict()
     go, why = decide(metrics, limits)
     chosen = packed_bins(parts, int(target_mb * 1048576), min_inputs).collect() if go else []  # one row for each part
-    if chosen:
-        store.rewrite_parts(table, branch, {f"{r['folder']}/{r['part']}" if r["folder"] else r["part"]: r["bin"] for r in chosen}, sort or [])
-    return {"decision": why, "bins": len({r["bin"] for r in chosen}), "parts": len(chosen)}
+    bins = {path_of({"folder": r["folder"], "part": r["part"]}): r["bin"] for r in chosen}
+    # parts that lost rows are written without them, each by itself if it is in no bin
+    for e in entries:
+        if len(e.get("deletes", [])) >= fold_deletes and path_of(e) not in bins:
+            bins[path_of(e)] = max(bins.values(), default=-1) + 1
+    if bins:
+        store.rewrite_parts(table, branch, bins, sort or [])
+    return {"decision": why, "bins": len(set(bins.values())), "parts": len(bins)}
 
 
 def scd2_cutoff(kept: DataFrame, column: str = "effective_from") -> date:
