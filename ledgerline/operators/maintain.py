@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import time
 from dataclasses import dataclass
-from datetime import date, timedelta
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -113,6 +113,53 @@ def apply_retention(store: SnapshotStore, table: str, branch: str, business_days
         store.write(df.join(kept, column, "left_semi"), table, branch, [column])
 
 
+#: A year of a retention window, in days (fixed value).
+DAYS_PER_YEAR = 365.25
+PUBLISHED = r"^published/(?:([^/]+)/)?(\d{4}-\d{2}-\d{2})/(.+)$"
+
+
+def judged_tags(tags: DataFrame, windows: DataFrame, today, pattern: str = PUBLISHED) -> DataFrame:
+    """(tag, report, as_at, judged_on, judged_by, keep_years, verdict) for tags (ref, taken_at in
+    seconds or NULL): each by its own report's window (report, keep_years), from the day it was
+    taken, or where that isn't known from the date it is about, which can't be later. The verdict is
+    keep or expire; foreign for a name of another shape, which is never touched; unresolved if its
+    report has no window. A window of a NULL report holds for names without one."""
+    part = lambda n: F.nullif(F.regexp_extract("ref", pattern, n), F.lit(""))
+    told = tags.select(F.col("ref").alias("tag"), part(1).alias("report"), F.try_to_date(part(2), "yyyy-MM-dd").alias("as_at"), F.to_date(F.timestamp_seconds("taken_at")).alias("_taken"))
+    years = windows.select(F.col("report").alias("_report"), F.col("keep_years").cast("double").alias("keep_years"))
+    told = told.join(years, told["report"].eqNullSafe(years["_report"]) & told["as_at"].isNotNull(), "left").drop("_report")
+    judged = told.withColumn("judged_by", F.coalesce("_taken", "as_at")).withColumn("judged_on", F.when(F.col("as_at").isNull(), None).when(F.col("_taken").isNull(), "date").otherwise("taken"))
+    # the cutoff is a whole day: the present less the window, cut off
+    cutoff = F.to_date(F.lit(today).cast("timestamp") - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.col("keep_years") * F.lit(DAYS_PER_YEAR * 86400).cast("decimal(18,6)")))
+    verdict = F.when(F.col("as_at").isNull(), "foreign").when(F.col("keep_years").isNull() | (F.col("keep_years") <= 0), "unresolved").when(F.col("judged_by") < cutoff, "expire").otherwise("keep")
+    return judged.select("tag", "report", "as_at", "judged_on", "judged_by", "keep_years", verdict.alias("verdict"))
+
+
+def sweep_tags(store: SnapshotStore, windows: dict[str | None, float], now: datetime, prefix: str = "published/", pattern: str = PUBLISHED) -> list[str]:
+    """Deletes the expired tags of a prefix. One whose window can't be resolved refuses the whole sweep."""
+    tags = [(n, float(r["time"]) if r.get("time") is not None else None) for n, r in store.refs().items() if r["kind"] == "tag" and n.startswith(prefix)]
+    spark = store.spark
+    judged = judged_tags(spark.createDataFrame(tags, "ref string, taken_at double"), spark.createDataFrame(list(windows.items()), "report string, keep_years double"), now, pattern)
+    found = [(r["tag"], r["verdict"]) for r in judged.where("verdict in ('expire', 'unresolved')").orderBy("tag").collect()]
+    if odd := [t for t, v in found if v == "unresolved"]:
+        raise RetentionRefused(f"no window for {odd}")
+    for tag, _ in found:
+        store.delete(tag)
+    return [t for t, _ in found]
+
+
+def orphan_tables(store: SnapshotStore, known: set[str]) -> DataFrame:
+    """(table_name, standing, parts, bytes): tables that no model or feed in ``known`` stands for, on
+    main or held by a tag only, and folders that no ref names at all (unnamed, parts as they lie)."""
+    held = store.holdings()
+    main = held.where("ref = 'main'").select("table_name").distinct().withColumn("_main", F.lit(True))
+    each = held.select("table_name", "folder", "part", "bytes").distinct().groupBy("table_name").agg(F.count("*").alias("parts"), F.sum("bytes").alias("bytes"))
+    named = each.join(main, "table_name", "left").select("table_name", F.when(F.col("_main"), "main").otherwise("pinned").alias("standing"), "parts", "bytes").where(~F.col("table_name").isin(*known) if known else F.lit(True))
+    lying = [row for t in store.files_.list("data") for row in held_parts(store, t)]
+    folders = store.spark.createDataFrame(lying, "table_name string, folder string, part string").join(each.select("table_name"), "table_name", "left_anti")
+    return named.unionByName(folders.groupBy("table_name").agg(F.count("*").alias("parts")).select("table_name", F.lit("unnamed").alias("standing"), "parts", F.lit(None).cast("long").alias("bytes")))
+
+
 def window_refusal(retention_days: dict[str, int], promised_days: dict[str, int], feeds_behind: dict[str, set[str]]) -> list[tuple[str, str]]:
     """(report, feed) whose feed is kept for less time than the report promises to reproduce."""
     return sorted((r, f) for r, days in promised_days.items() for f in feeds_behind.get(r, ()) if retention_days.get(f, 0) < days)

@@ -8,7 +8,7 @@ from datetime import date, timedelta
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.conform import WINDOW_FLOOR, conformed, source_provenance
+from ..functions.conform import PROVENANCE, WINDOW_FLOOR, conformed, source_provenance
 
 INSTANT = re.compile(r"\d{4}-\d{2}-\d{2}( \d{2}:\d{2}:\d{2}(\.\d{1,6})?)?")
 
@@ -77,7 +77,24 @@ def conform(raw: DataFrame, columns: dict[str, str], keys: list[str], derived: d
     kept = dedupe_latest(cleaned, keys).withColumn("cob_date", F.col("_cob_date"))
     out = kept.withColumns(derived or {})
     provenance = source_provenance() if "_delivery_id" in out.columns else []
-    return out.select("cob_date", *columns, *provenance, *(audit or []), *(derived or {}))
+    told = out.select("cob_date", *columns, *provenance, *(audit or []), *(derived or {}))
+    return in_order(told, list(columns), audit=tuple(c for c in told.columns if c not in ("cob_date", *columns, *PROVENANCE, *(derived or {}))))
+
+
+def rows_per_date(df: DataFrame, column: str = "_cob_date") -> DataFrame:
+    """(cob_date, n_rows): how many rows each date has."""
+    return df.groupBy(F.col(column).alias("cob_date")).agg(F.count("*").alias("n_rows"))
+
+
+def in_order(df: DataFrame, columns: list[str], scd2: bool = False, audit: tuple[str, ...] = ()) -> DataFrame:
+    """The fixed order of a prepared table's columns: the date (not in a dimension), the contract's
+    columns, provenance, what audits, what is derived, and a dimension's range last. Columns that
+    aren't there are left out, none is lost."""
+    head = [] if scd2 else ["cob_date"]
+    tail = ["effective_from", "effective_to", "is_current", "effective_from_month"] if scd2 else []
+    known = [*head, *columns, *PROVENANCE, "source_batch_id", *audit]
+    derived = [c for c in df.columns if c not in (*known, *tail)]
+    return df.select(*[c for c in (*dict.fromkeys([*known, *derived]), *tail) if c in df.columns])
 
 
 def overwrite_dates(df: DataFrame, path: str, partition: str = "cob_date") -> None:

@@ -171,7 +171,7 @@ def as_of_knowledge(spark, d):
 def incremental_window_orders(spark, d):
     raw = _raw_orders(spark, d)
     target = raw.where("_cob_date < DATE '1998-01-01'")
-    return snapshot.incremental_window(raw, "_cob_date", target, "_cob_date", 3).groupBy(F.col("_cob_date").alias("cob_date")).agg(F.count("*").alias("n_rows"))
+    return snapshot.rows_per_date(snapshot.incremental_window(raw, "_cob_date", target, "_cob_date", 3))
 
 
 # ---------------------------------------------------------------- dimensions

@@ -13,6 +13,7 @@ from datetime import date
 from functools import reduce
 from pathlib import PurePosixPath
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -207,28 +208,116 @@ def logical_md5(members: list[bytes]) -> str:
     return digest.hexdigest()
 
 
+#: Kinds of text values from the narrowest on; each has a test that all values must pass.
+KIND_TESTS = {
+    "boolean": lambda c: F.lower(c).isin("true", "false"),
+    "integer": lambda c: c.try_cast("bigint").isNotNull() & c.rlike(r"^[+-]?[0-9]+$"),
+    "decimal": lambda c: c.rlike(r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"),
+    "date": lambda c: F.try_to_date(c, "yyyy-MM-dd").isNotNull() & c.rlike(r"^\d{4}-\d{2}-\d{2}$"),
+}
+
+
+def column_profile(df: DataFrame) -> DataFrame:
+    """(column_name, kind, n_rows, nulls, about_distinct) of all columns by one pass that makes no row
+    more: for each column a few flags, which of two parts of the data AND to those of both, and a
+    distinct sketch. The kind is the first whose test all values pass, else string; a column
+    without values is of kind string."""
+    told = []
+    for c in df.columns:
+        text = F.trim(F.col(f"`{c}`").cast("string"))
+        flags = [F.bool_and(F.when(text.isNotNull(), test(text))).alias(kind) for kind, test in KIND_TESTS.items()]
+        told.append(F.struct(F.lit(c).alias("column_name"), F.count(F.col(f"`{c}`")).alias("values"), F.hll_sketch_estimate(F.hll_sketch_agg(text, F.lit(14))).alias("about_distinct"), *flags))
+    row = df.agg(F.count("*").alias("n_rows"), F.array(*told).alias("each")).select("n_rows", F.inline("each"))
+    kind = F.lit("string")
+    for name in reversed(KIND_TESTS):
+        kind = F.when(F.col(name), name).otherwise(kind)
+    return row.select("column_name", F.when(F.col("values") > 0, kind).otherwise("string").alias("kind"), "n_rows", (F.col("n_rows") - F.col("values")).alias("nulls"), F.coalesce("about_distinct", F.lit(0)).alias("about_distinct"))
+
+
+#: Separators and quotes that a file may have (fixed values).
+SEPARATORS, QUOTES = (",", ";", "|", "\t"), ('"', "'")
+
+
+def dialect_scores(spark: SparkSession, path: str, encoding: str = "UTF-8", lines: int = 500) -> DataFrame:
+    """(separator, quote, score, width, rows) of every dialect, best first: the first lines of each
+    range that Spark reads a file in are split by each, and a dialect's score is the share of lines
+    that have its commonest number of values, if that is more than one, less the share of lines that
+    can't be split by it; quotes that stand at the edges of values count a little."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: dict[tuple, int] = {}
+        left = lines
+        for batch in batches:
+            for body in batch.column(0).slice(0, left).to_pylist():
+                left -= 1
+                text = body.decode(encoding, "replace").rstrip("\r")
+                if not text.strip():
+                    continue
+                for separator in SEPARATORS:
+                    for quote in QUOTES:
+                        try:
+                            row = next(csv.reader([text], delimiter=separator, quotechar=quote, doublequote=True, strict=True))
+                            width = len(row)
+                        except csv.Error:
+                            width = -1
+                        edges = len(re.findall(rf"(?:^|{re.escape(separator)}){re.escape(quote)}", text))
+                        key = (separator, quote, width, edges > 0)
+                        seen[key] = seen.get(key, 0) + 1
+        rows = list(zip(*[(*k, n) for k, n in seen.items()], strict=True)) or [[]] * 5
+        kinds = (pa.string(), pa.string(), pa.int32(), pa.bool_(), pa.int64())
+        yield pa.RecordBatch.from_arrays([pa.array(r, k) for r, k in zip(rows, kinds, strict=True)], ["separator", "quote", "width", "edged", "n"])
+
+    lined = spark.read.option("lineSep", "\n").text(path).select(F.col("value").cast("binary").alias("line"))
+    told = lined.mapInArrow(scan, "separator string, quote string, width int, edged boolean, n long")
+    each = told.groupBy("separator", "quote", "width").agg(F.sum("n").alias("n"), F.sum(F.when(F.col("edged"), F.col("n")).otherwise(0)).alias("edged"))
+    of_all = each.groupBy("separator", "quote").agg(F.sum("n").alias("rows"), F.max_by("width", F.struct(F.when(F.col("width") > 1, F.col("n")).otherwise(0), "width")).alias("width"), F.max(F.when(F.col("width") > 1, F.col("n")).otherwise(0)).alias("top"), F.sum(F.when(F.col("width") < 0, F.col("n")).otherwise(0)).alias("bad"), F.sum("edged").alias("edged"))
+    score = (F.col("top") - F.col("bad") + F.col("edged") / 10) / F.col("rows")
+    return of_all.select("separator", "quote", score.alias("score"), "width", "rows").orderBy(F.desc("score"), F.desc("width"), "separator", "quote")
+
+
 def sniff(spark: SparkSession, path: str, sample: bytes) -> dict:
     """Delimiter, quote, header, encoding, column names and kinds, and the columns whose values
-    are all different, from a sample of bytes and one aggregate over the file."""
+    are all different: the encoding from a sample of bytes, the dialect from the first lines of all
+    ranges, kinds and keys from the whole file. The first line is a header if its values are all
+    different and of no kind but string, and some column below has another kind, or none of its
+    values stands in its column below."""
     encoding = detect_encoding(sample)
-    text = sample.decode(encoding, "replace")
-    dialect = csv.Sniffer().sniff(text, delimiters=",;|\t")
-    header = csv.Sniffer().has_header(text)
-    reader = spark.read.option("header", header).option("sep", dialect.delimiter).option("quote", dialect.quotechar or '"').option("encoding", encoding)
-    names = reader.option("inferSchema", True).option("samplingRatio", 0.1 if len(sample) > 1 << 20 else 1.0).csv(path)
-    kinds = {f.name: {"int": "integer", "bigint": "integer", "double": "decimal", "boolean": "boolean", "date": "date"}.get(f.dataType.simpleString(), "string") for f in names.schema}
-    return {"delimiter": dialect.delimiter, "quote": dialect.quotechar or '"', "header": header, "encoding": encoding, "columns": list(kinds), "kinds": kinds, "keys": key_candidates(names)}
+    best = dialect_scores(spark, path, encoding).first()
+    separator, quote = (best["separator"], best["quote"]) if best else (",", '"')
+    reader = spark.read.option("sep", separator).option("quote", quote).option("encoding", encoding)
+    lines = reader.option("header", False).csv(path)
+    first = lines.first()
+    if first is None:
+        return {"delimiter": separator, "quote": quote, "header": False, "encoding": encoding, "columns": [], "kinds": {}, "keys": []}
+    body = reader.option("header", True).schema(", ".join(f"`{c}` string" for c in lines.columns)).option("enforceSchema", True).csv(path)
+    below = {r["column_name"]: r for r in column_profile(body).collect()}
+    top = {r["column_name"]: r["kind"] for r in column_profile(spark.createDataFrame([first], lines.schema)).collect()}
+    names = [v for v in first if v is not None]
+    told = len(set(names)) == len(first) and all(k == "string" for k in top.values())
+    again = body.where(reduce(lambda a, b: a | b, [F.col(c) == F.lit(v) for c, v in zip(lines.columns, first, strict=True)])).limit(1).count() if told else 1
+    header = told and (any(r["kind"] != "string" for r in below.values()) or not again)
+    found = body.toDF(*first) if header else lines
+    profile = {new: below[old] for new, old in zip(first, lines.columns, strict=True)} if header else {r["column_name"]: r for r in column_profile(lines).collect()}
+    return {"delimiter": separator, "quote": quote, "header": header, "encoding": encoding, "columns": found.columns, "kinds": {c: r["kind"] for c, r in profile.items()}, "keys": key_candidates(found, profile)}
 
 
 def key_statistics(df: DataFrame) -> DataFrame:
-    """(column_name, distinct_values, n_rows, is_key) of all columns, by one pass: a key has no NULL
-    and all its values differ."""
-    row = df.agg(F.count("*").alias("_n"), *[F.count_distinct(F.col(f"`{c}`")).alias(c) for c in df.columns])
-    each = row.select("_n", F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").alias("distinct_values")) for c in df.columns])))
-    return each.select("column_name", "distinct_values", F.col("_n").alias("n_rows"), ((F.col("_n") > 0) & (F.col("distinct_values") == F.col("_n"))).alias("is_key"))
-
-
-def key_candidates(df: DataFrame) -> list[str]:
-    """Columns without NULL whose values are all different."""
-    found = {r["column_name"] for r in key_statistics(df).where("is_key").collect()}
+    """(column_name, distinct_values, n_rows, is_key) of all columns: a key has no NULL and all its
+    values differ. Each column is counted by itself, over its own values alone, so together they
+    read a column store once and no row is made for each column."""
+    n = df.agg(F.count("*").alias("n_rows"))
+    parts = []
+    for c in df.columns:
+        values = df.select(F.col(f"`{c}`").alias("v")).where("v is not null").groupBy("v").agg(F.lit(1).alias("one"))
+        parts.append(values.agg(F.count("*").alias("distinct_values")).select(F.lit(c).alias("column_name"), "distinct_values"))
+    each = reduce(DataFrame.unionByName, parts).crossJoin(n)  # one row
+    return each.select("column_name", "distinct_values", "n_rows", ((F.col("n_rows") > 0) & (F.col("distinct_values") == F.col("n_rows"))).alias("is_key"))
+
+
+def key_candidates(df: DataFrame, profile: dict | None = None) -> list[str]:
+    """Columns without NULL whose values are all different. Only those that a distinct sketch leaves
+    as candidates are counted; its error is some parts in a thousand."""
+    told = profile or {r["column_name"]: r for r in column_profile(df).collect()}
+    likely = [c for c in df.columns if told[c]["n_rows"] and not told[c]["nulls"] and told[c]["about_distinct"] >= 0.9 * told[c]["n_rows"]]
+    found = {r["column_name"] for r in key_statistics(df.select(*[F.col(f"`{c}`") for c in likely])).where("is_key").collect()} if likely else set()
     return [c for c in df.columns if c in found]
