@@ -31,9 +31,10 @@ def held(key: tuple, build: Callable):
 
 
 class ChunkTable:
-    """Open addressing over (hash, hash) -> run of 32-bit numbers. Emptied beyond ``most`` ranges."""
+    """Open addressing over (hash, hash) -> run of 32-bit numbers. Emptied beyond ``most`` ranges, which
+    half fill two million slots of 20 bytes."""
 
-    def __init__(self, most: int = 1_500_000):
+    def __init__(self, most: int = 900_000):
         self.most = most
         self.clear()
 

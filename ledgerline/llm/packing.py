@@ -53,10 +53,9 @@ class _Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.added = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
-        with open(path) as f:  # a file of the installed library
-            config = json.load(f)
-        pre = config.get("pre_tokenizer") or {}
-        self.plain = pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space") and pre.get("use_regex", True) and not config.get("normalizer")
+        # of its description only the parts that matter: the whole file would be a hundred thousand objects
+        pre = json.loads(self.tokenizer.pre_tokenizer.__getstate__()) if self.tokenizer.pre_tokenizer else {}
+        self.plain = pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space") and pre.get("use_regex", True) and self.tokenizer.normalizer is None
         # in a byte-level vocabulary each character of a token stands for one byte
         self.bytes_of = np.zeros(self.tokenizer.get_vocab_size(), np.int64)
         for token, i in self.tokenizer.get_vocab().items():
@@ -132,9 +131,9 @@ def pieces(docs: DataFrame, path: str, size: int = SIZE) -> DataFrame:
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = held(("packing", path), lambda: _Encoder(path))
         for batch in batches:
-            out: list[tuple] = []
             names = batch.column(0).to_pylist()
             for begin, end, data, offsets in blocks(*column_bytes(batch.column(1)), BLOCK):
+                out: list[tuple] = []
                 ids, cuts = encode.encode_block(data, offsets)
                 # each document's ids with the closing id after them
                 closed = np.full(len(ids) + end - begin, END, np.uint32)
@@ -144,8 +143,8 @@ def pieces(docs: DataFrame, path: str, size: int = SIZE) -> DataFrame:
                     for start in range(first, last, size):
                         stop = min(start + size, last)
                         out.append((doc, start - first, stop - start, zlib.crc32(raw[4 * start : 4 * stop]), last - first))
-            columns = list(zip(*out, strict=True)) if out else [[]] * 5
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
+                columns = zip(*out, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(releasing(scan), "doc_id long, start long, length long, ids_crc32 long, doc_tokens long")
 
