@@ -67,6 +67,13 @@ def release() -> None:
         trim(0)
 
 
+def settle_heaps(spark: SparkSession) -> None:
+    """Has the executors collect their garbage, after which their JVMs give freed heap back. A heap
+    that grew for one step's sorting would otherwise stay beside the next step's Python workers."""
+    n = spark.sparkContext.defaultParallelism
+    spark.range(0, n, 1, n).select(F.expr("reflect('java.lang.System', 'gc')")).write.format("noop").mode("overwrite").save()
+
+
 #: glibc's settings and their numbers: from which size on a block is a mapping of its own, which goes
 #: back when it is freed, and how much may lie unused at the heap's end. Left alone, the first grows
 #: to 32 MB with the blocks that are freed, and each worker keeps what it once used.
