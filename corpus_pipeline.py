@@ -6,10 +6,12 @@ stage before kept. ``run`` writes each stage's result to the shared folder and r
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import broadcast_if_small, staged, table, vocabulary
+from ledgerline.llm.common import broadcast_if_small, settle_heaps, staged, table, vocabulary
 from ledgerline.llm.jaccard_join import jaccard_components
 from ledgerline.llm.packing import pack
 from ledgerline.llm.pii import fit as fit_tagger
@@ -83,7 +85,18 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return pack(docs, vocabulary("byte_bpe_50k.json"))
 
 
-STAGES = [("toxicity", toxicity), ("near duplicates", near_duplicates), ("repeated passages", repeated_passages), ("personal data", personal_data), ("packing", packing)]
+def _rested(stage):
+    """``stage`` on executors that have given back what the stage before needed."""
+
+    @wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        settle_heaps(spark)
+        return stage(spark, docs, sf_dir)
+
+    return run
+
+
+STAGES = [("toxicity", toxicity), *[(name, _rested(stage)) for name, stage in (("near duplicates", near_duplicates), ("repeated passages", repeated_passages), ("personal data", personal_data), ("packing", packing))]]
 
 #: Learned models, links of unbounded length and tokenizers can't be said in SQL.
 ORACLE_SQL = None
