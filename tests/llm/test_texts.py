@@ -83,6 +83,34 @@ def test_jaccard_opens_groups(spark, monkeypatch, small):
     assert opened and opened[0].count() > 0
 
 
+def test_jaccard_where_most_of_a_group_are_apart_from_its_leader(spark):
+    """A few near copies of one text, many of a changed one that most of its prefix stays in, some
+    between, and a long text with its near copy."""
+    from ledgerline.llm.jaccard_join import jaccard_components
+
+    rng = random.Random(21)
+    words = [f"w{i}" for i in range(500)]
+    text = [rng.choice(words) for _ in range(120)]
+    other = list(text)
+    for at in range(5, 120, 17):
+        other[at] = rng.choice(words)
+    rows = []
+    for body, copies in ((text, 6), (other, 70)):
+        for _ in range(copies):
+            own = list(body)
+            for _ in range(rng.randint(0, 2)):
+                own[rng.randrange(120)] = rng.choice(words)
+            rows.append((len(rows), " ".join(own)))
+    for mixed in range(12):
+        own = [b if at < 10 * mixed else a for at, (a, b) in enumerate(zip(text, other, strict=True))]
+        rows.append((len(rows), " ".join(own)))
+    long = [rng.choice(words) for _ in range(60_000)]
+    rows += [(500, " ".join(long)), (501, " ".join(long[:30_000] + ["new"] + long[30_001:])), (502, " ".join(long[:20_000]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r.component_id for r in jaccard_components(docs).collect()}
+    assert got == linked({i: shingles(t) for i, t in rows}) and got[501] == 500 and got[502] == 502
+
+
 def dedup(rows, length):
     seen, out = {}, {}
     for doc, text in sorted({(i, t) for i, t in rows if i is not None}, key=lambda x: x[0]):
