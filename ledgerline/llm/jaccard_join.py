@@ -4,7 +4,8 @@ Every distinct shingle set is one row (a *class*). Classes are put into groups o
 each around a leader; the matrix holds, for each token and group, how many members have the token,
 with the best position and the sizes they allow. A query's tokens are looked up in the matrix and
 summed for each group: first its prefix tokens, then, for large groups, all of its tokens in the
-union of all the members' tokens. No member has more in common with the query, so only groups whose
+union of all the members' tokens. A union is a bitmap in parts, so a query is one row for each part and
+not for each token; a token that shares its place with another is counted too. No member has more in common with the query, so only groups whose
 sum reaches the threshold are opened: their members are compared with the query, first by a bitmap
 that bounds the symmetric difference from below, then exactly.
 
@@ -35,7 +36,10 @@ SHARE = 10_000
 #: Groups of at most so many sets are opened without counting a query's overlap with their whole
 #: token union first, as that costs more than looking at their bitmaps.
 SMALL = 16
-
+#: Places of a part of a large group's union, and the tokens that a part is made for: an eighth of the
+#: places are taken at most, so that few other tokens are counted with them.
+PLACES = 1 << 15
+PART = 1 << 12
 
 #: Bytes of texts in which a shingle must occur in two sets to be reported.
 COUNTED = 1 << 23
@@ -161,6 +165,82 @@ def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(r) for r in rows], ["token", "id", "n", "pos"])
 
 
+def _placed(batch: pa.RecordBatch, parts: int, tokens: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, part, place) of all tokens of a batch; ``parts`` and ``tokens`` are the columns that say
+    into how many parts a row's tokens are dealt, and which they are."""
+    lists = batch.column(tokens)
+    row = np.repeat(np.arange(batch.num_rows), lists.value_lengths().to_numpy(zero_copy_only=False))
+    mixed = mix(lists.flatten().to_numpy().view(np.uint64) + np.uint64(0x2545F4914F6CDD1D))
+    part = (mixed >> np.uint64(20)) % batch.column(parts).to_numpy().astype(np.uint64)[row]
+    return row, part.astype(np.int64), (mixed & np.uint64(PLACES - 1)).astype(np.int64)
+
+
+def _cells(key: np.ndarray, places: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, pa.ListArray]:
+    """The distinct keys, which are sorted, and the places of each that are ``wanted``."""
+    first = np.flatnonzero(np.concatenate([np.ones(min(1, len(key)), bool), key[1:] != key[:-1]]))
+    ends = np.concatenate([[0], np.cumsum(wanted)])[np.append(first, len(key))]
+    return key[first], pa.ListArray.from_arrays(ends.astype(np.int32), pa.array(places[wanted].astype(np.int32)))
+
+
+def _marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Over rows (grp, parts, tokens) of members: for each group and part that a batch has, the places
+    of its members' tokens, and those of them that are taken several times."""
+    for batch in batches:
+        row, part, place = _placed(batch, 1, 2)
+        names, group = np.unique(batch.column(0).to_numpy(), return_inverse=True)
+        width = int(part.max(initial=0)) + 1
+        key, times = np.unique((group[row] * width + part) * PLACES + place, return_counts=True)
+        cell, once = _cells(key // PLACES, key % PLACES, times > 0)
+        _, again = _cells(key // PLACES, key % PLACES, times > 1)
+        yield pa.RecordBatch.from_arrays([pa.array(names[cell // width]), pa.array((cell % width).astype(np.int32)), once, again], ["grp", "part", "once", "again"])
+
+
+def _unions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Over such rows sorted by group and part: one row each, with a bit for each place that is taken
+    and for each that is taken several times. Holds one part between batches."""
+    bits = np.zeros((2, PLACES), bool)
+    now, done = None, []
+
+    def told() -> pa.RecordBatch:
+        lists = [pa.ListArray.from_arrays(np.arange(len(done) + 1, dtype=np.int32) * (PLACES // 64), pa.array(np.concatenate([d[i] for d in done]))) for i in (1, 2)]
+        return pa.RecordBatch.from_arrays([pa.array([d[0][0] for d in done], pa.int64()), pa.array([d[0][1] for d in done], pa.int32()), *lists], ["grp", "part", "held", "several"])
+
+    def close() -> None:
+        done.append((now, *(np.packbits(b, bitorder="little").view(np.int64) for b in bits)))
+        bits[:] = False
+
+    for batch in batches:
+        names = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
+        once, again = ((c.flatten().to_numpy(), np.concatenate([[0], np.cumsum(c.value_lengths().to_numpy(zero_copy_only=False))])) for c in (batch.column(2), batch.column(3)))
+        for i, name in enumerate(names):
+            if name != now:
+                if now is not None:
+                    close()
+                if len(done) == 128:
+                    yield told()
+                    done.clear()
+                now = name
+            taken = once[0][once[1][i] : once[1][i + 1]]
+            bits[1, taken] |= bits[0, taken]
+            bits[0, taken] = True
+            bits[1, again[0][again[1][i] : again[1][i + 1]]] = True
+    if now is not None:
+        close()
+        yield told()
+
+
+def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Over rows (a, own, grp, parts, tokens) of queries: one for each part that has tokens, with the
+    place of each token."""
+    for batch in batches:
+        row, part, place = _placed(batch, 3, 4)
+        width = int(part.max(initial=0)) + 1
+        order = np.argsort(row * width + part, kind="stable")
+        cell, lists = _cells((row * width + part)[order], place[order], np.ones(len(order), bool))
+        of = [pa.array(batch.column(i).to_numpy()[cell // width]) for i in range(3)]
+        yield pa.RecordBatch.from_arrays([*of, pa.array((cell % width).astype(np.int32)), lists], ["a", "own", "grp", "part", "places"])
+
+
 def _apart(left: str, right: str) -> F.Column:
     """Least symmetric difference that two bitmaps allow."""
     return sum((F.bit_count(F.col(left)[i].bitwiseXOR(F.col(right)[i])) for i in range(BITS // 64)), F.lit(0))
@@ -345,11 +425,19 @@ def jaccard_links(docs: DataFrame, n: int = 4, percent: int = 85) -> tuple[DataF
     if not large.isEmpty():
         large = broadcast_if_small(large)
         wide = queries.join(large, "grp", "left_semi")
-        inside = named.join(large, "grp", "left_semi").select("id", "grp")
+        inside = named.join(large, "grp", "left_semi").select("id", "n", "grp")
         sets = sets_of(inside.select(F.col("id").alias("doc_id")).union(wide.select("a")).union(inside.select("grp")))
-        union = inside.join(sets, "id").select("grp", F.explode("tokens").alias("token")).groupBy("grp", "token").agg(F.count("*").alias("c"))
-        tokens = wide.join(sets.withColumnRenamed("id", "a"), "a").select("a", "own", "grp", F.explode("tokens").alias("token"))
-        held = tokens.join(union, ["grp", "token"]).where("grp <> own or c > 1").groupBy("a", "grp").agg(F.count("*").alias("overlap"))
+        # About as many tokens as members have apart from the leader come to its own.
+        spread = inside.join(tied.select(F.col("a").alias("id"), "apart"), "id", "left").groupBy("grp").agg((F.max("n") + F.coalesce(F.sum("apart"), F.lit(0))).alias("size"))
+        parts = broadcast_if_small(staged(spread.select("grp", F.ceil(F.col("size") / PART).cast("int").alias("parts")), "parts"))
+        marks = inside.join(sets, "id").join(parts, "grp").select("grp", "parts", "tokens").mapInArrow(releasing(_marks), "grp long, part int, once array<int>, again array<int>")
+        unions = marks.repartition("grp", "part").sortWithinPartitions("grp", "part").mapInArrow(releasing(_unions), "grp long, part int, held array<long>, several array<long>")
+        unions = broadcast_if_small(staged(unions, "unions"), 512)
+        places = wide.join(sets.withColumnRenamed("id", "a"), "a").join(parts, "grp").select("a", "own", "grp", "parts", "tokens").mapInArrow(releasing(_places), "a long, own long, grp long, part int, places array<int>")
+        bits = F.when(F.col("grp") == F.col("own"), F.col("several")).otherwise(F.col("held"))
+        spots = places.join(unions, ["grp", "part"]).select("a", "grp", "places", bits.alias("bits"))
+        inside_ = F.size(F.filter("places", lambda p: F.getbit(F.get("bits", F.shiftright(p, 6)), F.pmod(p, F.lit(64))) == 1))
+        held = spots.groupBy("a", "grp").agg(F.sum(inside_).alias("overlap"))
         # The smallest partner needs the least overlap (give or take one for rounding).
         fits = wide.join(held, ["a", "grp"]).where(F.col("overlap") >= _reach(percent, F.col("na"), _sizes(percent)[0]) - 1)
         fits = staged(fits.select(*queries.columns), "queries")
