@@ -11,7 +11,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import broadcast_if_small, settle_heaps, staged, table, vocabulary
+from ledgerline.llm.common import broadcast_if_small, plain_allocator, settle_heaps, staged, table, vocabulary
 from ledgerline.llm.jaccard_join import jaccard_components
 from ledgerline.llm.packing import pack
 from ledgerline.llm.pii import fit as fit_tagger
@@ -86,7 +86,7 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def _rested(stage):
-    """``stage`` on executors that have given back what the stage before needed."""
+    """``stage`` on executors and a driver that have given back what the stage before needed."""
 
     @wraps(stage)
     def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -103,6 +103,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    plain_allocator()
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = staged(stage(spark, docs, sf_dir), name.replace(" ", "-"))

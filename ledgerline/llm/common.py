@@ -68,8 +68,11 @@ def release() -> None:
 
 
 def settle_heaps(spark: SparkSession) -> None:
-    """Has the executors collect their garbage, after which their JVMs give freed heap back. A heap
-    that grew for one step's sorting would otherwise stay beside the next step's Python workers."""
+    """Has the executors and the driver collect their garbage, after which their JVMs give freed heap
+    back. A heap that grew for one step's sorting would otherwise stay beside the next step's Python
+    workers, and what a model was fitted with would stay beside the plans of all later steps."""
+    release()
+    spark.sparkContext._jvm.System.gc()
     n = spark.sparkContext.defaultParallelism
     spark.range(0, n, 1, n).select(F.expr("reflect('java.lang.System', 'gc')")).write.format("noop").mode("overwrite").save()
 
