@@ -142,6 +142,10 @@ def extra_columns(names: list[str]) -> Column:
     return F.create_map(*[x for n in names for x in (F.lit(n), _col(n).cast("string"))])
 
 
+#: Up to here all whole numbers are doubles.
+WHOLE = 10**15
+
+
 def canonical_value(c: Column, kind: T.DataType) -> Column:
     """One text for a value whatever the engine that made it."""
     if isinstance(kind, T.BooleanType):
@@ -149,7 +153,13 @@ def canonical_value(c: Column, kind: T.DataType) -> Column:
     elif isinstance(kind, (T.DateType, T.StringType, T.TimestampType)):
         text = F.trim(c.cast("string"))
     elif isinstance(kind, T.NumericType):
+        # Whole numbers have the same text without the formatter, which takes most of the time.
         text = F.format_string("%.10f", c.cast("double"))
+        if isinstance(kind, T.IntegralType):
+            text = F.when(c.between(-WHOLE, WHOLE), F.concat(c.cast("string"), F.lit(".0000000000"))).otherwise(text)
+        elif isinstance(kind, T.FractionalType) and not isinstance(kind, T.DecimalType):
+            x = c.cast("double")
+            text = F.when(x.between(-WHOLE, WHOLE) & (x != 0) & (F.rint(x) == x), F.concat(x.cast("long").cast("string"), F.lit(".0000000000"))).otherwise(text)
     else:
         text = c.cast("string")
     return F.coalesce(text, F.lit("\x00NULL"))

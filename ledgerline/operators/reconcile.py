@@ -7,7 +7,7 @@ import json
 from functools import reduce
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.conform import canonical_row_hash, canonical_value
@@ -38,55 +38,95 @@ def compare_rows(legacy: DataFrame, new: DataFrame, keys: list[str], columns: li
     return both.select(*keys, status.alias("status"))
 
 
-def bucket_digests(df: DataFrame, keys: list[str], columns: list[str], buckets: int = 1 << 16) -> DataFrame:
+#: Rows that a bucket of keys is made for, and the least number of buckets. With a share of the keys
+#: changed, few buckets differ only as long as a bucket has few keys, whatever the number of rows.
+BUCKET_ROWS = 64
+BUCKETS = 1 << 16
+#: Nodes of a level that are named in a filter on the next one.
+NAMED = 1000
+
+
+def _hashes(df: DataFrame, columns: list[str], *before: Column) -> list[Column]:
+    """Two hashes of a row's canonical values."""
+    values = [*before, *[canonical_value(F.col(c), df.schema[c].dataType) for c in columns]]
+    return [F.xxhash64(F.lit(seed), *values).alias(n) for seed, n in ((1, "one"), (2, "two"))]
+
+
+def _halves(name: str) -> list[Column]:
+    """The sum of a hash as two longs, high and low (of a group of up to 2^31 rows)."""
+    return [F.sum(F.shiftright(name, 32)).alias(f"{name}_high"), F.sum(F.col(name).bitwiseAND(F.lit(0xFFFFFFFF))).alias(f"{name}_low")]
+
+
+def bucket_digests(df: DataFrame, keys: list[str], columns: list[str], buckets: int = BUCKETS) -> DataFrame:
     """(bucket, n, one, two): for each bucket of keys, the number of its rows and two sums of hashes of
     whole rows. Order doesn't matter, repeated rows count each, and the sums of several buckets are
     the digest of all of them. One small row for each bucket leaves a task, however many it reads."""
     key = F.concat_ws("\x1f", *[canonical_value(F.col(k), df.schema[k].dataType) for k in keys])
-    row = F.concat_ws("\x1f", key, canonical_row_hash(df, columns))
-    named = df.select(F.pmod(F.xxhash64(key), F.lit(buckets)).alias("bucket"), *[F.xxhash64(F.lit(seed), row).cast("decimal(38,0)").alias(n) for seed, n in ((1, "one"), (2, "two"))])
-    return named.groupBy("bucket").agg(F.count("*").alias("n"), F.sum("one").alias("one"), F.sum("two").alias("two"))
+    named = df.select(F.pmod(F.xxhash64(key), F.lit(buckets)).alias("bucket"), *_hashes(df, columns, key))
+    sums = named.groupBy("bucket").agg(F.count("*").alias("n"), *_halves("one"), *_halves("two"))
+    return sums.select("bucket", "n", *[F.expr(f"cast({c}_high as decimal(28,0)) * 4294967296BD + {c}_low").cast("decimal(38,0)").alias(c) for c in ("one", "two")])
 
 
-def differing_buckets(legacy: DataFrame, new: DataFrame, buckets: int = 1 << 16, fanout: int = 16) -> list[int]:
-    """The buckets of two sets of digests that differ, found level by level: equal roots end it, and
-    of each level only the children of nodes that differ are compared. The digests may be stored
-    ones; where both sides are made for this, ``legacy`` and ``new`` should be written before."""
+def differing(legacy: DataFrame, new: DataFrame, buckets: int = BUCKETS, fanout: int = 256) -> DataFrame:
+    """(bucket) of two sets of digests that differ, found level by level: equal roots end it, and of
+    each level only the children of nodes that differ are compared, or all buckets at once where too
+    many nodes differ for that. The digests may be stored ones; where both sides are made for this,
+    ``legacy`` and ``new`` should be written before."""
     depth, size = 0, 1
     while size < buckets:
         size, depth = size * fanout, depth + 1
 
-    def level(side: DataFrame, width: int, wanted: list[int] | None) -> DataFrame:
-        nodes = side.withColumn("node", F.expr(f"bucket div {width}"))
-        if wanted is not None:
-            nodes = nodes.where(F.expr(f"bucket div {width * fanout}").isin(wanted))
-        return nodes.groupBy("node").agg(*[F.sum(c).alias(c) for c in ("n", "one", "two")])
+    def nodes(width: int, inside: str | None) -> DataFrame:
+        def level(side: DataFrame, name: str) -> DataFrame:
+            out = (side if inside is None else side.where(inside)).withColumn("node", F.expr(f"bucket div {width}"))
+            return out.groupBy("node").agg(*[F.sum(c).alias(c) for c in ("n", "one", "two")]).select("node", F.struct("n", "one", "two").alias(name))
+
+        return level(legacy, "a").join(level(new, "b"), "node", "full").where(~F.col("a").eqNullSafe(F.col("b"))).select("node")
 
-    wanted = None
-    for k in range(depth, -1, -1):
-        a, b = (level(side, fanout**k, wanted).select("node", F.struct("n", "one", "two").alias(c)) for side, c in ((legacy, "a"), (new, "b")))
-        wanted = sorted(r[0] for r in a.join(b, "node", "full").where(~F.col("a").eqNullSafe(F.col("b"))).select("node").collect())
+    inside = None
+    for k in range(depth, 0, -1):
+        wanted = sorted(r[0] for r in nodes(fanout**k, inside).collect())
+        inside = f"bucket div {fanout**k} in ({', '.join(map(str, wanted))})" if wanted else "false"
         if not wanted:
-            return []
-    return wanted
+            break
+        if len(wanted) > NAMED:
+            inside = None
+            break
+    return nodes(1, inside).select(F.col("node").alias("bucket"))
+
+
+def differing_buckets(legacy: DataFrame, new: DataFrame, buckets: int = BUCKETS, fanout: int = 256) -> list[int]:
+    """Those of ``differing``, in order, for few."""
+    return sorted(r[0] for r in differing(legacy, new, buckets, fanout).collect())
 
 
-def compare_by_tree(legacy: DataFrame, new: DataFrame, keys: list[str], columns: list[str], digests: tuple[DataFrame, DataFrame] | None = None, buckets: int = 1 << 16) -> DataFrame:
+def compare_by_tree(legacy: DataFrame, new: DataFrame, keys: list[str], columns: list[str], digests: tuple[DataFrame, DataFrame] | None = None, buckets: int | None = None) -> DataFrame:
     """(keys..., status, legacy_rows, new_rows) of the keys that differ: legacy_only, new_only or
     changed. Only rows of differing buckets are hashed by key and joined; equal sides shuffle digests
     alone. A key with several rows is one key, equal if both sides have the same rows, in any order,
-    as often. ``digests``: those of both sides, where they are known already."""
+    as often. ``digests``: those of both sides, where they are known already. ``buckets``: by the
+    number of rows, or those that ``digests`` have."""
+    if buckets is None:
+        buckets = BUCKETS if digests else max(BUCKETS, 1 << (new.count() // BUCKET_ROWS).bit_length())
     # a row for each bucket, read once for each level
     told = digests or tuple(bucket_digests(df, keys, columns, buckets).persist(StorageLevel.DISK_ONLY) for df in (legacy, new))
-    wanted = differing_buckets(*told, buckets)
+    wanted = differing(*told, buckets).persist(StorageLevel.DISK_ONLY)
+    found = wanted.count()
     for own in () if digests else told:
         own.unpersist()
+    if found <= 1_000_000:
+        wanted = F.broadcast(wanted)
 
     def side(df: DataFrame, name: str) -> DataFrame:
-        named = df.select(*[canonical_value(F.col(k), df.schema[k].dataType).alias(k) for k in keys], canonical_row_hash(df, columns).alias("_row"))
-        inside = named.where(F.pmod(F.xxhash64(F.concat_ws("\x1f", *keys)), F.lit(buckets)).isin(wanted)) if len(wanted) < buckets else named
-        sums = [F.sum(F.xxhash64(F.lit(seed), "_row").cast("decimal(38,0)")) for seed in (1, 2)]
-        return inside.groupBy(*keys).agg(F.struct(F.count("*").alias("rows"), *sums).alias(name))
+        texts = [canonical_value(F.col(k), df.schema[k].dataType) for k in keys]
+        inside = df.select(*{*keys, *columns})
+        if not found:
+            inside = inside.where(F.lit(False))
+        elif 2 * found < buckets:
+            inside = inside.withColumn("_bucket", F.pmod(F.xxhash64(F.concat_ws("\x1f", *texts)), F.lit(buckets)))
+            inside = inside.join(wanted, inside["_bucket"] == wanted["bucket"], "left_semi")
+        named = inside.select(*[t.alias(k) for t, k in zip(texts, keys, strict=True)], *_hashes(df, columns))
+        return named.groupBy(*keys).agg(F.count("*").alias("rows"), *_halves("one"), *_halves("two")).select(*keys, F.struct("rows", "one_high", "one_low", "two_high", "two_low").alias(name))
 
     both = side(legacy, "_legacy").join(side(new, "_new"), keys, "full").where(~F.col("_legacy").eqNullSafe(F.col("_new")))
     status = F.when(F.col("_new").isNull(), "legacy_only").when(F.col("_legacy").isNull(), "new_only").otherwise("changed")

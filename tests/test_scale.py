@@ -205,3 +205,27 @@ def test_replay_of_most_keys_equals_replay_of_each(spark, monkeypatch):
             monkeypatch.setattr(scd2, "MOST", most)
             ends.append(told(scd2.replay(raw, target, columns, ["k"], ["x"], 1), "k", "x", *scd2.RANGE))
         assert ends[0] == ends[1] == told(scd2.build_full(spark.createDataFrame(rows + more, schema), columns, ["k"], ["x"]), "k", "x", *scd2.RANGE)
+
+
+def test_buckets_grow_with_rows_and_many_differences_need_no_list(spark, monkeypatch):
+    """Of many keys of which a share differs, few are opened; whole numbers have the formatter's text."""
+    from ledgerline.functions.conform import canonical_value
+
+    monkeypatch.setattr(reconcile, "BUCKETS", 64)
+    monkeypatch.setattr(reconcile, "NAMED", 3)
+    made, plain = [], reconcile.differing
+
+    def differing(*args):
+        made.append((args[2], plain(*args)))
+        return made[-1][1]
+
+    monkeypatch.setattr(reconcile, "differing", differing)
+    new = spark.range(20_000).select(F.col("id").alias("k"), (F.col("id") % 7).cast("double").alias("v"))
+    old = new.withColumn("v", F.when(F.col("k") % 1000 == 5, F.col("v") + 1).otherwise(F.col("v")))
+    out = reconcile.compare_by_tree(old, new, ["k"], ["v"]).collect()
+    assert sorted(int(float(r["k"])) for r in out) == list(range(5, 20_000, 1000)) and {r["status"] for r in out} == {"changed"}
+    assert made[0][0] >= 20_000 // 64 and made[0][1].count() <= 20
+    values = spark.sql("select * from values (0D), (-0D), (3D), (-7D), (0.5D), (1e14D), (1e16D), (-1e300D), (double('NaN')), (double('Infinity')), (null) t(x)")
+    assert values.where(~canonical_value(F.col("x"), values.schema["x"].dataType).eqNullSafe(F.format_string("%.10f", "x"))).count() == 0
+    longs = spark.sql("select * from values (0L), (-3L), (9007199254740993L), (-9223372036854775808L), (null) t(x)")
+    assert longs.where(~canonical_value(F.col("x"), longs.schema["x"].dataType).eqNullSafe(F.format_string("%.10f", F.col("x").cast("double")))).count() == 0
